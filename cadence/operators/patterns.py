@@ -1,12 +1,17 @@
 """Pattern statistics (20 per pattern) and the variation of the last amounts.
 
-Scale notes. Every statistic is a plain aggregate (partial aggregation before
-the shuffle) except the day gaps, which need consecutive payments: they come
-from the day-level table, where a pattern holds at most one row per calendar
-day, and are then reduced exactly from integer moments. The last payments are
-a ``row_number() <= k`` filter, which Spark plans as a map-side partial top-k
-(``WindowGroupLimit``) before the shuffle, so at most k rows per pattern and
-map task travel.
+Scale notes. All statistics come from one shuffle of the payments: an
+aggregate per pattern and day (partial aggregation before the shuffle) that
+keeps the count, the amount sums, extremes and the within-day second moment.
+A pattern then holds at most one row per calendar day, however many payments
+it has; one window over those rows gives the gaps between consecutive payment
+days and the pattern mean, and a final aggregate (same partitioning, no
+shuffle) reduces them. Standard deviations are merged exactly like Spark
+merges partial aggregates (within-day second moments plus the spread of the
+day means), and the day gaps and days of the month are integers whose sums of
+squares are exact. The last payments are a ``row_number() <= k`` filter, which
+Spark plans as a map-side partial top-k (``WindowGroupLimit``) before the
+shuffle, so at most k rows per pattern and map task travel.
 """
 
 from __future__ import annotations
@@ -16,17 +21,18 @@ from pyspark.sql import functions as F
 
 from cadence.config import DEFAULT_CONFIG, RecurrenceConfig
 from cadence.functions.stats import as_float, relative_error, sample_sd_from_moments
-from cadence.operators.sequence import commerce_scope, null_safe_on
+from cadence.operators.sequence import commerce_scope
 from cadence.sources.schema import (
     AMOUNT, COMMERCE, CUSTOMER, CV_AMOUNT, DATE, MAX_AMOUNT, MAX_DAY_MONTH, MAX_DIFF_DAYS,
     MAX_FECHA, MEAN_AMOUNT, MEAN_DAY_MONTH, MEAN_DIFF_DAYS, MIN_AMOUNT, MIN_DAY_MONTH,
-    MIN_DIFF_DAYS, NU_PAYMENTS, NUM_PAGOS, ORDER_DESC, PAIR_KEYS, PATTERN_KEYS, RANGE_AMOUNT,
-    RANGE_DAY_MONTH, RANGE_DIFF_DAYS, SD_AMOUNT, SD_DAY_MONTH, SD_DIFF_DAYS, SRE_AMOUNT,
-    SRE_DAY_MONTH, SRE_DIFF_DAYS,
+    MIN_DIFF_DAYS, MONTH, NU_PAYMENTS, NUM_PAGOS, ORDER_DESC, PAIR_KEYS, PATTERN_KEYS,
+    RANGE_AMOUNT, RANGE_DAY_MONTH, RANGE_DIFF_DAYS, SD_AMOUNT, SD_DAY_MONTH, SD_DIFF_DAYS,
+    SRE_AMOUNT, SRE_DAY_MONTH, SRE_DIFF_DAYS, SUM_IMPORTE, YEAR,
 )
 
 DAY_PAYMENTS = "day_payments"
 DAY_AMOUNT = "day_amount"
+MONTH_SUMS = "month_sums"
 
 STAT_COLUMNS = [
     MEAN_AMOUNT, MEAN_DAY_MONTH, MEAN_DIFF_DAYS, NUM_PAGOS, SD_AMOUNT, SD_DAY_MONTH,
@@ -37,82 +43,102 @@ STAT_COLUMNS = [
 
 
 def pattern_days(payments: DataFrame, keys: list[str] = PATTERN_KEYS) -> DataFrame:
-    """One row per pattern and day: number of payments and their amount."""
+    """One row per pattern and day: payments, amount sum, and the moments of the
+    amount at the model's 32-bit precision."""
+    amount = as_float(F.col(AMOUNT)).cast("double")
     return payments.groupBy(*keys, DATE).agg(
         F.count(F.lit(1)).alias(DAY_PAYMENTS),
         F.sum(AMOUNT).alias(DAY_AMOUNT),
+        F.sum(amount).alias("_f_sum"),
+        (F.var_pop(amount) * F.count(amount)).alias("_f_m2"),
+        F.count(amount).alias("_f_n"),
+        F.max(amount).alias("_f_max"),
+        F.min(amount).alias("_f_min"),
     )
 
 
-def gap_statistics(days: DataFrame, keys: list[str] = PATTERN_KEYS) -> DataFrame:
-    """Statistics of the gaps between consecutive payments of each pattern.
+def pattern_statistics(days: DataFrame, keys: list[str] = PATTERN_KEYS) -> DataFrame:
+    """The 20 statistics of every pattern, ``nu_payments`` and its month sums.
 
     With payments ordered by date, the gaps are the differences between
     consecutive payment days plus a 0 for every further payment on the same
-    day; the first payment has no gap. From the day-level rows: ``m = n - 1``
-    gaps with sum ``last - first`` and an exact sum of squares.
+    day; the first payment has no gap: ``m = n - 1`` gaps with sum
+    ``last - first``. The month sums (array of year, month, amount) let the
+    non-recurrent spend be summed later without going back to the payments.
     """
-    by_day = Window.partitionBy(*keys).orderBy(DATE)
-    gaps = days.select(*keys, DATE, DAY_PAYMENTS,
-                       F.datediff(F.col(DATE), F.lag(DATE).over(by_day)).alias("_gap"))
-    agg = gaps.groupBy(*keys).agg(
+    pattern = Window.partitionBy(*keys)
+    by_day = pattern.orderBy(DATE)
+    by_month = Window.partitionBy(*keys, F.year(DATE), F.month(DATE))
+    dom = F.dayofmonth(DATE).cast("long")
+    n_days = F.col(DAY_PAYMENTS)
+    f_mean_all = F.sum("_f_sum").over(pattern) / F.sum("_f_n").over(pattern)
+    f_mean_day = F.col("_f_sum") / F.col("_f_n")
+    per_day = days.select(
+        *keys, DATE, n_days, "_f_sum", "_f_n", "_f_max", "_f_min",
+        F.datediff(F.col(DATE), F.lag(DATE).over(by_day)).alias("_gap"),
+        # this day's share of the amount's second moment around the pattern mean
+        (F.col("_f_m2") + F.col("_f_n") * (f_mean_day - f_mean_all) * (f_mean_day - f_mean_all)).alias("_f_m2"),
+        (n_days * dom).alias("_dom1"),
+        (n_days * dom * dom).alias("_dom2"),
+        dom.alias("_dom"),
+        F.when(F.col(DATE) == F.max(DATE).over(by_month),
+               F.struct(F.year(DATE).alias(YEAR), F.month(DATE).alias(MONTH),
+                        F.sum(DAY_AMOUNT).over(by_month).alias(SUM_IMPORTE))).alias("_month"),
+    )
+    agg = per_day.groupBy(*keys).agg(
         F.sum(DAY_PAYMENTS).alias(NU_PAYMENTS),
         F.count(F.lit(1)).alias("_days"),
         F.datediff(F.max(DATE), F.min(DATE)).alias("_s1"),
         F.coalesce(F.sum(F.col("_gap").cast("long") * F.col("_gap")), F.lit(0)).alias("_s2"),
         F.max("_gap").alias("_max_gap"),
         F.min("_gap").alias("_min_gap"),
+        F.sum("_f_sum").alias("_f_sum"),
+        F.sum("_f_n").alias("_f_n"),
+        F.sum("_f_m2").alias("_f_m2"),
+        F.max("_f_max").alias("_f_max"),
+        F.min("_f_min").alias("_f_min"),
+        F.sum("_dom1").alias("_dom1"),
+        F.sum("_dom2").alias("_dom2"),
+        F.max("_dom").alias(MAX_DAY_MONTH),
+        F.min("_dom").alias(MIN_DAY_MONTH),
+        F.max(DATE).alias(MAX_FECHA),
+        F.collect_list("_month").alias(MONTH_SUMS),  # one entry per month of history
     )
-    m = F.col(NU_PAYMENTS) - 1
-    same_day_repeats = F.col(NU_PAYMENTS) > F.col("_days")
+    n = F.col(NU_PAYMENTS)
+    m = n - 1
+    same_day_repeats = n > F.col("_days")
+    mean_amount = as_float(F.try_divide(F.col("_f_sum"), F.col("_f_n").cast("double")))
+    sd_amount = as_float(F.sqrt(F.try_divide(F.col("_f_m2"), (F.col("_f_n") - 1).cast("double"))))
+    mean_dom = as_float(F.try_divide(F.col("_dom1").cast("double"), n.cast("double")))
+    sd_dom = as_float(sample_sd_from_moments(n, F.col("_dom1"), F.col("_dom2")))
+    mean_gap = as_float(F.try_divide(F.col("_s1").cast("double"), m.cast("double")))
+    sd_gap = as_float(sample_sd_from_moments(m, F.col("_s1"), F.col("_s2")))
     max_gap = F.when(same_day_repeats, F.coalesce(F.col("_max_gap"), F.lit(0))).otherwise(F.col("_max_gap"))
     min_gap = F.when(same_day_repeats, F.lit(0)).otherwise(F.col("_min_gap"))
-    return agg.select(
-        *keys,
-        F.col(NU_PAYMENTS),
-        as_float(F.try_divide(F.col("_s1").cast("double"), m.cast("double"))).alias(MEAN_DIFF_DAYS),
-        as_float(sample_sd_from_moments(m, F.col("_s1"), F.col("_s2"))).alias(SD_DIFF_DAYS),
+    stats = agg.select(
+        *keys, n,
+        mean_amount.alias(MEAN_AMOUNT),
+        mean_dom.alias(MEAN_DAY_MONTH),
+        mean_gap.alias(MEAN_DIFF_DAYS),
+        as_float(n).alias(NUM_PAGOS),
+        sd_amount.alias(SD_AMOUNT),
+        sd_dom.alias(SD_DAY_MONTH),
+        sd_gap.alias(SD_DIFF_DAYS),
+        as_float(F.col("_f_max")).alias(MAX_AMOUNT),
+        as_float(F.col("_f_min")).alias(MIN_AMOUNT),
+        F.col(MAX_DAY_MONTH).cast("int").alias(MAX_DAY_MONTH),
+        F.col(MIN_DAY_MONTH).cast("int").alias(MIN_DAY_MONTH),
         max_gap.cast("int").alias(MAX_DIFF_DAYS),
         min_gap.cast("int").alias(MIN_DIFF_DAYS),
+        F.col(MAX_FECHA),
+        F.col(MONTH_SUMS),
     )
-
-
-def row_statistics(payments: DataFrame, keys: list[str] = PATTERN_KEYS) -> DataFrame:
-    """Amount and day-of-month statistics: plain aggregates over the payments."""
-    amount = as_float(F.col(AMOUNT))
-    day = F.dayofmonth(DATE)
-    return payments.groupBy(*keys).agg(
-        as_float(F.avg(amount)).alias(MEAN_AMOUNT),
-        as_float(F.avg(as_float(day))).alias(MEAN_DAY_MONTH),
-        as_float(F.stddev(amount)).alias(SD_AMOUNT),
-        as_float(F.stddev(as_float(day))).alias(SD_DAY_MONTH),
-        F.max(amount).alias(MAX_AMOUNT),
-        F.min(amount).alias(MIN_AMOUNT),
-        F.max(day).alias(MAX_DAY_MONTH),
-        F.min(day).alias(MIN_DAY_MONTH),
-        F.max(DATE).alias(MAX_FECHA),
-    )
-
-
-def pattern_statistics(payments: DataFrame, days: DataFrame | None = None,
-                       keys: list[str] = PATTERN_KEYS) -> DataFrame:
-    """The 20 statistics of every pattern, with ``nu_payments``."""
-    if days is None:
-        days = pattern_days(payments, keys)
-    gaps = gap_statistics(days, keys).select(
-        *[F.col(k).alias("_g_" + k) for k in keys],
-        NU_PAYMENTS, MEAN_DIFF_DAYS, SD_DIFF_DAYS, MAX_DIFF_DAYS, MIN_DIFF_DAYS,
-    )
-    stats = row_statistics(payments, keys).join(gaps, null_safe_on(keys, "_g_"), "inner")
-    n_float = as_float(F.col(NU_PAYMENTS))
+    n_float = F.col(NUM_PAGOS)
     return stats.select(
-        *keys,
-        F.col(NU_PAYMENTS),
-        F.col(MEAN_AMOUNT), F.col(MEAN_DAY_MONTH), F.col(MEAN_DIFF_DAYS),
-        n_float.alias(NUM_PAGOS),
-        F.col(SD_AMOUNT), F.col(SD_DAY_MONTH), F.col(SD_DIFF_DAYS),
-        F.col(MAX_AMOUNT), F.col(MIN_AMOUNT), F.col(MAX_DAY_MONTH), F.col(MIN_DAY_MONTH),
-        F.col(MAX_DIFF_DAYS), F.col(MIN_DIFF_DAYS), F.col(MAX_FECHA),
+        *keys, NU_PAYMENTS,
+        MEAN_AMOUNT, MEAN_DAY_MONTH, MEAN_DIFF_DAYS, NUM_PAGOS, SD_AMOUNT, SD_DAY_MONTH,
+        SD_DIFF_DAYS, MAX_AMOUNT, MIN_AMOUNT, MAX_DAY_MONTH, MIN_DAY_MONTH, MAX_DIFF_DAYS,
+        MIN_DIFF_DAYS, MAX_FECHA,
         as_float(F.col(MAX_AMOUNT) - F.col(MIN_AMOUNT)).alias(RANGE_AMOUNT),
         (F.col(MAX_DAY_MONTH) - F.col(MIN_DAY_MONTH)).alias(RANGE_DAY_MONTH),
         (F.col(MAX_DIFF_DAYS) - F.col(MIN_DIFF_DAYS)).alias(RANGE_DIFF_DAYS),
@@ -120,6 +146,7 @@ def pattern_statistics(payments: DataFrame, days: DataFrame | None = None,
         relative_error(F.col(SD_DAY_MONTH), n_float, F.col(MEAN_DAY_MONTH)).alias(SRE_DAY_MONTH),
         relative_error(F.col(SD_DIFF_DAYS), as_float(n_float - F.lit(1)),
                        F.col(MEAN_DIFF_DAYS)).alias(SRE_DIFF_DAYS),
+        MONTH_SUMS,
     )
 
 

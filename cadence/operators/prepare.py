@@ -32,13 +32,19 @@ def reference_date(tx: DataFrame, as_of=None) -> Column:
     return tx.select(F.max(DATE)).scalar()
 
 
+def recent_customers(tx: DataFrame, as_of: Column,
+                     config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Customers with an operation on or after ``as_of`` minus ``months_back``
+    months (later rows count too; there is no upper bound). The date filter
+    goes to the scan; the distinct is a partial aggregate before the shuffle."""
+    return (tx.where(F.col(DATE) >= months_before(as_of, config.months_back))
+              .select(CUSTOMER).distinct())
+
+
 def active_customers(tx: DataFrame, as_of: Column,
                      config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
-    """All rows of customers with an operation on or after ``as_of`` minus
-    ``months_back`` months. Later rows count too; there is no upper bound."""
-    recent = (tx.where(F.col(DATE) >= months_before(as_of, config.months_back))
-                .select(CUSTOMER).distinct())
-    return tx.join(recent, CUSTOMER, "left_semi")
+    """All rows of the recent customers."""
+    return tx.join(recent_customers(tx, as_of, config), CUSTOMER, "left_semi")
 
 
 def net_of_reversals(tx: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG,

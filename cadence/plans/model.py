@@ -2,10 +2,11 @@
 
 ``fit`` starts no Spark job: it returns immutable DataFrames (the stages of
 the model) whose plans Catalyst and AQE optimise when the caller acts on them.
-With ``checkpoint=True`` the two fitted tables (one row per pattern, one per
-customer and month) are written to the reliable checkpoint folder of the
-cluster (``spark.checkpoint.dir``), which cuts their lineage so that both
-calendars read them instead of recomputing the payments.
+With ``checkpoint=True`` the pattern table (one row per pattern, with its
+month sums) is written to the reliable checkpoint folder of the cluster
+(``spark.checkpoint.dir``); both calendars and every later stage then read it
+instead of recomputing the payments, and a lost executor costs no recompute of
+the payment shuffles.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 
 from cadence.config import DEFAULT_CONFIG, RecurrenceConfig
 from cadence.operators import calendar, classify, level, patterns, prepare, sequence
+from cadence.sources.schema import CUSTOMER
 from cadence.sources.transactions import conform
 
 
@@ -24,14 +26,24 @@ from cadence.sources.transactions import conform
 class RecurrenceModel:
     config: RecurrenceConfig
     as_of: Column
-    net: DataFrame            # active customers, reversals removed
-    marked_daily: DataFrame   # marked payments summed per day
-    payments: DataFrame       # every payment with its pattern key
+    transactions: DataFrame   # conformed input
+    payments: DataFrame       # every payment with its pattern key (all customers)
     days: DataFrame           # one row per pattern and day
-    patterns: DataFrame       # one row per pattern: statistics and status
+    patterns: DataFrame       # one row per pattern of an active customer: statistics, status
     monthly: DataFrame        # non-recurrent sum per customer and month
     level: DataFrame          # non-recurrent daily level per customer
 
+    @property
+    def net(self) -> DataFrame:
+        """Rows of active customers without reversed operations."""
+        return prepare.prepared(self.transactions, self.as_of, self.config)
+
+    def active_payments(self) -> DataFrame:
+        """Payments of active customers with their pattern key (row level)."""
+        net = self.net
+        return sequence.scoped_payments(prepare.marked_recurring_daily(net, self.config),
+                                        prepare.not_marked(net, self.config), self.config)
+
     @property
     def recurrences(self) -> DataFrame:
         return classify.unified_recurrences(self.patterns)
@@ -72,21 +84,23 @@ def fit(transactions: DataFrame, as_of=None, config: RecurrenceConfig = DEFAULT_
     """
     tx = conform(transactions)
     reference = prepare.reference_date(tx, as_of)
-    net = prepare.prepared(tx, reference, config)
+    # Reversals go first, on all customers: the activity filter is applied to
+    # the pattern table below, so the payment rows are shuffled once (for the
+    # reversal anti-join) instead of once more by customer. Every later step
+    # groups by keys that contain the customer, so the result is the same.
+    net = prepare.net_of_reversals(tx, config)
     marked_daily = prepare.marked_recurring_daily(net, config)
     payments = sequence.scoped_payments(marked_daily, prepare.not_marked(net, config), config)
     days = patterns.pattern_days(payments)
-    stats = patterns.pattern_statistics(payments, days)
+    stats = patterns.pattern_statistics(days).join(
+        prepare.recent_customers(tx, reference, config), CUSTOMER, "left_semi")
     variation = patterns.recent_amount_variation(payments, config)
     pattern_table = classify.categorize(stats, variation, reference, config)
     if checkpoint:
         pattern_table = _checkpointed(pattern_table)
-    monthly = level.nonrecurrent_monthly(days, pattern_table)
-    if checkpoint:
-        monthly = _checkpointed(monthly)
+    monthly = level.nonrecurrent_monthly(pattern_table)
     level_table = level.nonrecurrent_level(level.monthly_percentile(monthly), config)
-    return RecurrenceModel(config, reference, net, marked_daily, payments, days,
-                           pattern_table, monthly, level_table)
+    return RecurrenceModel(config, reference, tx, payments, days, pattern_table, monthly, level_table)
 
 
 def predict(model: RecurrenceModel, begin: date | None = None, end: date | None = None):

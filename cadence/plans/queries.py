@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from cadence.config import DEFAULT_CONFIG
 from cadence.functions.dates import horizon_days
-from cadence.operators import calendar, classify, patterns, prepare, sequence
+from cadence.operators import calendar, classify, level, patterns, prepare, sequence
 from cadence.operators.classify import NON_RECURRENT, REGULARITY
 from cadence.plans.model import RecurrenceModel, fit
 from cadence.sources import testdata
@@ -113,7 +113,7 @@ def q_net_of_reversals(c: Context):
 
 
 def q_marked_recurring_daily(c: Context):
-    return c.model.marked_daily
+    return prepare.marked_recurring_daily(c.model.net)
 
 
 def q_not_marked(c: Context):
@@ -121,15 +121,15 @@ def q_not_marked(c: Context):
 
 
 def q_payment_sequence(c: Context):
-    return sequence.payment_sequence(sequence.commerce_scope(c.model.payments), PAIR_KEYS)
+    return sequence.payment_sequence(sequence.commerce_scope(c.model.active_payments()), PAIR_KEYS)
 
 
 def q_amount_recurrences(c: Context):
-    return sequence.amount_recurrences(c.model.marked_daily)
+    return sequence.amount_recurrences(prepare.marked_recurring_daily(c.model.net))
 
 
 def q_commerce_recurrences(c: Context):
-    return sequence.commerce_recurrences(c.model.payments)
+    return sequence.commerce_recurrences(c.model.active_payments())
 
 
 def q_pattern_statistics(c: Context):
@@ -186,8 +186,7 @@ def q_nonrecurrent_monthly(c: Context):
 
 
 def q_monthly_percentile(c: Context):
-    from cadence.operators.level import monthly_percentile
-    return monthly_percentile(c.model.monthly)
+    return level.monthly_percentile(c.model.monthly)
 
 
 def q_nonrecurrent_level(c: Context):
