@@ -1,0 +1,8 @@
+"""Streaming operators.
+
+The recurrence model works on the whole payment history of a customer (gaps
+between payments, the last payments, months of spending) and has no streaming
+form in the original; nothing is defined here. A streaming source can feed the
+model through ``foreachBatch`` writing to the transaction table that ``fit``
+reads.
+"""
