@@ -55,9 +55,13 @@ def with_variation(stats: DataFrame, variation: DataFrame) -> DataFrame:
         F.col(CUSTOMER).alias("_v_customer"), F.col(COMMERCE).alias("_v_commerce"),
         F.col(CV_AMOUNT),
     )
+    # Null-safe on the commerce: a plain equality would let Spark infer a
+    # NOT NULL filter and push it into this branch's scan, and the shuffles
+    # the branch shares with the pattern statistics could no longer be reused.
+    # Commerce patterns without a commerce key are DROPPED by ``categorize``.
     on = ((F.col(SCOPE) == SCOPE_COMMERCE)
           & (F.col(CUSTOMER) == F.col("_v_customer"))
-          & (F.col(COMMERCE) == F.col("_v_commerce")))
+          & F.col(COMMERCE).eqNullSafe(F.col("_v_commerce")))
     return stats.join(v, on, "left").drop("_v_customer", "_v_commerce")
 
 

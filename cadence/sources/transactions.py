@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.sources.schema import DATE, TRANSACTION_COLUMNS
+from cadence.sources.schema import CUSTOMER, DATE, TRANSACTION_COLUMNS
 
 
 def check_columns(df: DataFrame) -> None:
@@ -21,12 +21,15 @@ def transaction_projection(df: DataFrame) -> DataFrame:
 
 
 def conform(df: DataFrame) -> DataFrame:
-    """Projection plus removal of rows without an operation date.
+    """Projection plus removal of rows without an operation date or customer.
 
     A payment without a date has no place in a sequence; the original model
-    failed on such rows further down, here they are dropped at the source.
+    failed on such rows further down, here they are dropped at the source. A
+    row without a customer never passed the original's join on active
+    customers. Filtering both here, once, also keeps every branch of the plan
+    on the same scan, so Spark reuses their shuffles.
     """
-    return transaction_projection(df).where(F.col(DATE).isNotNull())
+    return transaction_projection(df).where(F.col(DATE).isNotNull() & F.col(CUSTOMER).isNotNull())
 
 
 def read_transactions(spark: SparkSession, path: str) -> DataFrame:
