@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from cadence.config import DEFAULT_CONFIG, RecurrenceConfig
 from cadence.sources.schema import (
-    AMOUNT, COMMERCE, CUSTOMER, DATE, DAY_MONTH, DIFFERENCE_OF_DAYS, NU_PAYMENTS, ORDER,
+    AMOUNT, COMMERCE, CUSTOMER, DATE, DAY_MONTH, DIFFERENCE_OF_DAYS, MARKED, NU_PAYMENTS, ORDER,
     ORDER_DESC, PAIR_KEYS, PATTERN_AMOUNT, PAYMENT_COLUMNS, PREVIOUS_AMOUNT, SCOPE,
     SCOPE_AMOUNT, SCOPE_COMMERCE, TRIPLE_KEYS,
 )
@@ -48,12 +48,14 @@ def scoped_payments(marked_daily: DataFrame, other: DataFrame,
         *PAYMENT_COLUMNS,
         F.when(in_amount_scope, F.lit(SCOPE_AMOUNT)).otherwise(F.lit(SCOPE_COMMERCE)).alias(SCOPE),
         F.when(in_amount_scope, F.col(AMOUNT)).alias(PATTERN_AMOUNT),
+        F.lit(True).alias(MARKED),
     )
     amount_type = marked.schema[PATTERN_AMOUNT].dataType
     rest = other.select(
         *PAYMENT_COLUMNS,
         F.lit(SCOPE_COMMERCE).alias(SCOPE),
         F.lit(None).cast(amount_type).alias(PATTERN_AMOUNT),
+        F.lit(False).alias(MARKED),
     )
     return marked.unionByName(rest)
 

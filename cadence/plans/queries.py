@@ -23,7 +23,7 @@ from cadence.operators.classify import NON_RECURRENT, REGULARITY
 from cadence.plans.model import RecurrenceModel, fit
 from cadence.sources import testdata
 from cadence.sources.schema import (
-    CALENDAR_DATE, COMMERCE, CUSTOMER, CV_AMOUNT, CV_FILTER, DATE, DAY_MONTH,
+    CALENDAR_DATE, COMMERCE, CUSTOMER, CV_AMOUNT, CV_FILTER, DATE, DAY_MONTH, MARKED,
     DELTA_AVG, DELTA_STD, DIFFERENCE_OF_DAYS, EXPECTED_AMOUNT, HORIZON, IMP_OPER, MAX_FEC_TRANS,
     MAX_FECHA, MEAN_AMOUNT, MEAN_DIFF_DAYS, MONTH, MONTH_IM, NU_PAYMENTS, NUM_ROWS, ORDER,
     ORDER_DESC, PAIR_KEYS, PATTERN_AMOUNT, PATTERN_KEYS, PERCENTILE, PERCENTILE_IM,
@@ -235,6 +235,37 @@ def q_predict(c: Context):
                                     F.col(MONTH_IM).cast("double").alias("amount"))))
 
 
+def q_stage_counts(c: Context):
+    """The row counts along the model (the original printed them with one
+    job each): one query, the pattern-level ones summed from the pattern table."""
+    m = c.model
+    active = prepare.active_customers(c.tx, m.as_of)
+    pays = m.active_payments()
+    marked, commerce = F.col(MARKED), F.col(SCOPE) == SCOPE_COMMERCE
+    n = F.col(NU_PAYMENTS)
+
+    def stacked(df, pairs):
+        args = ", ".join(f"'{name}', `{name}`" for name, _ in pairs)
+        return df.agg(*[expr.alias(name) for name, expr in pairs]).select(
+            F.expr(f"stack({len(pairs)}, {args})").alias("stage", "rows"))
+
+    return (stacked(prepare.recent_customers(c.tx, m.as_of), [("active_customers", F.count(F.lit(1)))])
+            .unionByName(stacked(active, [("filtered_transactions", F.count(F.lit(1)))]))
+            .unionByName(stacked(m.net, [("after_reversals", F.count(F.lit(1)))]))
+            .unionByName(stacked(pays, [
+                ("recurrents", F.count_if(marked)),
+                ("no_recurrents", F.count_if(~marked)),
+                ("evaluated_amount", F.count_if(marked)),
+                ("amount_no_recurrents", F.count_if(marked & commerce)),
+                ("evaluated_commerce", F.count_if(commerce)),
+            ]))
+            .unionByName(stacked(m.patterns, [
+                ("amount_recurrents", F.coalesce(F.sum(F.when(~commerce, n)), F.lit(0))),
+                ("commerce_recurrents", F.coalesce(F.sum(F.when(commerce & (n >= 3), n)), F.lit(0))),
+                ("commerce_no_recurrents", F.coalesce(F.sum(F.when(commerce & (n < 3), n)), F.lit(0))),
+            ])))
+
+
 def _wide(source: Source, kind: str) -> list[tuple[str, str]]:
     return [(CUSTOMER, KEEP)] + [(str(d), kind) for d in horizon_days(source.begin, source.end)]
 
@@ -298,6 +329,7 @@ QUERIES = [
     Query("nonrecurrent_calendar", q_nonrecurrent_calendar,
           _cols([(CUSTOMER, KEEP), (CALENDAR_DATE, KEEP), (MONTH_IM, RATIO)])),
     Query("nonrecurrent_calendar_wide", q_nonrecurrent_calendar_wide, lambda s: _wide(s, RATIO)),
+    Query("stage_counts", q_stage_counts, _cols([("stage", KEEP), ("rows", LONG)])),
     Query("fit", q_fit, _cols(FIT_COLS)),
     Query("predict", q_predict, _cols(PREDICT_COLS)),
     # Other mappings of the test tables: volume (lineitem) and short, tied histories (events),

@@ -67,6 +67,18 @@ INNER = {
     "expected_payment": "SELECT * FROM expected",
     "recurrent_calendar": "SELECT * FROM recurrent_calendar",
     "nonrecurrent_calendar": "SELECT * FROM nonrecurrent_calendar",
+    "stage_counts": """
+      SELECT 'active_customers' AS stage, count(*) AS rows FROM active_ids
+      UNION ALL SELECT 'filtered_transactions', count(*) FROM active
+      UNION ALL SELECT 'after_reversals', count(*) FROM net
+      UNION ALL SELECT 'recurrents', count(*) FROM cr_daily
+      UNION ALL SELECT 'no_recurrents', count(*) FROM not_marked
+      UNION ALL SELECT 'evaluated_amount', count(*) FROM amount_seq
+      UNION ALL SELECT 'amount_recurrents', count(*) FROM amount_rec
+      UNION ALL SELECT 'amount_no_recurrents', count(*) FROM amount_rest
+      UNION ALL SELECT 'evaluated_commerce', count(*) FROM commerce_seq
+      UNION ALL SELECT 'commerce_recurrents', count(*) FROM commerce_rec
+      UNION ALL SELECT 'commerce_no_recurrents', count(*) FROM nonrec1""",
     "fit": """
       SELECT customer_id, 'recurrence' AS kind, imp_oper, max_fec_trans, delta_avg, delta_std FROM recurrences
       UNION ALL BY NAME SELECT customer_id, 'level' AS kind, month_im FROM level""",
