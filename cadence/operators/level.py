@@ -1,9 +1,9 @@
 """Non-recurrent spend: monthly sums, the percentile rule and the daily level.
 
-Scale notes. Month sums are pre-aggregated per pattern and month with the
-pattern statistics and travel with the pattern row, so the non-recurrent spend
-needs neither a join nor a second pass over the payments. The percentile window runs over one customer's months:
-bounded by the length of the history, not by the number of payments.
+Scale notes. Month sums are a hash aggregate of the day-level table (one row
+per pattern and month) filtered by a semi-join on the pattern table, so no
+payment row is read again. The percentile window runs over one customer's
+months: bounded by the length of the history, not by the number of payments.
 """
 
 from __future__ import annotations
@@ -13,21 +13,19 @@ from pyspark.sql import functions as F
 
 from cadence.config import DEFAULT_CONFIG, RecurrenceConfig
 from cadence.operators.classify import NON_RECURRENT
-from cadence.operators.patterns import MONTH_SUMS
+from cadence.operators.sequence import null_safe_on
 from cadence.sources.schema import (
-    CUSTOMER, MONTH, MONTH_IM, NUM_ROWS, PERCENTILE, PERCENTILE_IM, SUM_IMPORTE, YEAR,
+    CUSTOMER, MONTH, MONTH_IM, NUM_ROWS, PATTERN_KEYS, PERCENTILE, PERCENTILE_IM, SUM_IMPORTE,
+    YEAR,
 )
 
 
-def nonrecurrent_monthly(patterns: DataFrame) -> DataFrame:
+def nonrecurrent_monthly(months: DataFrame, patterns: DataFrame) -> DataFrame:
     """Sum per customer, year and month of all payments that are not recurrent,
-    from the month sums each pattern carries (no payment row is read again)."""
-    months = (patterns.where(F.col(NON_RECURRENT))
-              .select(CUSTOMER, F.explode(MONTH_SUMS).alias("_m"))
-              .select(CUSTOMER, F.col("_m").getField(YEAR).alias(YEAR),
-                      F.col("_m").getField(MONTH).alias(MONTH),
-                      F.col("_m").getField(SUM_IMPORTE).alias(SUM_IMPORTE)))
-    return months.groupBy(CUSTOMER, YEAR, MONTH).agg(F.sum(SUM_IMPORTE).alias(SUM_IMPORTE))
+    from the month sums per pattern (``patterns.pattern_months``)."""
+    moved = patterns.where(F.col(NON_RECURRENT)).select(*[F.col(k).alias("_n_" + k) for k in PATTERN_KEYS])
+    kept = months.join(moved, null_safe_on(PATTERN_KEYS, "_n_"), "left_semi")
+    return kept.groupBy(CUSTOMER, YEAR, MONTH).agg(F.sum(SUM_IMPORTE).alias(SUM_IMPORTE))
 
 
 def monthly_percentile(monthly: DataFrame) -> DataFrame:

@@ -32,7 +32,6 @@ from cadence.sources.schema import (
 
 DAY_PAYMENTS = "day_payments"
 DAY_AMOUNT = "day_amount"
-MONTH_SUMS = "month_sums"
 
 STAT_COLUMNS = [
     MEAN_AMOUNT, MEAN_DAY_MONTH, MEAN_DIFF_DAYS, NUM_PAGOS, SD_AMOUNT, SD_DAY_MONTH,
@@ -58,17 +57,15 @@ def pattern_days(payments: DataFrame, keys: list[str] = PATTERN_KEYS) -> DataFra
 
 
 def pattern_statistics(days: DataFrame, keys: list[str] = PATTERN_KEYS) -> DataFrame:
-    """The 20 statistics of every pattern, ``nu_payments`` and its month sums.
+    """The 20 statistics of every pattern and ``nu_payments``.
 
     With payments ordered by date, the gaps are the differences between
     consecutive payment days plus a 0 for every further payment on the same
     day; the first payment has no gap: ``m = n - 1`` gaps with sum
-    ``last - first``. The month sums (array of year, month, amount) let the
-    non-recurrent spend be summed later without going back to the payments.
+    ``last - first``.
     """
     pattern = Window.partitionBy(*keys)
     by_day = pattern.orderBy(DATE)
-    by_month = Window.partitionBy(*keys, F.year(DATE), F.month(DATE))
     dom = F.dayofmonth(DATE).cast("long")
     n_days = F.col(DAY_PAYMENTS)
     f_mean_all = F.sum("_f_sum").over(pattern) / F.sum("_f_n").over(pattern)
@@ -81,9 +78,6 @@ def pattern_statistics(days: DataFrame, keys: list[str] = PATTERN_KEYS) -> DataF
         (n_days * dom).alias("_dom1"),
         (n_days * dom * dom).alias("_dom2"),
         dom.alias("_dom"),
-        F.when(F.col(DATE) == F.max(DATE).over(by_month),
-               F.struct(F.year(DATE).alias(YEAR), F.month(DATE).alias(MONTH),
-                        F.sum(DAY_AMOUNT).over(by_month).alias(SUM_IMPORTE))).alias("_month"),
     )
     agg = per_day.groupBy(*keys).agg(
         F.sum(DAY_PAYMENTS).alias(NU_PAYMENTS),
@@ -102,7 +96,6 @@ def pattern_statistics(days: DataFrame, keys: list[str] = PATTERN_KEYS) -> DataF
         F.max("_dom").alias(MAX_DAY_MONTH),
         F.min("_dom").alias(MIN_DAY_MONTH),
         F.max(DATE).alias(MAX_FECHA),
-        F.collect_list("_month").alias(MONTH_SUMS),  # one entry per month of history
     )
     n = F.col(NU_PAYMENTS)
     m = n - 1
@@ -131,7 +124,6 @@ def pattern_statistics(days: DataFrame, keys: list[str] = PATTERN_KEYS) -> DataF
         max_gap.cast("int").alias(MAX_DIFF_DAYS),
         min_gap.cast("int").alias(MIN_DIFF_DAYS),
         F.col(MAX_FECHA),
-        F.col(MONTH_SUMS),
     )
     n_float = F.col(NUM_PAGOS)
     return stats.select(
@@ -146,10 +138,15 @@ def pattern_statistics(days: DataFrame, keys: list[str] = PATTERN_KEYS) -> DataF
         relative_error(F.col(SD_DAY_MONTH), n_float, F.col(MEAN_DAY_MONTH)).alias(SRE_DAY_MONTH),
         relative_error(F.col(SD_DIFF_DAYS), as_float(n_float - F.lit(1)),
                        F.col(MEAN_DIFF_DAYS)).alias(SRE_DIFF_DAYS),
-        MONTH_SUMS,
     )
 
 
+def pattern_months(days: DataFrame, keys: list[str] = PATTERN_KEYS) -> DataFrame:
+    """Amount per pattern and calendar month (hash aggregate of the day rows)."""
+    return days.groupBy(*keys, F.year(DATE).alias(YEAR), F.month(DATE).alias(MONTH)).agg(
+        F.sum(DAY_AMOUNT).alias(SUM_IMPORTE))
+
+
 def recent_amount_variation(payments: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
     """Mean, SD and coefficient of variation of the last ``recent_payments``
     amounts of every customer and commerce (commerce scope), latest first."""

@@ -2,8 +2,7 @@
 
 ``fit`` starts no Spark job: it returns immutable DataFrames (the stages of
 the model) whose plans Catalyst and AQE optimise when the caller acts on them.
-With ``checkpoint=True`` the pattern table (one row per pattern, with its
-month sums) is written to the reliable checkpoint folder of the cluster
+With ``checkpoint=True`` the pattern table (one row per pattern) is written to the reliable checkpoint folder of the cluster
 (``spark.checkpoint.dir``); both calendars and every later stage then read it
 instead of recomputing the payments, and a lost executor costs no recompute of
 the payment shuffles.
@@ -98,7 +97,7 @@ def fit(transactions: DataFrame, as_of=None, config: RecurrenceConfig = DEFAULT_
     pattern_table = classify.categorize(stats, variation, reference, config)
     if checkpoint:
         pattern_table = _checkpointed(pattern_table)
-    monthly = level.nonrecurrent_monthly(pattern_table)
+    monthly = level.nonrecurrent_monthly(patterns.pattern_months(days), pattern_table)
     level_table = level.nonrecurrent_level(level.monthly_percentile(monthly), config)
     return RecurrenceModel(config, reference, tx, payments, days, pattern_table, monthly, level_table)
 
