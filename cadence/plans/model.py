@@ -14,10 +14,11 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from cadence.config import DEFAULT_CONFIG, RecurrenceConfig
 from cadence.operators import calendar, classify, level, patterns, prepare, sequence
-from cadence.sources.schema import CUSTOMER
+from cadence.sources.schema import CALENDAR_DATE, CUSTOMER, EXPECTED_AMOUNT, MONTH_IM
 from cadence.sources.transactions import conform
 
 
@@ -59,6 +60,16 @@ class RecurrenceModel:
         return (calendar.recurrent_calendar(self.recurrences, begin, end, self.config),
                 calendar.nonrecurrent_calendar(self.level, begin, end))
 
+    def forecast(self, begin: date | None = None, end: date | None = None) -> DataFrame:
+        """Both long calendars in one DataFrame, ``kind`` = recurrent or
+        nonrecurrent: one action computes both and Spark shares every shuffle
+        of the fitted stages between them."""
+        rec, non = self.predict_long(begin, end)
+        return (rec.select(CUSTOMER, F.lit("recurrent").alias("kind"), CALENDAR_DATE,
+                           F.col(EXPECTED_AMOUNT).cast("double").alias("amount"))
+                .unionByName(non.select(CUSTOMER, F.lit("nonrecurrent").alias("kind"), CALENDAR_DATE,
+                                        F.col(MONTH_IM).cast("double").alias("amount"))))
+
     def _horizon(self, begin, end):
         return (begin or self.config.default_begin, end or self.config.default_end)
 
@@ -90,6 +101,11 @@ def fit(transactions: DataFrame, as_of=None, config: RecurrenceConfig = DEFAULT_
     net = prepare.net_of_reversals(tx, config)
     marked_daily = prepare.marked_recurring_daily(net, config)
     payments = sequence.scoped_payments(marked_daily, prepare.not_marked(net, config), config)
+    if checkpoint:
+        # The one intermediate every later stage reads: the raw rows are read
+        # and shuffled once, and a lost executor does not send later stages
+        # back to them.
+        payments = _checkpointed(payments)
     days = patterns.pattern_days(payments)
     stats = patterns.pattern_statistics(days).join(
         prepare.recent_customers(tx, reference, config), CUSTOMER, "left_semi")
@@ -98,6 +114,8 @@ def fit(transactions: DataFrame, as_of=None, config: RecurrenceConfig = DEFAULT_
     if checkpoint:
         pattern_table = _checkpointed(pattern_table)
     monthly = level.nonrecurrent_monthly(patterns.pattern_months(days), pattern_table)
+    if checkpoint:
+        monthly = _checkpointed(monthly)
     level_table = level.nonrecurrent_level(level.monthly_percentile(monthly), config)
     return RecurrenceModel(config, reference, tx, payments, days, pattern_table, monthly, level_table)
 

@@ -228,11 +228,7 @@ def q_fit(c: Context):
 
 def q_predict(c: Context):
     """Both calendars in one result (one Spark job shares the fitted stages)."""
-    rec, non = c.model.predict_long(c.source.begin, c.source.end)
-    return (rec.select(CUSTOMER, F.lit("recurrent").alias("kind"), CALENDAR_DATE,
-                       F.col(EXPECTED_AMOUNT).cast("double").alias("amount"))
-            .unionByName(non.select(CUSTOMER, F.lit("nonrecurrent").alias("kind"), CALENDAR_DATE,
-                                    F.col(MONTH_IM).cast("double").alias("amount"))))
+    return c.model.forecast(c.source.begin, c.source.end)
 
 
 def q_stage_counts(c: Context):
