@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from cadence.config import DEFAULT_CONFIG, RecurrenceConfig
 from cadence.sources.schema import (
-    AMOUNT, COMMERCE, CUSTOMER, DATE, DAY_MONTH, DIFFERENCE_OF_DAYS, MARKED, NU_PAYMENTS, ORDER,
+    AMOUNT, DATE, DAY_MONTH, DIFFERENCE_OF_DAYS, MARKED, NU_PAYMENTS, ORDER,
     ORDER_DESC, PAIR_KEYS, PATTERN_AMOUNT, PAYMENT_COLUMNS, PREVIOUS_AMOUNT, SCOPE,
     SCOPE_AMOUNT, SCOPE_COMMERCE, TRIPLE_KEYS,
 )

@@ -16,7 +16,6 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.config import DEFAULT_CONFIG
 from cadence.functions.dates import horizon_days
 from cadence.operators import calendar, classify, level, patterns, prepare, sequence
 from cadence.operators.classify import NON_RECURRENT, REGULARITY
@@ -26,7 +25,7 @@ from cadence.sources.schema import (
     CALENDAR_DATE, COMMERCE, CUSTOMER, CV_AMOUNT, CV_FILTER, DATE, DAY_MONTH, MARKED,
     DELTA_AVG, DELTA_STD, DIFFERENCE_OF_DAYS, EXPECTED_AMOUNT, HORIZON, IMP_OPER, MAX_FEC_TRANS,
     MAX_FECHA, MEAN_AMOUNT, MEAN_DIFF_DAYS, MONTH, MONTH_IM, NU_PAYMENTS, NUM_ROWS, ORDER,
-    ORDER_DESC, PAIR_KEYS, PATTERN_AMOUNT, PATTERN_KEYS, PERCENTILE, PERCENTILE_IM,
+    ORDER_DESC, PAIR_KEYS, PATTERN_AMOUNT, PERCENTILE, PERCENTILE_IM,
     PREVIOUS_AMOUNT, RANGE_DIFF_DAYS, SCOPE, SCOPE_AMOUNT, SCOPE_COMMERCE, SD_AMOUNT,
     SD_DIFF_DAYS, SRE_DIFF_DAYS, STATUS, SUM_IMPORTE, TRANSACTION_COLUMNS, YEAR, AMOUNT,
 )

@@ -11,7 +11,7 @@ from cadence.plans.model import fit
 from cadence.plans.queries import F1, F3
 from cadence.sources.schema import (
     AMOUNT, CALENDAR_DATE, CUSTOMER, DATE, EXPECTED_AMOUNT, MONTH_IM, NU_PAYMENTS, PATTERN_KEYS,
-    SCOPE, STATUS, SUM_IMPORTE,
+    STATUS, SUM_IMPORTE,
 )
 from tests.conftest import SF_SMALL
 
