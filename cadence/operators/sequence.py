@@ -6,11 +6,11 @@ payments of a customer at a commerce (scope COMMERCE). Instead of splitting the
 rows into complementary tables and unioning them again, every payment carries
 its pattern key ``(customer, commerce, scope, pattern_amount)``.
 
-Scale notes. The only windows over payments are partitioned by a pattern *and a
-day*, or run over day-level rows (one row per pattern and calendar day). A
-pattern with a third of all rows therefore never lands in one task: its rows are
-pre-aggregated per day before the pattern-wide window, and what remains is
-bounded by the number of calendar days of the history.
+Scale notes. No window runs over raw payments. Identical payments collapse
+into counted blocks first; windows run over the blocks of one pattern and day,
+or over day-level rows (one row per pattern and calendar day). A pattern with a
+third of all rows, or a group of copies that large, therefore never lands in
+one task as rows.
 """
 
 from __future__ import annotations
@@ -66,6 +66,11 @@ def commerce_scope(payments: DataFrame) -> DataFrame:
     return payments.where(F.col(SCOPE) == SCOPE_COMMERCE).select(*PAYMENT_COLUMNS)
 
 
+# Rows regenerated per task from one block of identical payments; larger
+# blocks are cut into chunks of this size that are spread over tasks first.
+COPIES_PER_CHUNK = 4096
+
+
 def payment_sequence(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Sequence variables of every payment within the group ``keys``.
 
@@ -79,48 +84,65 @@ def payment_sequence(rows: DataFrame, keys: list[str]) -> DataFrame:
     * ``order``: position in the group; ``order2``: position from the end among
       the payments of the same customer and commerce.
 
-    Built from a day-level table (cumulative counts and previous day over at
-    most one row per calendar day) and windows within one group and day.
+    Identical payments (same group, day and amount) first collapse into one
+    counted block (partial aggregation before the shuffle), so a group of
+    copies never reaches a window as rows. Windows then run over the blocks of
+    one group and day (ordered by amount) and over the day rows of one group
+    (at most one per calendar day); each block is expanded back into its rows
+    at the end, big blocks in chunks spread over tasks.
     """
     keys = list(keys)
     day_keys = keys + [DATE]
-    by_day = Window.partitionBy(*keys).orderBy(DATE)
-    days = (
-        rows.groupBy(*day_keys)
-        .agg(F.count(F.lit(1)).alias("_c"), F.max(AMOUNT).alias("_day_max"))
-        .select(
-            *[F.col(k).alias("_d_" + k) for k in day_keys],
-            F.sum("_c").over(Window.partitionBy(*keys)).alias(NU_PAYMENTS),
-            (F.sum("_c").over(by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-             - F.col("_c")).alias("_before"),
-            F.lag(DATE).over(by_day).alias("_prev_date"),
-            F.lag("_day_max").over(by_day).alias("_prev_amount"),
-        )
-    )
-    within_day = Window.partitionBy(*day_keys).orderBy(F.col(AMOUNT).asc_nulls_first())
-    extra = []
+    block_keys = day_keys + ([] if AMOUNT in keys else [AMOUNT])
     pair_scope = set(keys) == set(PAIR_KEYS)
+
+    in_day = Window.partitionBy(*day_keys).orderBy(F.col(AMOUNT).asc_nulls_first())
+    whole_day = Window.partitionBy(*day_keys)
+    extra = []
     if not pair_scope:
         # Groups finer than the pair only occur for day-summed marked payments,
         # which are unique per pair and day: this window holds one row per day.
         by_pair_desc = Window.partitionBy(*PAIR_KEYS).orderBy(
             F.col(DATE).desc(), F.col(AMOUNT).desc_nulls_last())
         extra = [F.row_number().over(by_pair_desc).alias(ORDER_DESC)]
-    ranked = rows.select(
-        *PAYMENT_COLUMNS,
-        F.row_number().over(within_day).alias("_in_day"),
-        F.lag(AMOUNT).over(within_day).alias("_prev_in_day"),
-        *extra,
+    blocks = (
+        rows.groupBy(*block_keys).agg(F.count(F.lit(1)).alias("_c"))
+        .select(
+            *block_keys, "_c",
+            F.row_number().over(in_day).alias("_block_in_day"),
+            F.coalesce(F.sum("_c").over(in_day.rowsBetween(Window.unboundedPreceding, -1)),
+                       F.lit(0)).alias("_before_in_day"),
+            F.lag(AMOUNT).over(in_day).alias("_prev_in_day"),
+            F.sum("_c").over(whole_day).alias("_day_c"),
+            F.max(AMOUNT).over(whole_day).alias("_day_max"),
+            *extra,
+        )
+    )
+    by_day = Window.partitionBy(*keys).orderBy(DATE)
+    days = (
+        blocks.where(F.col("_block_in_day") == 1)
+        .select(
+            *[F.col(k).alias("_d_" + k) for k in day_keys],
+            F.sum("_day_c").over(Window.partitionBy(*keys)).alias(NU_PAYMENTS),
+            F.coalesce(F.sum("_day_c").over(by_day.rowsBetween(Window.unboundedPreceding, -1)),
+                       F.lit(0)).alias("_before_day"),
+            F.lag(DATE).over(by_day).alias("_prev_date"),
+            F.lag("_day_max").over(by_day).alias("_prev_amount"),
+        )
     )
-    seq = ranked.join(days, null_safe_on(day_keys, "_d_"), "inner")
-    first_of_day = F.col("_in_day") == 1
-    order = (F.col("_before") + F.col("_in_day")).cast("int")
+    placed = blocks.join(days, null_safe_on(day_keys, "_d_"), "inner")
+    copies = _expand_copies(placed)
+    first_of_block = F.col("_i") == 1
+    first_of_day = first_of_block & (F.col("_block_in_day") == 1)
+    order = (F.col("_before_day") + F.col("_before_in_day") + F.col("_i")).cast("int")
     order_desc = (F.col(NU_PAYMENTS) - order + 1) if pair_scope else F.col(ORDER_DESC)
-    return seq.select(
+    return copies.select(
         *PAYMENT_COLUMNS,
         F.when(first_of_day, F.datediff(F.col(DATE), F.col("_prev_date")))
          .otherwise(F.lit(0)).cast("int").alias(DIFFERENCE_OF_DAYS),
-        F.when(first_of_day, F.col("_prev_amount")).otherwise(F.col("_prev_in_day")).alias(PREVIOUS_AMOUNT),
+        F.when(first_of_day, F.col("_prev_amount"))
+         .when(first_of_block, F.col("_prev_in_day"))
+         .otherwise(F.col(AMOUNT)).alias(PREVIOUS_AMOUNT),
         F.dayofmonth(DATE).alias(DAY_MONTH),
         F.col(NU_PAYMENTS).cast("long").alias(NU_PAYMENTS),
         order.alias(ORDER),
@@ -128,6 +150,27 @@ def payment_sequence(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def _expand_copies(blocks: DataFrame) -> DataFrame:
+    """One row per copy of each block, numbered ``_i`` = 1..``_c``.
+
+    Blocks of up to ``COPIES_PER_CHUNK`` copies expand in place. Larger ones
+    are first cut into chunk rows, which are redistributed over tasks before
+    they expand, so no task emits a whole hot block on its own.
+    """
+    size = COPIES_PER_CHUNK
+    small = blocks.where(F.col("_c") <= size).select(
+        "*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_c"))).alias("_i"))
+    chunks = (blocks.where(F.col("_c") > size)
+              .select("*", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                F.floor((F.col("_c") - 1) / size))).alias("_chunk"))
+              .repartition("_chunk", *[c for c in blocks.columns if c.startswith("_d_")]))
+    big = chunks.select(
+        *[c for c in chunks.columns if c != "_chunk"],
+        F.explode(F.sequence(F.col("_chunk") * size + 1,
+                             F.least(F.col("_c"), (F.col("_chunk") + 1) * size))).alias("_i"))
+    return small.unionByName(big)
+
+
 def amount_recurrences(marked_daily: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
     """Marked day-sums with their sequence over (customer, commerce, amount),
     kept when the amount repeats more than twice."""
