@@ -20,6 +20,9 @@ class RecurrenceConfig:
     marked_debit_type: str = "CR"    # debit type of payments marked as recurring
     default_begin: date = date(2017, 4, 30)
     default_end: date = date(2017, 5, 30)
+    # Not in the original model, which keeps rows dated after the reference
+    # date: set to drop them before fitting.
+    cut_after_reference: bool = False
 
 
 DEFAULT_CONFIG = RecurrenceConfig()

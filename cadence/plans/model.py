@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from cadence.config import DEFAULT_CONFIG, RecurrenceConfig
 from cadence.operators import calendar, classify, level, patterns, prepare, sequence
-from cadence.sources.schema import CALENDAR_DATE, CUSTOMER, EXPECTED_AMOUNT, MONTH_IM
+from cadence.sources.schema import CALENDAR_DATE, CUSTOMER, DATE, EXPECTED_AMOUNT, MONTH_IM
 from cadence.sources.transactions import conform
 
 
@@ -94,6 +94,8 @@ def fit(transactions: DataFrame, as_of=None, config: RecurrenceConfig = DEFAULT_
     """
     tx = conform(transactions)
     reference = prepare.reference_date(tx, as_of)
+    if config.cut_after_reference:
+        tx = tx.where(F.col(DATE) <= reference)
     # Reversals go first, on all customers: the activity filter is applied to
     # the pattern table below, so the payment rows are shuffled once (for the
     # reversal anti-join) instead of once more by customer. Every later step

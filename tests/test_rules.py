@@ -174,3 +174,13 @@ def test_empty_horizon_is_rejected(spark):
     model = fit(frame(spark, payments(1, 1, D0, [30, 30])), D0)
     with pytest.raises(ValueError):
         model.predict(date(2020, 5, 1), date(2020, 5, 1))
+
+
+def test_rows_after_the_reference_date_count_unless_cut(spark):
+    from cadence.config import RecurrenceConfig
+    rows = payments(1, 1, D0, [30, 30, 30])                  # last payment D0 + 90
+    as_of = D0 + timedelta(days=60)
+    kept = fit(frame(spark, rows), as_of)
+    cut = fit(frame(spark, rows), as_of, RecurrenceConfig(cut_after_reference=True))
+    assert kept.patterns.first()["nu_payments"] == 4
+    assert cut.patterns.first()["nu_payments"] == 3
