@@ -2,14 +2,20 @@
 
 ``fit`` starts no Spark job: it returns immutable DataFrames (the stages of
 the model) whose plans Catalyst and AQE optimise when the caller acts on them.
-With ``checkpoint=True`` the pattern table (one row per pattern) is written to the reliable checkpoint folder of the cluster
-(``spark.checkpoint.dir``); both calendars and every later stage then read it
-instead of recomputing the payments, and a lost executor costs no recompute of
-the payment shuffles.
+``model.forecast()`` returns both calendars in one DataFrame for one action.
+
+With ``checkpoint=True`` three tables are written as parquet into the shared
+checkpoint folder of the cluster (``spark.checkpoint.dir``): the payments with
+their pattern keys (the only stage that reads and shuffles the raw rows), the
+pattern table (one row per pattern) and the monthly non-recurrent table (one
+row per customer and month). Every later stage reads them, so branches that
+need different columns of the same intermediate do not recompute it, and a
+lost executor costs no recompute of the raw shuffles.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import date
 
@@ -74,15 +80,18 @@ class RecurrenceModel:
         return (begin or self.config.default_begin, end or self.config.default_end)
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
+def _checkpointed(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet into the shared checkpoint folder of the
+    cluster (``spark.checkpoint.dir``) and read it back: the lineage is cut,
+    the table is compressed and columnar, and later stages read only the
+    columns they need."""
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            raise RuntimeError("checkpoint=True needs spark.checkpoint.dir (a shared folder)")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise RuntimeError("checkpoint=True needs spark.checkpoint.dir (a shared folder)")
+    path = f"{folder.rstrip('/')}/cadence-{uuid.uuid4().hex}/{name}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def fit(transactions: DataFrame, as_of=None, config: RecurrenceConfig = DEFAULT_CONFIG,
@@ -107,17 +116,17 @@ def fit(transactions: DataFrame, as_of=None, config: RecurrenceConfig = DEFAULT_
         # The one intermediate every later stage reads: the raw rows are read
         # and shuffled once, and a lost executor does not send later stages
         # back to them.
-        payments = _checkpointed(payments)
+        payments = _checkpointed(payments, "payments")
     days = patterns.pattern_days(payments)
     stats = patterns.pattern_statistics(days).join(
         prepare.recent_customers(tx, reference, config), CUSTOMER, "left_semi")
     variation = patterns.recent_amount_variation(payments, config)
     pattern_table = classify.categorize(stats, variation, reference, config)
     if checkpoint:
-        pattern_table = _checkpointed(pattern_table)
+        pattern_table = _checkpointed(pattern_table, "patterns")
     monthly = level.nonrecurrent_monthly(patterns.pattern_months(days), pattern_table)
     if checkpoint:
-        monthly = _checkpointed(monthly)
+        monthly = _checkpointed(monthly, "monthly")
     level_table = level.nonrecurrent_level(level.monthly_percentile(monthly), config)
     return RecurrenceModel(config, reference, tx, payments, days, pattern_table, monthly, level_table)
 
