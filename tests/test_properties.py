@@ -114,3 +114,13 @@ def test_payment_sequence_orders_ties_by_amount(spark):
     ).where((F.col("s") != F.col("n") * (F.col("n") + 1) / 2) | (F.col("mx") != F.col("n"))
             | (F.col("desc_bad") > 0))
     assert bad.count() == 0
+
+
+def test_checkpointed_fit_equals_lazy_fit(spark, f1):
+    lazy = fit(f1, F1.as_of).forecast(F1.begin, F1.end)
+    written = fit(f1, F1.as_of, checkpoint=True)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert folder
+    assert sorted(map(tuple, lazy.collect())) == sorted(map(tuple, written.forecast(F1.begin, F1.end).collect()))
+    plan = written.forecast(F1.begin, F1.end)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" not in plan   # the raw rows are not read again
