@@ -78,6 +78,8 @@ class Source:
 F1 = Source("customer", testdata.customer_transactions, testdata.F1_AS_OF, testdata.F1_BEGIN, testdata.F1_END)
 F2 = Source("lineitem", testdata.lineitem_transactions, None, date(2001, 11, 5), date(2001, 12, 5))
 F3 = Source("events", testdata.event_transactions, None, date(2024, 1, 31), date(2024, 3, 1))
+F4 = Source("gaps", testdata.customer_transactions_with_gaps, testdata.F1_AS_OF, testdata.F1_BEGIN,
+            testdata.F1_END)
 
 
 @dataclass(frozen=True)
@@ -334,6 +336,15 @@ QUERIES = [
     Query("pattern_statistics_events", q_pattern_statistics, _cols(STATS), F3),
     Query("categorized_recurrences_events", q_categorized_recurrences, _cols(CATEGORY_COLS), F3),
     Query("predict_events", q_predict, _cols(PREDICT_COLS), F3),
+    # Missing and degenerate values (NULL merchants and amounts, zero amounts,
+    # NULL reversal keys) on the customer-derived rows.
+    Query("net_of_reversals_gaps", q_net_of_reversals, _cols(TX_COLUMNS), F4),
+    Query("categorized_recurrences_gaps", q_categorized_recurrences, _cols(CATEGORY_COLS), F4),
+    Query("pattern_statistics_gaps", q_pattern_statistics, _cols(STATS), F4),
+    Query("payment_sequence_gaps", q_payment_sequence, _cols(SEQUENCE), F4),
+    Query("nonrecurrent_monthly_gaps", q_nonrecurrent_monthly,
+          _cols([(CUSTOMER, KEEP), (YEAR, LONG), (MONTH, LONG), (SUM_IMPORTE, MONEY)]), F4),
+    Query("predict_gaps", q_predict, _cols(PREDICT_COLS), F4),
 ]
 
 BY_NAME = {q.name: q for q in QUERIES}

@@ -7,6 +7,8 @@ Three mappings, described in FIXTURES.md:
   merchant, a varying and a constant one.
 * ``lineitem_transactions`` (F2): one payment per line item, for volume.
 * ``event_transactions`` (F3): short histories from ``events``, many ties.
+* ``customer_transactions_with_gaps`` (F4): F1 with NULL merchants, NULL and
+  zero amounts and NULL operation ids.
 
 The SQL text is shared with the DuckDB oracle (``{customer}`` etc. name the
 source table), so both engines start from identical rows.
@@ -81,6 +83,24 @@ F1_SQL_SPARK = F1_SQL.replace(
     "lateral view explode(sequence(0, 8)) j as j")
 assert F1_SQL_SPARK != F1_SQL
 
+# the F1 rows with missing and degenerate values set by rule: NULL
+# merchants, NULL and zero amounts, NULL operation ids (reversal groups with a
+# NULL key). ``{f1}`` is the F1 query.
+F4_SQL = """
+select customer_id,
+       case when customer_id % 9 = 4 then null else operation_id end as operation_id,
+       return_type, debit_type, line_of_business_id,
+       case when customer_id % 7 = 3 and commerce_affiliation_id = 2 then null
+            else commerce_affiliation_id end as commerce_affiliation_id,
+       message_type, operation_date, operation_time_date,
+       case when customer_id % 23 = 7 and commerce_affiliation_id = 1 then null
+            when customer_id % 13 = 5 and commerce_affiliation_id = 3 then cast(0 as decimal(12,2))
+            else transaction_amount end as transaction_amount,
+       authorization_reference_number, operation1_id, partitioning_type,
+       operation_card_owner_type, lynx_validation_type, original_transaction_amount
+from ({f1}) f1
+"""
+
 # Test dates of F1: the reference date and the forecast horizon [begin, end).
 F1_AS_OF = date(2001, 6, 30)
 F1_BEGIN = date(2001, 7, 1)
@@ -95,6 +115,11 @@ def customer_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(spark.sql(F1_SQL_SPARK, customer=_table(spark, sf_dir, "customer")))
 
 
+def customer_transactions_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f1 = spark.sql(F1_SQL_SPARK, customer=_table(spark, sf_dir, "customer"))
+    return conform(spark.sql(F4_SQL, f1=f1))
+
+
 def lineitem_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(spark.sql(
         F2_SQL,
@@ -109,4 +134,5 @@ def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def duckdb_text(sql: str) -> str:
     """The same SQL over the DuckDB views of the driver."""
-    return sql.format(customer="customer", lineitem="lineitem", orders="orders", events="events")
+    f1 = F1_SQL.format(customer="customer")
+    return sql.format(customer="customer", lineitem="lineitem", orders="orders", events="events", f1=f1)

@@ -143,7 +143,7 @@ def pipeline_ctes(source_sql: str, as_of_sql: str) -> str:
                 UNION ALL BY NAME SELECT * FROM commerce_live WHERE regularity IN ('HARD', 'SOFT')))""",
         """monthly AS (SELECT customer_id, year(operation_date) AS year, month(operation_date) AS month,
                    sum(transaction_amount) AS sum_importe FROM nonrec GROUP BY customer_id, year(operation_date), month(operation_date))""",
-        """pct AS (SELECT *, percent_rank() OVER (PARTITION BY customer_id ORDER BY sum_importe) AS percentile,
+        """pct AS (SELECT *, percent_rank() OVER (PARTITION BY customer_id ORDER BY sum_importe ASC NULLS FIRST) AS percentile,
                    count(*) OVER (PARTITION BY customer_id) AS num_rows FROM monthly)""",
         """pct2 AS (SELECT *, CASE WHEN percentile >= 1.0::DOUBLE - 1.0::DOUBLE / num_rows THEN sum_importe END AS percentile_im
                  FROM pct)""",

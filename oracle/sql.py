@@ -11,6 +11,7 @@ SOURCE_SQL = {
     "customer": testdata.duckdb_text(testdata.F1_SQL),
     "lineitem": testdata.duckdb_text(testdata.F2_SQL),
     "events": testdata.duckdb_text(testdata.F3_SQL),
+    "gaps": testdata.duckdb_text(testdata.F4_SQL),
 }
 
 _PATTERN_AMOUNT = "transaction_amount AS pattern_amount"
@@ -113,7 +114,7 @@ def _present(name: str, kind: str) -> str:
 
 
 def _base_name(query: Q.Query) -> str:
-    for suffix in ("_lineitem", "_events"):
+    for suffix in ("_lineitem", "_events", "_gaps"):
         if query.name.endswith(suffix):
             return query.name[: -len(suffix)]
     return query.name
