@@ -1,7 +1,5 @@
 """Properties of the model on the test tables."""
 
-from datetime import date
-
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F

@@ -4,10 +4,9 @@ from collections import Counter
 from datetime import date, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from cadence.operators import sequence
-from cadence.sources.schema import PAIR_KEYS, PAYMENT_COLUMNS, TRIPLE_KEYS
+from cadence.sources.schema import PAIR_KEYS, TRIPLE_KEYS
 
 D0 = date(2021, 5, 1)
 SCHEMA = "customer_id bigint, commerce_affiliation_id int, transaction_amount decimal(12,2), operation_date date"
