@@ -1,8 +1,9 @@
 """Pattern statistics (20 per pattern) and the variation of the last amounts.
 
-Scale notes. All statistics come from one shuffle of the payments: an
-aggregate per pattern and day (partial aggregation before the shuffle) that
-keeps the count, the amount sums, extremes and the within-day second moment.
+Scale notes. The payments arrive as counted blocks (``payment_blocks``:
+identical payments collapsed map-side). All statistics come from one shuffle
+of the blocks: an aggregate per pattern and day that keeps the count, the
+amount sums, extremes and the within-day second moment.
 A pattern then holds at most one row per calendar day, however many payments
 it has; one window over those rows gives the gaps between consecutive payment
 days and the pattern mean, and a final aggregate (same partitioning, no
@@ -21,13 +22,12 @@ from pyspark.sql import functions as F
 
 from cadence.config import DEFAULT_CONFIG, RecurrenceConfig
 from cadence.functions.stats import as_float, relative_error, sample_sd_from_moments
-from cadence.operators.sequence import commerce_scope
 from cadence.sources.schema import (
     AMOUNT, COMMERCE, CUSTOMER, CV_AMOUNT, DATE, MAX_AMOUNT, MAX_DAY_MONTH, MAX_DIFF_DAYS,
     MAX_FECHA, MEAN_AMOUNT, MEAN_DAY_MONTH, MEAN_DIFF_DAYS, MIN_AMOUNT, MIN_DAY_MONTH,
     MIN_DIFF_DAYS, MONTH, NU_PAYMENTS, NUM_PAGOS, ORDER_DESC, PAIR_KEYS, PATTERN_KEYS,
     RANGE_AMOUNT, RANGE_DAY_MONTH, RANGE_DIFF_DAYS, SD_AMOUNT, SD_DAY_MONTH, SD_DIFF_DAYS,
-    SRE_AMOUNT, SRE_DAY_MONTH, SRE_DIFF_DAYS, SUM_IMPORTE, YEAR,
+    SCOPE, SCOPE_COMMERCE, SRE_AMOUNT, SRE_DAY_MONTH, SRE_DIFF_DAYS, SUM_IMPORTE, WEIGHT, YEAR,
 )
 
 DAY_PAYMENTS = "day_payments"
@@ -42,17 +42,31 @@ STAT_COLUMNS = [
 
 
 def pattern_days(payments: DataFrame, keys: list[str] = PATTERN_KEYS) -> DataFrame:
-    """One row per pattern and day: payments, amount sum, and the moments of the
-    amount at the model's 32-bit precision."""
-    amount = as_float(F.col(AMOUNT)).cast("double")
-    return payments.groupBy(*keys, DATE).agg(
-        F.count(F.lit(1)).alias(DAY_PAYMENTS),
-        F.sum(AMOUNT).alias(DAY_AMOUNT),
-        F.sum(amount).alias("_f_sum"),
-        (F.var_pop(amount) * F.count(amount)).alias("_f_m2"),
-        F.count(amount).alias("_f_n"),
-        F.max(amount).alias("_f_max"),
-        F.min(amount).alias("_f_min"),
+    """One row per pattern and day from the payment blocks (``payment_blocks``):
+    payments, amount sum, and the moments of the amount at the model's 32-bit
+    precision, each block weighted by the identical payments it stands for.
+
+    The day mean comes from a window over the blocks of one pattern and day
+    (bounded by the distinct amounts of that day); the aggregate then runs on
+    the same partitioning, without another shuffle.
+    """
+    weight = F.col(WEIGHT)
+    known = F.when(F.col(AMOUNT).isNotNull(), weight)     # weight of non-NULL amounts
+    f = as_float(F.col(AMOUNT)).cast("double")
+    day = Window.partitionBy(*keys, DATE)
+    blocks = payments.select(
+        *keys, DATE, AMOUNT, weight.alias("_w"), known.alias("_wk"), f.alias("_f"),
+        (F.sum(known * f).over(day) / F.sum(known).over(day)).alias("_mean_day"),
+    )
+    deviation = F.col("_f") - F.col("_mean_day")
+    return blocks.groupBy(*keys, DATE).agg(
+        F.sum("_w").alias(DAY_PAYMENTS),
+        F.sum(F.col(AMOUNT) * F.col("_w")).alias(DAY_AMOUNT),
+        F.sum(F.col("_wk") * F.col("_f")).alias("_f_sum"),
+        F.sum(F.col("_wk") * deviation * deviation).alias("_f_m2"),
+        F.sum("_wk").alias("_f_n"),
+        F.max("_f").alias("_f_max"),
+        F.min("_f").alias("_f_min"),
     )
 
 
@@ -149,12 +163,23 @@ def pattern_months(days: DataFrame, keys: list[str] = PATTERN_KEYS) -> DataFrame
 
 def recent_amount_variation(payments: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
     """Mean, SD and coefficient of variation of the last ``recent_payments``
-    amounts of every customer and commerce (commerce scope), latest first."""
+    amounts of every customer and commerce (commerce scope), latest first.
+
+    From the payment blocks: the last ``k`` blocks per pair (a map-side partial
+    top-k before the shuffle), each expanded to at most ``k`` copies, then the
+    last ``k`` payments among those (at most k*k rows per pair)."""
+    k = config.recent_payments
     latest_first = Window.partitionBy(*PAIR_KEYS).orderBy(
         F.col(DATE).desc(), F.col(AMOUNT).desc_nulls_last())
-    recent = (commerce_scope(payments)
-              .select(CUSTOMER, COMMERCE, AMOUNT, F.row_number().over(latest_first).alias(ORDER_DESC))
-              .where(F.col(ORDER_DESC) <= config.recent_payments))
+    last_blocks = (payments.where(F.col(SCOPE) == SCOPE_COMMERCE)
+                   .select(CUSTOMER, COMMERCE, DATE, AMOUNT, WEIGHT,
+                           F.row_number().over(latest_first).alias("_block_rank"))
+                   .where(F.col("_block_rank") <= k))
+    copies = last_blocks.select(
+        CUSTOMER, COMMERCE, DATE, AMOUNT,
+        F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.col(WEIGHT), F.lit(k).cast("long")))).alias("_copy"))
+    recent = (copies.select(CUSTOMER, COMMERCE, AMOUNT, F.row_number().over(latest_first).alias(ORDER_DESC))
+              .where(F.col(ORDER_DESC) <= k))
     amount = as_float(F.col(AMOUNT))
     mean = as_float(F.avg(amount))
     sd = as_float(F.stddev(amount))

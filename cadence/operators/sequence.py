@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from cadence.config import DEFAULT_CONFIG, RecurrenceConfig
 from cadence.sources.schema import (
-    AMOUNT, DATE, DAY_MONTH, DIFFERENCE_OF_DAYS, MARKED, NU_PAYMENTS, ORDER,
+    AMOUNT, COMMERCE, CUSTOMER, DATE, DAY_MONTH, DEBIT_TYPE, DIFFERENCE_OF_DAYS, MARKED, WEIGHT, NU_PAYMENTS, ORDER,
     ORDER_DESC, PAIR_KEYS, PATTERN_AMOUNT, PAYMENT_COLUMNS, PREVIOUS_AMOUNT, SCOPE,
     SCOPE_AMOUNT, SCOPE_COMMERCE, TRIPLE_KEYS,
 )
@@ -60,6 +60,37 @@ def scoped_payments(marked_daily: DataFrame, other: DataFrame,
     return marked.unionByName(rest)
 
 
+def payment_blocks(net: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
+    """All payments with their pattern key, as counted blocks, from one
+    aggregate over the rows (one scan, one shuffle, map-side combine).
+
+    A marked group (customer, commerce, day) is one payment: the day-sum of the
+    marked rows. An unmarked group (customer, commerce, day, amount) is a block
+    of identical payments, ``payments`` of them. Rows with a NULL debit type are
+    in neither half. Scope as in ``scoped_payments``: the window counts marked
+    day-sums per amount, at most one per calendar day.
+    """
+    is_marked = F.col(DEBIT_TYPE) == config.marked_debit_type
+    groups = (net.where(F.col(DEBIT_TYPE).isNotNull())
+                 .groupBy(CUSTOMER, COMMERCE, DATE, is_marked.alias(MARKED),
+                          F.when(~is_marked, F.col(AMOUNT)).alias("_block_amount"))
+                 .agg(F.sum(AMOUNT).alias("_day_sum"), F.count(F.lit(1)).alias("_rows")))
+    marked = F.col(MARKED)
+    blocks = groups.select(
+        CUSTOMER, COMMERCE, DATE, MARKED,
+        F.when(marked, F.col("_day_sum")).otherwise(F.col("_block_amount")).alias(AMOUNT),
+        F.when(marked, F.lit(1).cast("long")).otherwise(F.col("_rows")).alias(WEIGHT),
+    )
+    same_amount = Window.partitionBy(CUSTOMER, COMMERCE, MARKED, AMOUNT)
+    in_amount_scope = marked & (F.count(F.lit(1)).over(same_amount) >= config.min_payments)
+    return blocks.select(
+        CUSTOMER, COMMERCE, AMOUNT, DATE,
+        F.when(in_amount_scope, F.lit(SCOPE_AMOUNT)).otherwise(F.lit(SCOPE_COMMERCE)).alias(SCOPE),
+        F.when(in_amount_scope, F.col(AMOUNT)).alias(PATTERN_AMOUNT),
+        MARKED, WEIGHT,
+    )
+
+
 def commerce_scope(payments: DataFrame) -> DataFrame:
     """The rows looked at per customer and commerce: unmarked payments plus
     marked day-sums that are not an AMOUNT pattern."""

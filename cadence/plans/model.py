@@ -33,7 +33,7 @@ class RecurrenceModel:
     config: RecurrenceConfig
     as_of: Column
     transactions: DataFrame   # conformed input
-    payments: DataFrame       # every payment with its pattern key (all customers)
+    payments: DataFrame       # payments with their pattern key, as counted blocks (all customers)
     days: DataFrame           # one row per pattern and day
     patterns: DataFrame       # one row per pattern of an active customer: statistics, status
     monthly: DataFrame        # non-recurrent sum per customer and month
@@ -110,8 +110,9 @@ def fit(transactions: DataFrame, as_of=None, config: RecurrenceConfig = DEFAULT_
     # reversal anti-join) instead of once more by customer. Every later step
     # groups by keys that contain the customer, so the result is the same.
     net = prepare.net_of_reversals(tx, config)
-    marked_daily = prepare.marked_recurring_daily(net, config)
-    payments = sequence.scoped_payments(marked_daily, prepare.not_marked(net, config), config)
+    # One aggregate over the rows: marked day-sums and blocks of identical
+    # other payments (one scan, one shuffle, copies collapsed map-side).
+    payments = sequence.payment_blocks(net, config)
     if checkpoint:
         # The one intermediate every later stage reads: the raw rows are read
         # and shuffled once, and a lost executor does not send later stages

@@ -150,11 +150,11 @@ def q_recent_amount_variation(c: Context):
 
 def q_similar_amount_recurrences(c: Context):
     flags = _commerce_candidates(c.model).select(*PAIR_KEYS, CV_FILTER)
-    return sequence.commerce_scope(c.model.payments).join(flags, PAIR_KEYS, "inner")
+    return sequence.commerce_scope(c.model.active_payments()).join(flags, PAIR_KEYS, "inner")
 
 
 def q_pattern_transactions(c: Context):
-    return classify.pattern_transactions(c.model.payments, c.model.patterns, CANDIDATES)
+    return classify.pattern_transactions(c.model.active_payments(), c.model.patterns, CANDIDATES)
 
 
 def q_recurrence_horizon(c: Context):
@@ -171,7 +171,7 @@ def q_lapsed_recurrences(c: Context):
 
 def q_lapsed_to_nonrecurrent(c: Context):
     moved = c.model.patterns.where((F.col(STATUS) == "LAPSED") & F.col(NON_RECURRENT))
-    return classify.pattern_transactions(c.model.payments, moved, ["LAPSED"])
+    return classify.pattern_transactions(c.model.active_payments(), moved, ["LAPSED"])
 
 
 def q_regularity_class(c: Context):

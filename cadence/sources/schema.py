@@ -81,6 +81,7 @@ SCOPE = "scope"                    # AMOUNT or COMMERCE
 PATTERN_AMOUNT = "pattern_amount"  # the amount of an AMOUNT pattern, NULL for COMMERCE
 STATUS = "status"                  # fate of a pattern, see operators.classify
 MARKED = "marked"                  # payment is a day-sum of payments marked as recurring
+WEIGHT = "payments"                # identical payments a block row stands for
 HORIZON = "horizon_date"
 CALENDAR_DATE = "calendar_date"
 EXPECTED_AMOUNT = "expected_amount"

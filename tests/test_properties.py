@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cadence.operators import patterns, sequence
+from cadence.operators import patterns, prepare, sequence
 from cadence.plans.model import fit
 from cadence.plans.queries import F1, F3
 from cadence.sources.schema import (
@@ -74,8 +74,10 @@ def test_partition_count_does_not_change_results(spark, f1):
 def test_day_level_statistics_equal_row_level_statistics(spark):
     """Statistics from the day-level table against the row-by-row definition
     (window over the payments, NULL gap on the first one) on tied histories."""
-    model = fit(F3.load(spark, SF_SMALL), F3.as_of)
-    pays = model.payments
+    tx = F3.load(spark, SF_SMALL)
+    model = fit(tx, F3.as_of)
+    net = prepare.net_of_reversals(tx)
+    pays = sequence.scoped_payments(prepare.marked_recurring_daily(net), prepare.not_marked(net))
     w = Window.partitionBy(*PATTERN_KEYS).orderBy(DATE, AMOUNT)
     rows = pays.select(*PATTERN_KEYS, DATE, AMOUNT,
                        F.datediff(F.col(DATE), F.lag(DATE).over(w)).alias("gap"))
