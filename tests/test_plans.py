@@ -43,3 +43,12 @@ def test_reversals_are_an_anti_join_and_activity_a_semi_join(spark):
     text = model.patterns._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftAnti" in text
     assert "LeftSemi" in text
+
+
+def test_payments_come_from_one_scan_of_the_rows(spark):
+    """No split by debit type below the reversal join: every branch of the fit
+    reads the rows with the same filters, so their shuffles are shared."""
+    model = fit(F1.load(spark, SF_SMALL), F1.as_of)
+    text = plan_text(model.patterns)
+    assert "EqualTo(debit_type,CR)" not in text
+    assert "Not(EqualTo(debit_type,CR))" not in text
