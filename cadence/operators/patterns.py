@@ -2,8 +2,9 @@
 
 Scale notes. The payments arrive as counted blocks (``payment_blocks``:
 identical payments collapsed map-side). All statistics come from one shuffle
-of the blocks: an aggregate per pattern and day that keeps the count, the
-amount sums, extremes and the within-day second moment.
+of the blocks: a window over the blocks of one pattern and day (the day mean)
+and an aggregate per pattern and day on the same partitioning that keeps the
+count, the amount sums, extremes and the within-day second moment.
 A pattern then holds at most one row per calendar day, however many payments
 it has; one window over those rows gives the gaps between consecutive payment
 days and the pattern mean, and a final aggregate (same partitioning, no
@@ -12,7 +13,7 @@ merges partial aggregates (within-day second moments plus the spread of the
 day means), and the day gaps and days of the month are integers whose sums of
 squares are exact. The last payments are a ``row_number() <= k`` filter, which
 Spark plans as a map-side partial top-k (``WindowGroupLimit``) before the
-shuffle, so at most k rows per pattern and map task travel.
+shuffle, so at most k blocks per pair and map task travel.
 """
 
 from __future__ import annotations
