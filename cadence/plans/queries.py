@@ -27,7 +27,7 @@ from cadence.sources.schema import (
     MAX_FECHA, MEAN_AMOUNT, MEAN_DIFF_DAYS, MONTH, MONTH_IM, NU_PAYMENTS, NUM_ROWS, ORDER,
     ORDER_DESC, PAIR_KEYS, PATTERN_AMOUNT, PERCENTILE, PERCENTILE_IM,
     PREVIOUS_AMOUNT, RANGE_DIFF_DAYS, SCOPE, SCOPE_AMOUNT, SCOPE_COMMERCE, SD_AMOUNT,
-    SD_DIFF_DAYS, SRE_DIFF_DAYS, STATUS, SUM_IMPORTE, TRANSACTION_COLUMNS, YEAR, AMOUNT,
+    SD_DIFF_DAYS, SRE_DIFF_DAYS, STATUS, SUM_IMPORTE, TRANSACTION_COLUMNS, WEIGHT, YEAR, AMOUNT,
 )
 from cadence.operators.patterns import STAT_COLUMNS
 
@@ -121,6 +121,10 @@ def q_not_marked(c: Context):
     return prepare.not_marked(c.model.net)
 
 
+def q_payment_blocks(c: Context):
+    return sequence.payment_blocks(c.model.net)
+
+
 def q_payment_sequence(c: Context):
     return sequence.payment_sequence(sequence.commerce_scope(c.model.active_payments()), PAIR_KEYS)
 
@@ -279,6 +283,8 @@ def _cols(cols):
     return lambda _source: cols
 
 
+BLOCK_COLS = [(CUSTOMER, KEEP), (COMMERCE, KEEP), (DATE, KEEP), (MARKED, KEEP), (AMOUNT, MONEY),
+              (WEIGHT, LONG), (SCOPE, KEEP), (PATTERN_AMOUNT, MONEY)]
 HORIZON_COLS = PATTERN + [(MAX_FECHA, KEEP), (SD_DIFF_DAYS, FLOAT), (MEAN_DIFF_DAYS, FLOAT),
                           (HORIZON, KEEP)]
 CLASS_COLS = PATTERN + [(RANGE_DIFF_DAYS, LONG), (MEAN_DIFF_DAYS, FLOAT), (SRE_DIFF_DAYS, FLOAT),
@@ -295,6 +301,7 @@ QUERIES = [
     Query("marked_recurring_daily", q_marked_recurring_daily,
           _cols([(CUSTOMER, KEEP), (COMMERCE, KEEP), (DATE, KEEP), (AMOUNT, MONEY)])),
     Query("not_marked", q_not_marked, _cols(PAYMENT4)),
+    Query("payment_blocks", q_payment_blocks, _cols(BLOCK_COLS)),
     Query("payment_sequence", q_payment_sequence, _cols(SEQUENCE)),
     Query("amount_recurrences", q_amount_recurrences, _cols(SEQUENCE)),
     Query("commerce_recurrences", q_commerce_recurrences, _cols(SEQUENCE)),
@@ -342,6 +349,7 @@ QUERIES = [
     Query("categorized_recurrences_gaps", q_categorized_recurrences, _cols(CATEGORY_COLS), F4),
     Query("pattern_statistics_gaps", q_pattern_statistics, _cols(STATS), F4),
     Query("payment_sequence_gaps", q_payment_sequence, _cols(SEQUENCE), F4),
+    Query("payment_blocks_gaps", q_payment_blocks, _cols(BLOCK_COLS), F4),
     Query("nonrecurrent_monthly_gaps", q_nonrecurrent_monthly,
           _cols([(CUSTOMER, KEEP), (YEAR, LONG), (MONTH, LONG), (SUM_IMPORTE, MONEY)]), F4),
     Query("predict_gaps", q_predict, _cols(PREDICT_COLS), F4),

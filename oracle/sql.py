@@ -28,6 +28,15 @@ INNER = {
     "net_of_reversals": "SELECT * FROM net",
     "marked_recurring_daily": "SELECT * FROM cr_daily",
     "not_marked": "SELECT * FROM not_marked",
+    "payment_blocks": """
+      SELECT customer_id, commerce_affiliation_id, operation_date, true AS marked, transaction_amount,
+             1 AS payments, CASE WHEN nu_payments > 2 THEN 'AMOUNT' ELSE 'COMMERCE' END AS scope,
+             CASE WHEN nu_payments > 2 THEN transaction_amount END AS pattern_amount
+      FROM amount_seq
+      UNION ALL
+      SELECT customer_id, commerce_affiliation_id, operation_date, false, transaction_amount,
+             count(*), 'COMMERCE', NULL
+      FROM not_marked GROUP BY customer_id, commerce_affiliation_id, operation_date, transaction_amount""",
     "payment_sequence": "SELECT * FROM commerce_seq",
     "amount_recurrences": "SELECT * FROM amount_rec",
     "commerce_recurrences": "SELECT * FROM commerce_rec",
