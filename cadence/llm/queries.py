@@ -7,10 +7,63 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadence.llm import substring
+from cadence.llm import quality, substring, toxicity
 from cadence.llm.common import table
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"))
+
+
+OP3_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM documents
+), words AS (
+  SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM texts
+), windows AS (
+  SELECT doc_id, pos, word, lead(word) OVER (PARTITION BY doc_id ORDER BY pos) AS next_word,
+         CASE WHEN count(*) OVER w = 8 THEN string_agg(word, ' ') OVER w END AS span
+  FROM words
+  WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)
+), repeated AS (
+  SELECT *, CASE WHEN span IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, span) > 1 THEN 1 ELSE 0 END AS again
+  FROM windows
+), covered AS (
+  SELECT doc_id, word, next_word,
+         max(again) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS hit
+  FROM repeated
+), counts AS (
+  SELECT doc_id, sum(hit) AS n_repeat_words, sum(length(word)) AS word_chars,
+         sum(CASE WHEN word = next_word THEN 1 ELSE 0 END) AS n_stutter,
+         sum(CASE WHEN list_contains(string_split('STOP_WORDS', ' '), word) THEN 1 ELSE 0 END) AS n_stop_words
+  FROM covered GROUP BY doc_id
+), measures AS (
+  SELECT doc_id, len(ws) AS n_words, coalesce(word_chars, 0) AS word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         len(ls) AS n_lines, coalesce(n_stutter, 0) AS n_stutter, coalesce(n_stop_words, 0) AS n_stop_words
+  FROM texts LEFT JOIN counts USING (doc_id)
+), judged AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measures
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words, CAST(n_lines AS BIGINT) AS n_lines,
+       CAST(n_stutter AS BIGINT) AS n_stutter, CAST(n_stop_words AS BIGINT) AS n_stop_words, base_failed,
+       NOT base_failed AND n_symbols <= 0.1 * n_words AND word_chars BETWEEN 2 * n_words AND 15 * n_words
+         AND n_dup_lines <= 0.5 * n_lines AND n_stutter <= 0.25 * n_words
+         AND (n_words < 200 OR n_stop_words >= 0.005 * n_words) AS kept
+FROM judged
+""".replace("STOP_WORDS", " ".join(quality.STOP_WORDS))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.removal_report(table(spark, sf_dir, "documents"))
 
@@ -43,9 +96,12 @@ FROM texts LEFT JOIN kept USING (doc_id)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality_rules": op3_quality_rules,
+    "op4_toxicity": op4_toxicity,
     "op8_substring_dedup": op8_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_quality_rules": OP3_SQL,
     "op8_substring_dedup": OP8_SQL,
 }
