@@ -128,8 +128,10 @@ def profiles(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
 def _candidates(docs: DataFrame, profile: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """Different texts that hold an anchor found twice or more, with those runs."""
     runs = profile.select("key", "id", "copies", F.inline("runs"))
-    often = (runs.groupBy("anchor").agg(F.sum("copies").alias("times"))
-             .where(F.col("times") >= 2))
+    # Written, so that the join reads two plain shuffles and Spark can split the
+    # rows of a very common anchor over several tasks.
+    often = written(runs.groupBy("anchor").agg(F.sum("copies").alias("times"))
+                    .where(F.col("times") >= 2), "anchors")
     found = (runs.join(often, "anchor").groupBy("key", "id")
              .agg(F.any_value("copies").alias("copies"),
                   F.collect_list(F.struct("first", "n", "anchor", "times")).alias("runs")))
@@ -354,8 +356,10 @@ def removal_report(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """One row for each row of ``docs``: id, n_words, n_removed, kept_sha256."""
     profile = written(profiles(docs, id_column, text_column, width), "profiles")
     cut = cut_texts(docs, profile, id_column, text_column, width).drop("kept_text")
-    texts = (profile.select("key", "n_words", "whole_sha256").join(cut, "key", "left")
-             .select(F.col("key").alias("__key"), "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
-                     F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256")))
+    # Written, so that the join below can split a text that many rows share.
+    texts = written(profile.select("key", "n_words", "whole_sha256").join(cut, "key", "left")
+                    .select(F.col("key").alias("__key"), "n_words",
+                            F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
+                            F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256")), "texts")
     rows = docs.select(F.col(id_column), text_key(text_column).alias("__key"))
     return rows.join(texts, "__key").select(id_column, "n_words", "n_removed", "kept_sha256")
