@@ -3,12 +3,61 @@ DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cadence.llm import quality, substring, toxicity
-from cadence.llm.common import table
+from cadence.llm import jaccard_forest, packing, quality, substring, token_blocks, toxicity
+from cadence.llm.common import new_path, table
+
+#: Where the public vocabulary files are; a parameter of the operators.
+TOKENIZERS = os.path.dirname(public_tokenizers.path("README.md"))
+
+
+def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "tokens")
+    token_blocks.write_tokens(table(spark, sf_dir, "documents"), path, os.path.join(TOKENIZERS, "byte_bpe_50k.json"))
+    return token_blocks.token_digests(spark, path)
+
+
+def op2_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_forest.join_report(table(spark, sf_dir, "documents"))
+
+
+OP2_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), words AS (
+  SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos, len(ws) AS n FROM texts
+), grams AS (
+  SELECT doc_id, n, pos, count(*) OVER w AS size, string_agg(word, ' ') OVER w AS gram
+  FROM words
+  WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)
+), sets AS (
+  SELECT DISTINCT doc_id, gram FROM grams WHERE size = 5 OR (n < 5 AND pos = 1)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+  FROM sets a JOIN sets b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE both / (x.n + y.n - both) >= 0.8
+  UNION
+  SELECT x.doc_id, y.doc_id FROM texts x JOIN texts y ON x.text = y.text AND x.doc_id <> y.doc_id
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM texts
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), found AS (
+  SELECT a AS doc_id, min(b) AS class_id FROM reach GROUP BY a
+)
+SELECT doc_id, class_id, coalesce(n, 0) AS n_links, doc_id = class_id AS kept
+FROM found LEFT JOIN (SELECT a AS doc_id, count(*) AS n FROM links GROUP BY a) USING (doc_id)
+"""
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +113,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), os.path.join(TOKENIZERS, "word_bpe_49k.json"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.removal_report(table(spark, sf_dir, "documents"))
 
@@ -96,12 +149,16 @@ FROM texts LEFT JOIN kept USING (doc_id)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_blocks": op1_token_blocks,
+    "op2_jaccard_forest": op2_jaccard_forest,
     "op3_quality_rules": op3_quality_rules,
     "op4_toxicity": op4_toxicity,
     "op8_substring_dedup": op8_substring_dedup,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_jaccard_forest": OP2_SQL,
     "op3_quality_rules": OP3_SQL,
     "op8_substring_dedup": OP8_SQL,
 }
