@@ -9,7 +9,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cadence.llm import jaccard_forest, packing, quality, substring, token_blocks, toxicity
+from cadence.llm import (
+    byte_bpe, embeddings, jaccard_forest, packing, quality, sharding, substring, token_blocks, toxicity, url_filter,
+)
 from cadence.llm.common import new_path, table
 
 #: Where the public vocabulary files are; a parameter of the operators.
@@ -41,11 +43,11 @@ WITH RECURSIVE texts AS (
 ), sizes AS (
   SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
 ), pairs AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
   FROM sets a JOIN sets b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL
 ), links AS (
   SELECT a, b FROM pairs JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
-  WHERE both / (x.n + y.n - both) >= 0.8
+  WHERE shared / (x.n + y.n - shared) >= 0.8
   UNION
   SELECT x.doc_id, y.doc_id FROM texts x JOIN texts y ON x.text = y.text AND x.doc_id <> y.doc_id
 ), reach AS (
@@ -68,7 +70,7 @@ OP3_SQL = r"""
 WITH texts AS (
   SELECT doc_id, coalesce(text, '') AS text,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
   FROM documents
 ), words AS (
   SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM texts
@@ -113,6 +115,19 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_report(table(spark, sf_dir, "pages"))
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_report(table(spark, sf_dir, "documents"))
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), os.path.join(TOKENIZERS, "byte_bpe_50k.tiktoken"),
+                               public_tokenizers.PATTERN)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), os.path.join(TOKENIZERS, "word_bpe_49k.json"))
 
@@ -148,12 +163,43 @@ FROM texts LEFT JOIN kept USING (doc_id)
 """
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+OP9_SQL = r"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v,
+         label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+         AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+         AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS usable
+  FROM embeddings
+), links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b
+  FROM vectors x JOIN vectors y ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+  WHERE x.usable AND y.usable AND list_cosine_similarity(x.v, y.v) >= 0.93
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM vectors
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), found AS (
+  SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM found LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_blocks": op1_token_blocks,
     "op2_jaccard_forest": op2_jaccard_forest,
     "op3_quality_rules": op3_quality_rules,
     "op4_toxicity": op4_toxicity,
+    "op5_url_filter": op5_url_filter,
+    "op6_sharding": op6_sharding,
+    "op7_byte_bpe": op7_byte_bpe,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_embeddings": op9_embeddings,
     "op10_packing": op10_packing,
 }
 
@@ -161,4 +207,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_jaccard_forest": OP2_SQL,
     "op3_quality_rules": OP3_SQL,
     "op8_substring_dedup": OP8_SQL,
+    "op9_embeddings": OP9_SQL,
 }
