@@ -7,7 +7,7 @@
    where the toxic share is lower and rarer terms stand out. The terms and a
    short fixed list make the lexicons.
 2. *Voters*: each lexicon list, each list of beginnings by length, patterns on
-   the hits (several, several different, dense), and the annotator.
+   the hits (several, several different, dense); the annotator is one more.
 3. *Label model*: a generative model of the votes given the hidden label. EM
    estimates each voter's rates under either label and, as the largest spanning
    tree of conditional mutual information, which voters depend on each other;
@@ -43,6 +43,7 @@ from cadence.llm.common import fold_of_id, slices, whole_text, written
 MAX_LABELLED = 8000
 MAX_TERMS = 600
 MINING_ROUNDS = 3
+ANNOTATOR = 0.98        # accuracy of the given labels, as the label model takes it
 HELD_OUT_FOLD = 2
 THRESHOLD = 0.3
 STEMS = (4, 5, 6, 7, 8)
@@ -231,12 +232,15 @@ class LabelModel:
             best[closer], parent[closer] = info[v][closer], v
         return order
 
-    def fit(self, votes: np.ndarray, q: np.ndarray) -> np.ndarray:
-        """Posterior of label 1 for each row; ``q`` is where EM starts."""
+    def fit(self, votes: np.ndarray, annotated: np.ndarray) -> np.ndarray:
+        """Posterior of label 1 for each row. The annotator is a voter of given
+        accuracy, independent of the others, and EM starts from its votes."""
+        q = np.where(annotated > 0, ANNOTATOR, 1 - ANNOTATOR)
+        annotator = np.log(q / (1 - q))
         for _ in range(self.rounds):
             joint = self._tables(votes, q)
             self.tree, self.prior = self._tree(joint), float(np.clip(q.mean(), 1e-4, 1 - 1e-4))
-            log_odds = np.full(len(votes), np.log(self.prior / (1 - self.prior)))
+            log_odds = np.log(self.prior / (1 - self.prior)) + annotator
             for v, parent in self.tree:
                 if parent is None:
                     one = joint[:, :, :, v, 0].sum(2) if v else joint[:, :, :, v, v].diagonal(axis1=1, axis2=2)
@@ -298,7 +302,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> Model:
         hits[i, r["terms"]] = 1
     gold = np.array([float(r["toxic"]) for r in rows])
     model = LabelModel()
-    posterior = model.fit(np.hstack([votes, gold[:, None]]), 0.02 + 0.96 * gold)
+    posterior = model.fit(votes, gold)
     w = logistic(np.hstack([votes, hits]), posterior)
     return Model(terms, w[:VOTERS], w[VOTERS:-1], float(w[-1]), model)
 
