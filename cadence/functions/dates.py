@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
 def as_date(value) -> Column:
-    """A date literal from a ``date`` or an ISO string, or a date column as is."""
+    """A date literal from a ``date`` or an ISO string, or a column; the time of day
+    is cut off."""
     if isinstance(value, Column):
-        return value
+        return value.cast("date")
+    if isinstance(value, datetime):
+        value = value.date()
     if isinstance(value, date):
         return F.lit(value)
     return F.lit(str(value)).cast("date")

@@ -38,10 +38,13 @@ def expected_payments(recurrences: DataFrame, begin: date, end: date,
 
 def recurrent_calendar(recurrences: DataFrame, begin: date, end: date,
                        config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Long calendar: expected recurrent amount per customer and day."""
-    return (expected_payments(recurrences, begin, end, config)
-            .groupBy(CUSTOMER, CALENDAR_DATE)
-            .agg(F.sum(EXPECTED_AMOUNT).alias(EXPECTED_AMOUNT)))
+    """Long calendar: expected recurrent amount per customer and day. Summed per
+    customer first (one row per customer and map task travels), then the days
+    are exploded."""
+    wide = recurrent_calendar_wide(recurrences, begin, end, config)
+    days = F.array(*[F.struct(F.lit(d).alias(CALENDAR_DATE), F.col(f"`{d}`").alias(EXPECTED_AMOUNT))
+                     for d in horizon_days(begin, end)])
+    return wide.select(CUSTOMER, F.inline(days))
 
 
 def recurrent_calendar_wide(recurrences: DataFrame, begin: date, end: date,

@@ -1,19 +1,17 @@
 """Pattern statistics (20 per pattern) and the variation of the last amounts.
 
-Scale notes. The payments arrive as counted blocks (``payment_blocks``:
-identical payments collapsed map-side). All statistics come from one shuffle
-of the blocks: a window over the blocks of one pattern and day (the day mean)
-and an aggregate per pattern and day on the same partitioning that keeps the
-count, the amount sums, extremes and the within-day second moment.
-A pattern then holds at most one row per calendar day, however many payments
-it has; one window over those rows gives the gaps between consecutive payment
-days and the pattern mean, and a final aggregate (same partitioning, no
-shuffle) reduces them. Standard deviations are merged exactly like Spark
-merges partial aggregates (within-day second moments plus the spread of the
-day means), and the day gaps and days of the month are integers whose sums of
-squares are exact. The last payments are a ``row_number() <= k`` filter, which
-Spark plans as a map-side partial top-k (``WindowGroupLimit``) before the
-shuffle, so at most k blocks per pair and map task travel.
+Scale notes. All statistics come from day groups (``sequence.day_groups``): one
+aggregate over the rows with mergeable measures and map-side combine, dealt once
+by customer and commerce. A pattern then has at most one row per calendar day,
+however many payments it has; merging the marked and unmarked group of a day,
+the window that gives the gaps between payment days and the pattern mean, and
+the final aggregate all run on that partitioning, without another shuffle.
+Standard deviations are merged like Spark merges partial aggregates (within-day
+second moments plus the spread of the day means), and the day gaps and days of
+the month are integers whose sums of squares are exact. The last payments are a
+``row_number() <= k`` filter, which Spark plans as a map-side partial top-k
+(``WindowGroupLimit``) before the shuffle, so at most k rows per pair and map
+task travel.
 """
 
 from __future__ import annotations
@@ -23,16 +21,17 @@ from pyspark.sql import functions as F
 
 from cadence.config import DEFAULT_CONFIG, RecurrenceConfig
 from cadence.functions.stats import as_float, relative_error, sample_sd_from_moments
+from cadence.operators.sequence import DAY_AMOUNT, DAY_PAYMENTS
 from cadence.sources.schema import (
-    AMOUNT, COMMERCE, CUSTOMER, CV_AMOUNT, DATE, MAX_AMOUNT, MAX_DAY_MONTH, MAX_DIFF_DAYS,
+    AMOUNT, COMMERCE, CUSTOMER, CV_AMOUNT, DATE, DEBIT_TYPE, MARKED, MAX_AMOUNT, MAX_DAY_MONTH, MAX_DIFF_DAYS,
     MAX_FECHA, MEAN_AMOUNT, MEAN_DAY_MONTH, MEAN_DIFF_DAYS, MIN_AMOUNT, MIN_DAY_MONTH,
     MIN_DIFF_DAYS, MONTH, NU_PAYMENTS, NUM_PAGOS, ORDER_DESC, PAIR_KEYS, PATTERN_KEYS,
     RANGE_AMOUNT, RANGE_DAY_MONTH, RANGE_DIFF_DAYS, SD_AMOUNT, SD_DAY_MONTH, SD_DIFF_DAYS,
-    SCOPE, SCOPE_COMMERCE, SRE_AMOUNT, SRE_DAY_MONTH, SRE_DIFF_DAYS, SUM_IMPORTE, WEIGHT, YEAR,
+    SCOPE, SCOPE_COMMERCE, SRE_AMOUNT, SRE_DAY_MONTH, SRE_DIFF_DAYS, SUM_IMPORTE, YEAR,
 )
 
-DAY_PAYMENTS = "day_payments"
-DAY_AMOUNT = "day_amount"
+HAS_MARKED = "has_marked"
+MARKED_AMOUNT = "marked_amount"
 
 STAT_COLUMNS = [
     MEAN_AMOUNT, MEAN_DAY_MONTH, MEAN_DIFF_DAYS, NUM_PAGOS, SD_AMOUNT, SD_DAY_MONTH,
@@ -42,33 +41,32 @@ STAT_COLUMNS = [
 ]
 
 
-def pattern_days(payments: DataFrame, keys: list[str] = PATTERN_KEYS) -> DataFrame:
-    """One row per pattern and day from the payment blocks (``payment_blocks``):
-    payments, amount sum, and the moments of the amount at the model's 32-bit
-    precision, each block weighted by the identical payments it stands for.
+def pattern_days(groups: DataFrame, keys: list[str] = PATTERN_KEYS) -> DataFrame:
+    """One row per pattern and day from the day groups: payments, amount sum and
+    the moments of the amount; ``marked_amount`` is the marked day-sum in it, with
+    ``has_marked``. A pattern has two groups a day at most, a marked one and an
+    unmarked one, whose second moments merge pairwise."""
+    marked = F.col(MARKED)
 
-    The day mean comes from a window over the blocks of one pattern and day
-    (bounded by the distinct amounts of that day); the aggregate then runs on
-    the same partitioning, without another shuffle.
-    """
-    weight = F.col(WEIGHT)
-    known = F.when(F.col(AMOUNT).isNotNull(), weight)     # weight of non-NULL amounts
-    f = as_float(F.col(AMOUNT)).cast("double")
-    day = Window.partitionBy(*keys, DATE)
-    blocks = payments.select(
-        *keys, DATE, AMOUNT, weight.alias("_w"), known.alias("_wk"), f.alias("_f"),
-        (F.sum(known * f).over(day) / F.sum(known).over(day)).alias("_mean_day"),
-    )
-    deviation = F.col("_f") - F.col("_mean_day")
-    return blocks.groupBy(*keys, DATE).agg(
-        F.sum("_w").alias(DAY_PAYMENTS),
-        F.sum(F.col(AMOUNT) * F.col("_w")).alias(DAY_AMOUNT),
-        F.sum(F.col("_wk") * F.col("_f")).alias("_f_sum"),
-        F.sum(F.col("_wk") * deviation * deviation).alias("_f_m2"),
-        F.sum("_wk").alias("_f_n"),
-        F.max("_f").alias("_f_max"),
-        F.min("_f").alias("_f_min"),
+    def of(which, column):
+        return F.sum(F.when(which, F.col(column)))
+
+    merged = groups.groupBy(*keys, DATE).agg(
+        F.sum(DAY_PAYMENTS).alias(DAY_PAYMENTS),
+        F.sum(DAY_AMOUNT).alias(DAY_AMOUNT),
+        F.sum("_f_sum").alias("_f_sum"),
+        F.sum("_f_n").alias("_f_n"),
+        F.sum("_f_m2").alias("_f_m2"),
+        F.max("_f_max").alias("_f_max"),
+        F.min("_f_min").alias("_f_min"),
+        F.max(MARKED).alias(HAS_MARKED),
+        F.max(F.when(marked, F.col(DAY_AMOUNT))).alias(MARKED_AMOUNT),
+        of(marked, "_f_n").alias("_na"), of(marked, "_f_sum").alias("_sa"),
+        of(~marked, "_f_n").alias("_nb"), of(~marked, "_f_sum").alias("_sb"),
     )
+    apart = F.try_divide(F.col("_sa"), F.col("_na")) - F.try_divide(F.col("_sb"), F.col("_nb"))
+    between = F.coalesce(F.col("_na") * F.col("_nb") / (F.col("_na") + F.col("_nb")) * apart * apart, F.lit(0.0))
+    return merged.withColumn("_f_m2", F.col("_f_m2") + between).drop("_na", "_sa", "_nb", "_sb")
 
 
 def pattern_statistics(days: DataFrame, keys: list[str] = PATTERN_KEYS) -> DataFrame:
@@ -162,24 +160,25 @@ def pattern_months(days: DataFrame, keys: list[str] = PATTERN_KEYS) -> DataFrame
         F.sum(DAY_AMOUNT).alias(SUM_IMPORTE))
 
 
-def recent_amount_variation(payments: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
+def recent_amount_variation(net: DataFrame, days: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
     """Mean, SD and coefficient of variation of the last ``recent_payments``
     amounts of every customer and commerce (commerce scope), latest first.
 
-    From the payment blocks: the last ``k`` blocks per pair (a map-side partial
-    top-k before the shuffle), each expanded to at most ``k`` copies, then the
-    last ``k`` payments among those (at most k*k rows per pair)."""
+    The unmarked payments are the rows themselves, reduced to the last k of each
+    pair by a map-side partial top-k; the marked ones are in the pattern days."""
     k = config.recent_payments
-    latest_first = Window.partitionBy(*PAIR_KEYS).orderBy(
-        F.col(DATE).desc(), F.col(AMOUNT).desc_nulls_last())
-    last_blocks = (payments.where(F.col(SCOPE) == SCOPE_COMMERCE)
-                   .select(CUSTOMER, COMMERCE, DATE, AMOUNT, WEIGHT,
-                           F.row_number().over(latest_first).alias("_block_rank"))
-                   .where(F.col("_block_rank") <= k))
-    copies = last_blocks.select(
-        CUSTOMER, COMMERCE, DATE, AMOUNT,
-        F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.col(WEIGHT), F.lit(k).cast("long")))).alias("_copy"))
-    recent = (copies.select(CUSTOMER, COMMERCE, AMOUNT, F.row_number().over(latest_first).alias(ORDER_DESC))
+    latest = [F.col(DATE).desc(), F.col(AMOUNT).desc_nulls_last()]
+    pair = Window.partitionBy(*PAIR_KEYS)
+    unmarked = F.coalesce(F.col(DEBIT_TYPE) != config.marked_debit_type, F.lit(False))
+    # Sorted first instead of filtered: the rows are read with the same filters
+    # as for the day groups, so that Spark can share the shuffle of the rows.
+    rows = (net.select(CUSTOMER, COMMERCE, DATE, AMOUNT, unmarked.alias("_unmarked"))
+            .select("*", F.row_number().over(pair.orderBy(F.col("_unmarked").desc(), *latest)).alias(ORDER_DESC))
+            .where(F.col(ORDER_DESC) <= k).where("_unmarked").select(CUSTOMER, COMMERCE, DATE, AMOUNT))
+    marked = (days.where((F.col(SCOPE) == SCOPE_COMMERCE) & F.col(HAS_MARKED))
+              .select(CUSTOMER, COMMERCE, DATE, F.col(MARKED_AMOUNT).alias(AMOUNT)))
+    recent = (rows.unionByName(marked)
+              .select(CUSTOMER, COMMERCE, AMOUNT, F.row_number().over(pair.orderBy(*latest)).alias(ORDER_DESC))
               .where(F.col(ORDER_DESC) <= k))
     amount = as_float(F.col(AMOUNT))
     mean = as_float(F.avg(amount))

@@ -7,10 +7,11 @@ rows into complementary tables and unioning them again, every payment carries
 its pattern key ``(customer, commerce, scope, pattern_amount)``.
 
 Scale notes. No window runs over raw payments. Identical payments collapse
-into counted blocks first; windows run over the blocks of one pattern and day,
-or over day-level rows (one row per pattern and calendar day). A pattern with a
-third of all rows, or a group of copies that large, therefore never lands in
-one task as rows.
+into counted blocks first. Sequence positions come in two steps: windows over
+the blocks of one pattern, day and *amount range* (the amounts' quantiles cut
+them into ``AMOUNT_RANGES`` ranges, so a pattern with a third of all rows on one
+day is split over as many tasks), and windows over one row per range. Blocks
+expand back into rows in chunks dealt over tasks.
 """
 
 from __future__ import annotations
@@ -28,6 +29,10 @@ from cadence.sources.schema import (
 )
 
 
+DAY_PAYMENTS = "day_payments"
+DAY_AMOUNT = "day_amount"
+
+
 def null_safe_on(keys: list[str], prefix: str):
     """Join condition ``key <=> prefix+key`` over all keys."""
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys])
@@ -91,19 +96,94 @@ def payment_blocks(net: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) ->
     )
 
 
+def day_groups(net: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
+    """One row per customer, commerce, day and mark, with the pattern key.
+
+    One aggregate over the rows with map-side combine; all measures merge, so a
+    day with very many payments is no window and no list. A marked group is one
+    payment, the day-sum; an unmarked group keeps the moments of its amounts at
+    the model's 32-bit precision. The groups are then dealt by customer and
+    commerce, which serves the scope window here and every later step of
+    ``patterns``; a pair has two rows a day at most.
+    """
+    is_marked = F.col(DEBIT_TYPE) == config.marked_debit_type
+    f = F.col(AMOUNT).cast("float").cast("double")
+    groups = (net.where(F.col(DEBIT_TYPE).isNotNull())
+              .groupBy(CUSTOMER, COMMERCE, DATE, is_marked.alias(MARKED))
+              .agg(F.sum(AMOUNT).alias(DAY_AMOUNT), F.count(F.lit(1)).alias("_rows"), F.count(AMOUNT).alias("_f_n"),
+                   F.sum(f).alias("_f_sum"), F.var_pop(f).alias("_f_var"), F.max(f).alias("_f_max"), F.min(f).alias("_f_min"))
+              .repartition(CUSTOMER, COMMERCE))
+    marked = F.col(MARKED)
+    day_sum = F.col(DAY_AMOUNT).cast("float").cast("double")
+    known = F.when(F.col(DAY_AMOUNT).isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long")
+    same_amount = Window.partitionBy(CUSTOMER, COMMERCE, MARKED, DAY_AMOUNT)
+    in_amount_scope = marked & (F.count(F.lit(1)).over(same_amount) >= config.min_payments)
+    return groups.select(
+        CUSTOMER, COMMERCE, DATE, MARKED, DAY_AMOUNT,
+        F.when(in_amount_scope, F.lit(SCOPE_AMOUNT)).otherwise(F.lit(SCOPE_COMMERCE)).alias(SCOPE),
+        F.when(in_amount_scope, F.col(DAY_AMOUNT)).alias(PATTERN_AMOUNT),
+        F.when(marked, F.lit(1)).otherwise(F.col("_rows")).cast("long").alias(DAY_PAYMENTS),
+        F.when(marked, known).otherwise(F.col("_f_n")).alias("_f_n"),
+        F.when(marked, day_sum).otherwise(F.col("_f_sum")).alias("_f_sum"),
+        F.when(marked, F.lit(0.0)).otherwise(F.col("_f_var") * F.col("_f_n")).alias("_f_m2"),
+        F.when(marked, day_sum).otherwise(F.col("_f_max")).alias("_f_max"),
+        F.when(marked, day_sum).otherwise(F.col("_f_min")).alias("_f_min"),
+    )
+
+
 def commerce_scope(payments: DataFrame) -> DataFrame:
     """The rows looked at per customer and commerce: unmarked payments plus
-    marked day-sums that are not an AMOUNT pattern."""
-    return payments.where(F.col(SCOPE) == SCOPE_COMMERCE).select(*PAYMENT_COLUMNS)
+    marked day-sums that are not an AMOUNT pattern. Blocks keep their count."""
+    counted = [WEIGHT] if WEIGHT in payments.columns else []
+    return payments.where(F.col(SCOPE) == SCOPE_COMMERCE).select(*PAYMENT_COLUMNS, *counted)
+
 
+# Rows regenerated at a time from one block of identical payments.
+CHUNK = 4096
+# Ranges that the amounts are cut into for the windows of a day.
+AMOUNT_RANGES = 64
 
-# Rows regenerated per task from one block of identical payments; larger
-# blocks are cut into chunks of this size that are spread over tasks first.
-COPIES_PER_CHUNK = 4096
+
+def _with_range(blocks: DataFrame) -> DataFrame:
+    """Adds the number of the amount range; the cuts are the amounts' quantiles,
+    a scalar subquery. Equal amounts share a range, NULL is in the first."""
+    shares = [i / AMOUNT_RANGES for i in range(1, AMOUNT_RANGES)]
+    cuts = blocks.select(F.percentile_approx(AMOUNT, shares, 2000)).scalar()
+    return blocks.withColumn("_cuts", cuts).select(
+        *blocks.columns,
+        F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < F.col(AMOUNT))), F.lit(0)).alias("_range"))
+
+
+def _placed(blocks: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Adds to every block, for its group ``keys`` ordered by day and amount:
+    ``{name}n`` payments of the group, ``{name}before`` payments before the
+    block, and the day and amount of the payment before it."""
+    range_keys = [*keys, DATE, "_range"]
+    preceding = (Window.unboundedPreceding, -1)
+    group, by_range = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy(DATE, "_range")
+    ranges = blocks.groupBy(*range_keys).agg(F.sum("_c").alias("_rc"), F.max(AMOUNT).alias("_rmax")).select(
+        *[F.col(k).alias("_d_" + k) for k in range_keys],
+        F.sum("_rc").over(group).alias(f"{name}n"),
+        F.coalesce(F.sum("_rc").over(by_range.rowsBetween(*preceding)), F.lit(0)).alias("_rbefore"),
+        F.lag(DATE).over(by_range).alias("_rdate"),
+        F.lag("_rmax").over(by_range).alias("_ramount"),
+    )
+    in_range = Window.partitionBy(*range_keys).orderBy(F.col(AMOUNT).asc_nulls_first())
+    first = F.col("_k") == 1
+    return (
+        blocks.select("*", F.row_number().over(in_range).alias("_k"),
+                      F.coalesce(F.sum("_c").over(in_range.rowsBetween(*preceding)), F.lit(0)).alias("_in"),
+                      F.lag(AMOUNT).over(in_range).alias("_prev"))
+        .join(ranges, null_safe_on(range_keys, "_d_"), "inner")
+        .select(*blocks.columns, f"{name}n", (F.col("_rbefore") + F.col("_in")).alias(f"{name}before"),
+                F.when(first, F.col("_rdate")).otherwise(F.col(DATE)).alias(f"{name}date"),
+                F.when(first, F.col("_ramount")).otherwise(F.col("_prev")).alias(f"{name}amount"))
+    )
 
 
 def payment_sequence(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Sequence variables of every payment within the group ``keys``.
+    """Sequence variables of every payment within the group ``keys``: the pair
+    (customer, commerce), or the pair and the amount.
 
     Payments are ordered by date, then amount (ties of equal date and amount
     are identical rows, so the result does not depend on the order among them):
@@ -115,98 +195,63 @@ def payment_sequence(rows: DataFrame, keys: list[str]) -> DataFrame:
     * ``order``: position in the group; ``order2``: position from the end among
       the payments of the same customer and commerce.
 
-    Identical payments (same group, day and amount) first collapse into one
-    counted block (partial aggregation before the shuffle), so a group of
-    copies never reaches a window as rows. Windows then run over the blocks of
-    one group and day (ordered by amount) and over the day rows of one group
-    (at most one per calendar day); each block is expanded back into its rows
-    at the end, big blocks in chunks spread over tasks.
+    ``rows`` are payments, or counted blocks of equal payments (a column
+    ``weight``).
     """
     keys = list(keys)
-    day_keys = keys + [DATE]
-    block_keys = day_keys + ([] if AMOUNT in keys else [AMOUNT])
-    pair_scope = set(keys) == set(PAIR_KEYS)
-
-    in_day = Window.partitionBy(*day_keys).orderBy(F.col(AMOUNT).asc_nulls_first())
-    whole_day = Window.partitionBy(*day_keys)
-    extra = []
-    if not pair_scope:
-        # Groups finer than the pair only occur for day-summed marked payments,
-        # which are unique per pair and day: this window holds one row per day.
-        by_pair_desc = Window.partitionBy(*PAIR_KEYS).orderBy(
-            F.col(DATE).desc(), F.col(AMOUNT).desc_nulls_last())
-        extra = [F.row_number().over(by_pair_desc).alias(ORDER_DESC)]
-    blocks = (
-        rows.groupBy(*block_keys).agg(F.count(F.lit(1)).alias("_c"))
-        .select(
-            *block_keys, "_c",
-            F.row_number().over(in_day).alias("_block_in_day"),
-            F.coalesce(F.sum("_c").over(in_day.rowsBetween(Window.unboundedPreceding, -1)),
-                       F.lit(0)).alias("_before_in_day"),
-            F.lag(AMOUNT).over(in_day).alias("_prev_in_day"),
-            F.sum("_c").over(whole_day).alias("_day_c"),
-            F.max(AMOUNT).over(whole_day).alias("_day_max"),
-            *extra,
-        )
-    )
-    by_day = Window.partitionBy(*keys).orderBy(DATE)
-    days = (
-        blocks.where(F.col("_block_in_day") == 1)
-        .select(
-            *[F.col(k).alias("_d_" + k) for k in day_keys],
-            F.sum("_day_c").over(Window.partitionBy(*keys)).alias(NU_PAYMENTS),
-            F.coalesce(F.sum("_day_c").over(by_day.rowsBetween(Window.unboundedPreceding, -1)),
-                       F.lit(0)).alias("_before_day"),
-            F.lag(DATE).over(by_day).alias("_prev_date"),
-            F.lag("_day_max").over(by_day).alias("_prev_amount"),
-        )
-    )
-    placed = blocks.join(days, null_safe_on(day_keys, "_d_"), "inner")
-    copies = _expand_copies(placed)
-    first_of_block = F.col("_i") == 1
-    first_of_day = first_of_block & (F.col("_block_in_day") == 1)
-    order = (F.col("_before_day") + F.col("_before_in_day") + F.col("_i")).cast("int")
-    order_desc = (F.col(NU_PAYMENTS) - order + 1) if pair_scope else F.col(ORDER_DESC)
-    return copies.select(
+    if set(keys) not in (set(PAIR_KEYS), set(TRIPLE_KEYS)):
+        raise ValueError(f"a payment sequence needs the keys {PAIR_KEYS} or {TRIPLE_KEYS}, not {keys}")
+    copies = F.sum(WEIGHT) if WEIGHT in rows.columns else F.count(F.lit(1))
+    blocks = _with_range(rows.groupBy(*PAYMENT_COLUMNS).agg(copies.alias("_c")))
+    pair = set(keys) == set(PAIR_KEYS)
+    placed = _placed(blocks, keys, "g_")
+    if not pair:
+        placed = _placed(placed, PAIR_KEYS, "p_")
+    copied = expanded(placed, "_c")
+    order = (F.col("g_before") + F.col("_i")).cast("int")
+    from_end = F.col("g_n" if pair else "p_n") - F.col("g_before" if pair else "p_before") - F.col("_i") + 1
+    first = F.col("_i") == 1
+    return copied.select(
         *PAYMENT_COLUMNS,
-        F.when(first_of_day, F.datediff(F.col(DATE), F.col("_prev_date")))
-         .otherwise(F.lit(0)).cast("int").alias(DIFFERENCE_OF_DAYS),
-        F.when(first_of_day, F.col("_prev_amount"))
-         .when(first_of_block, F.col("_prev_in_day"))
-         .otherwise(F.col(AMOUNT)).alias(PREVIOUS_AMOUNT),
+        F.when(first, F.datediff(F.col(DATE), F.col("g_date"))).otherwise(F.lit(0)).cast("int").alias(DIFFERENCE_OF_DAYS),
+        F.when(first, F.col("g_amount")).otherwise(F.col(AMOUNT)).alias(PREVIOUS_AMOUNT),
         F.dayofmonth(DATE).alias(DAY_MONTH),
-        F.col(NU_PAYMENTS).cast("long").alias(NU_PAYMENTS),
+        F.col("g_n").cast("long").alias(NU_PAYMENTS),
         order.alias(ORDER),
-        order_desc.cast("int").alias(ORDER_DESC),
+        from_end.cast("int").alias(ORDER_DESC),
     )
 
 
-def _expand_copies(blocks: DataFrame) -> DataFrame:
-    """One row per copy of each block, numbered ``_i`` = 1..``_c``.
+def expanded(blocks: DataFrame, count: str) -> DataFrame:
+    """One row per copy of each block, numbered ``_i`` = 1..``count``. Blocks are
+    cut into chunks, the chunks dealt over tasks, then expanded."""
+    chunks = blocks.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / CHUNK))).alias("_chunk"))
+    return (chunks.repartition(CUSTOMER, COMMERCE, DATE, AMOUNT, "_chunk")
+            .select(*blocks.columns, F.explode(F.sequence(F.col("_chunk") * CHUNK + 1,
+                                                          F.least(F.col(count), (F.col("_chunk") + 1) * CHUNK))).alias("_i")))
 
-    Blocks of up to ``COPIES_PER_CHUNK`` copies expand in place. Larger ones
-    are first cut into chunk rows, which are redistributed over tasks before
-    they expand, so no task emits a whole hot block on its own.
-    """
-    size = COPIES_PER_CHUNK
-    small = blocks.where(F.col("_c") <= size).select(
-        "*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_c"))).alias("_i"))
-    chunks = (blocks.where(F.col("_c") > size)
-              .select("*", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                F.floor((F.col("_c") - 1) / size))).alias("_chunk"))
-              .repartition("_chunk", *[c for c in blocks.columns if c.startswith("_d_")]))
-    big = chunks.select(
-        *[c for c in chunks.columns if c != "_chunk"],
-        F.explode(F.sequence(F.col("_chunk") * size + 1,
-                             F.least(F.col("_c"), (F.col("_chunk") + 1) * size))).alias("_i"))
-    return small.unionByName(big)
+
+def payments_of(blocks: DataFrame) -> DataFrame:
+    """The payments that counted blocks stand for, row by row."""
+    return expanded(blocks, WEIGHT).drop(WEIGHT, "_i")
 
 
 def amount_recurrences(marked_daily: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
     """Marked day-sums with their sequence over (customer, commerce, amount),
-    kept when the amount repeats more than twice."""
-    seq = payment_sequence(marked_daily.select(*PAYMENT_COLUMNS), TRIPLE_KEYS)
-    return seq.where(F.col(NU_PAYMENTS) >= config.min_payments)
+    kept when the amount repeats more than twice. A pair has one day-sum a day,
+    so every window holds the days of its history at most."""
+    group = Window.partitionBy(*TRIPLE_KEYS)
+    by_day = group.orderBy(DATE)
+    from_end = Window.partitionBy(*PAIR_KEYS).orderBy(F.col(DATE).desc())
+    return marked_daily.select(
+        *PAYMENT_COLUMNS,
+        F.datediff(F.col(DATE), F.lag(DATE).over(by_day)).alias(DIFFERENCE_OF_DAYS),
+        F.lag(AMOUNT).over(by_day).alias(PREVIOUS_AMOUNT),
+        F.dayofmonth(DATE).alias(DAY_MONTH),
+        F.count(F.lit(1)).over(group).alias(NU_PAYMENTS),
+        F.row_number().over(by_day).alias(ORDER),
+        F.row_number().over(from_end).alias(ORDER_DESC),
+    ).where(F.col(NU_PAYMENTS) >= config.min_payments)
 
 
 def commerce_recurrences(payments: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:

@@ -4,13 +4,12 @@
 the model) whose plans Catalyst and AQE optimise when the caller acts on them.
 ``model.forecast()`` returns both calendars in one DataFrame for one action.
 
-With ``checkpoint=True`` three tables are written as parquet into the shared
-checkpoint folder of the cluster (``spark.checkpoint.dir``): the payments with
-their pattern keys (the only stage that reads and shuffles the raw rows), the
-pattern table (one row per pattern) and the monthly non-recurrent table (one
-row per customer and month). Every later stage reads them, so branches that
-need different columns of the same intermediate do not recompute it, and a
-lost executor costs no recompute of the raw shuffles.
+With ``checkpoint=True`` three tables are written as parquet into one folder
+below the shared checkpoint folder of the cluster (``spark.checkpoint.dir``):
+the pattern days (at most one row per pattern and day), the pattern table and
+the monthly non-recurrent table. Later stages read them instead of computing
+them again, and a lost executor costs no recompute of the raw shuffles. The
+folder is ``RecurrenceModel.checkpoint_folder``; removing it is the caller's.
 """
 
 from __future__ import annotations
@@ -33,22 +32,27 @@ class RecurrenceModel:
     config: RecurrenceConfig
     as_of: Column
     transactions: DataFrame   # conformed input
-    payments: DataFrame       # payments with their pattern key, as counted blocks (all customers)
+    all_net: DataFrame        # rows of all customers without reversed operations
     days: DataFrame           # one row per pattern and day
     patterns: DataFrame       # one row per pattern of an active customer: statistics, status
     monthly: DataFrame        # non-recurrent sum per customer and month
     level: DataFrame          # non-recurrent daily level per customer
+    checkpoint_folder: str | None = None    # what ``checkpoint=True`` wrote; the caller removes it
 
     @property
     def net(self) -> DataFrame:
         """Rows of active customers without reversed operations."""
         return prepare.prepared(self.transactions, self.as_of, self.config)
 
+    def active_blocks(self) -> DataFrame:
+        """Payments of active customers with their pattern key, as counted
+        blocks: one pass over the raw rows; the activity filter meets blocks."""
+        return sequence.payment_blocks(self.all_net, self.config).join(
+            prepare.recent_customers(self.transactions, self.as_of, self.config), CUSTOMER, "left_semi")
+
     def active_payments(self) -> DataFrame:
         """Payments of active customers with their pattern key (row level)."""
-        net = self.net
-        return sequence.scoped_payments(prepare.marked_recurring_daily(net, self.config),
-                                        prepare.not_marked(net, self.config), self.config)
+        return sequence.payments_of(self.active_blocks())
 
     @property
     def recurrences(self) -> DataFrame:
@@ -80,18 +84,23 @@ class RecurrenceModel:
         return (begin or self.config.default_begin, end or self.config.default_end)
 
 
-def _checkpointed(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet into the shared checkpoint folder of the
-    cluster (``spark.checkpoint.dir``) and read it back: the lineage is cut,
-    the table is compressed and columnar, and later stages read only the
-    columns they need."""
-    spark = df.sparkSession
+def _checkpoint_folder(spark) -> str:
+    """A new folder, one for each fit, in the shared checkpoint folder of the
+    cluster (``spark.checkpoint.dir``). The caller removes it when the model is
+    no longer used (``RecurrenceModel.checkpoint_folder``)."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         raise RuntimeError("checkpoint=True needs spark.checkpoint.dir (a shared folder)")
-    path = f"{folder.rstrip('/')}/cadence-{uuid.uuid4().hex}/{name}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return f"{folder.rstrip('/')}/cadence-{uuid.uuid4().hex}"
+
+
+def _checkpointed(df: DataFrame, folder: str | None, name: str) -> DataFrame:
+    """``df`` written as parquet and read back, where a folder is given: the
+    lineage is cut, and later stages read only the columns they need."""
+    if folder is None:
+        return df
+    df.write.mode("errorifexists").parquet(f"{folder}/{name}")
+    return df.sparkSession.read.parquet(f"{folder}/{name}")
 
 
 def fit(transactions: DataFrame, as_of=None, config: RecurrenceConfig = DEFAULT_CONFIG,
@@ -110,26 +119,17 @@ def fit(transactions: DataFrame, as_of=None, config: RecurrenceConfig = DEFAULT_
     # reversal anti-join) instead of once more by customer. Every later step
     # groups by keys that contain the customer, so the result is the same.
     net = prepare.net_of_reversals(tx, config)
-    # One aggregate over the rows: marked day-sums and blocks of identical
-    # other payments (one scan, one shuffle, copies collapsed map-side).
-    payments = sequence.payment_blocks(net, config)
-    if checkpoint:
-        # The one intermediate every later stage reads: the raw rows are read
-        # and shuffled once, and a lost executor does not send later stages
-        # back to them.
-        payments = _checkpointed(payments, "payments")
-    days = patterns.pattern_days(payments)
+    folder = _checkpoint_folder(transactions.sparkSession) if checkpoint else None
+    # One aggregate over the rows to at most one row per pattern and day: the
+    # only table that statistics, month sums and marked amounts come from.
+    days = _checkpointed(patterns.pattern_days(sequence.day_groups(net, config)), folder, "days")
     stats = patterns.pattern_statistics(days).join(
         prepare.recent_customers(tx, reference, config), CUSTOMER, "left_semi")
-    variation = patterns.recent_amount_variation(payments, config)
-    pattern_table = classify.categorize(stats, variation, reference, config)
-    if checkpoint:
-        pattern_table = _checkpointed(pattern_table, "patterns")
-    monthly = level.nonrecurrent_monthly(patterns.pattern_months(days), pattern_table)
-    if checkpoint:
-        monthly = _checkpointed(monthly, "monthly")
+    variation = patterns.recent_amount_variation(net, days, config)
+    pattern_table = _checkpointed(classify.categorize(stats, variation, reference, config), folder, "patterns")
+    monthly = _checkpointed(level.nonrecurrent_monthly(patterns.pattern_months(days), pattern_table), folder, "monthly")
     level_table = level.nonrecurrent_level(level.monthly_percentile(monthly), config)
-    return RecurrenceModel(config, reference, tx, payments, days, pattern_table, monthly, level_table)
+    return RecurrenceModel(config, reference, tx, net, days, pattern_table, monthly, level_table, folder)
 
 
 def predict(model: RecurrenceModel, begin: date | None = None, end: date | None = None):

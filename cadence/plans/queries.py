@@ -126,7 +126,7 @@ def q_payment_blocks(c: Context):
 
 
 def q_payment_sequence(c: Context):
-    return sequence.payment_sequence(sequence.commerce_scope(c.model.active_payments()), PAIR_KEYS)
+    return sequence.payment_sequence(sequence.commerce_scope(c.model.active_blocks()), PAIR_KEYS)
 
 
 def q_amount_recurrences(c: Context):
@@ -134,7 +134,7 @@ def q_amount_recurrences(c: Context):
 
 
 def q_commerce_recurrences(c: Context):
-    return sequence.commerce_recurrences(c.model.active_payments())
+    return sequence.commerce_recurrences(c.model.active_blocks())
 
 
 def q_pattern_statistics(c: Context):
@@ -148,7 +148,7 @@ def _commerce_candidates(m: RecurrenceModel) -> DataFrame:
 
 
 def q_recent_amount_variation(c: Context):
-    variation = patterns.recent_amount_variation(c.model.payments)
+    variation = patterns.recent_amount_variation(c.model.all_net, c.model.days)
     return variation.join(_commerce_candidates(c.model).select(*PAIR_KEYS), PAIR_KEYS, "left_semi")
 
 
@@ -241,10 +241,13 @@ def q_stage_counts(c: Context):
     job each): one query, the pattern-level ones summed from the pattern table."""
     m = c.model
     active = prepare.active_customers(c.tx, m.as_of)
-    pays = m.active_payments()
+    pays = m.active_blocks()
     marked, commerce = F.col(MARKED), F.col(SCOPE) == SCOPE_COMMERCE
     n = F.col(NU_PAYMENTS)
 
+    def weighed(which):
+        return F.coalesce(F.sum(F.when(which, F.col(WEIGHT))), F.lit(0))
+
     def stacked(df, pairs):
         args = ", ".join(f"'{name}', `{name}`" for name, _ in pairs)
         return df.agg(*[expr.alias(name) for name, expr in pairs]).select(
@@ -254,11 +257,11 @@ def q_stage_counts(c: Context):
             .unionByName(stacked(active, [("filtered_transactions", F.count(F.lit(1)))]))
             .unionByName(stacked(m.net, [("after_reversals", F.count(F.lit(1)))]))
             .unionByName(stacked(pays, [
-                ("recurrents", F.count_if(marked)),
-                ("no_recurrents", F.count_if(~marked)),
-                ("evaluated_amount", F.count_if(marked)),
-                ("amount_no_recurrents", F.count_if(marked & commerce)),
-                ("evaluated_commerce", F.count_if(commerce)),
+                ("recurrents", weighed(marked)),
+                ("no_recurrents", weighed(~marked)),
+                ("evaluated_amount", weighed(marked)),
+                ("amount_no_recurrents", weighed(marked & commerce)),
+                ("evaluated_commerce", weighed(commerce)),
             ]))
             .unionByName(stacked(m.patterns, [
                 ("amount_recurrents", F.coalesce(F.sum(F.when(~commerce, n)), F.lit(0))),

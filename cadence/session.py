@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cadence") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cadence",
+                  checkpoint_dir: str | None = None) -> SparkSession:
+    """``checkpoint_dir``: used where the environment names no shared folder."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -24,7 +25,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    # Tests only: a checkpoint folder when the environment names none.
-    if spark.sparkContext.getCheckpointDir() is None and not spark.conf.get("spark.checkpoint.dir", None):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cadence-ckpt-"))
+    if checkpoint_dir and spark.sparkContext.getCheckpointDir() is None and not spark.conf.get("spark.checkpoint.dir", None):
+        spark.sparkContext.setCheckpointDir(checkpoint_dir)
     return spark

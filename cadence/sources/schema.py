@@ -74,7 +74,6 @@ PERCENTILE = "percentile"
 NUM_ROWS = "num_rows"
 PERCENTILE_IM = "percentile_im"
 MONTH_IM = "month_im"
-FLAG_REVERSE = "flag_reverse"
 
 # --- Names introduced by this library ---
 SCOPE = "scope"                    # AMOUNT or COMMERCE

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DecimalType, StringType
 
-from cadence.sources.schema import CUSTOMER, DATE, TRANSACTION_COLUMNS
+from cadence.sources.schema import AMOUNT, CUSTOMER, DATE, DEBIT_TYPE, MESSAGE_TYPE, TRANSACTION_COLUMNS
 
 
 def check_columns(df: DataFrame) -> None:
@@ -14,9 +15,19 @@ def check_columns(df: DataFrame) -> None:
         raise ValueError(f"transaction table lacks columns: {missing}")
 
 
+def check_types(df: DataFrame) -> None:
+    """The columns whose type decides results: days as DATE (a time of day would
+    split the day-sums), amounts as DECIMAL (they are pattern keys), message types
+    as STRING (they compare as strings)."""
+    for column, kind in ((DATE, DateType), (AMOUNT, DecimalType), (MESSAGE_TYPE, StringType), (DEBIT_TYPE, StringType)):
+        if not isinstance(df.schema[column].dataType, kind):
+            raise TypeError(f"column {column} must be {kind().simpleString().split('(')[0]}, not {df.schema[column].dataType.simpleString()}")
+
+
 def transaction_projection(df: DataFrame) -> DataFrame:
     """The 16 columns the model works on, in their usual order."""
     check_columns(df)
+    check_types(df)
     return df.select(*TRANSACTION_COLUMNS)
 
 

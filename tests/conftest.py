@@ -10,8 +10,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from cadence.session import local_session
-    session = local_session("*", shuffle_partitions=8, app="cadence-tests")
+    session = local_session("*", shuffle_partitions=8, app="cadence-tests",
+                            checkpoint_dir=str(tmp_path_factory.mktemp("checkpoints")))
     yield session
     session.stop()

@@ -2,9 +2,8 @@
 
 import pytest
 
-import __spark_entry__ as entry_module
 from cadence.plans.model import fit
-from cadence.plans.queries import F1, F2
+from cadence.plans.queries import F1, F2, registry
 from tests.conftest import SF_SMALL
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
@@ -15,9 +14,9 @@ def plan_text(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(registry()))
 def test_no_python_in_any_plan(spark, name):
-    df = entry_module.queries()[name](spark, SF_SMALL)
+    df = registry()[name](spark, SF_SMALL)
     text = plan_text(df)
     assert not any(node in text for node in PYTHON_NODES), name
 
@@ -45,10 +44,28 @@ def test_reversals_are_an_anti_join_and_activity_a_semi_join(spark):
     assert "LeftSemi" in text
 
 
-def test_payments_come_from_one_scan_of_the_rows(spark):
-    """No split by debit type below the reversal join: every branch of the fit
-    reads the rows with the same filters, so their shuffles are shared."""
-    model = fit(F1.load(spark, SF_SMALL), F1.as_of)
-    text = plan_text(model.patterns)
-    assert "EqualTo(debit_type,CR)" not in text
-    assert "Not(EqualTo(debit_type,CR))" not in text
+@pytest.fixture(scope="module")
+def table(spark, tmp_path_factory):
+    """The rows as a plain parquet table, like a production input."""
+    path = str(tmp_path_factory.mktemp("tx") / "transactions.parquet")
+    F1.load(spark, SF_SMALL).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def exchange_keys(df):
+    return [line.split("hashpartitioning(")[1] for line in plan_text(df).split("\n") if "Exchange hashpartitioning" in line]
+
+
+def test_fit_shuffles_the_rows_for_the_join_and_the_day_aggregate(spark, table):
+    """Above the reversal join: the day aggregate, and its result by pair; every
+    later step of the pattern statistics runs on that partitioning."""
+    days = fit(table, F1.as_of).days
+    rest = [k for k in exchange_keys(days) if "operation1_id" not in k]
+    assert len(rest) == 2 and sum("operation_date" in k for k in rest) == 1, rest
+    assert plan_text(days).count("FileScan parquet") == 2      # the rows, and their reversals
+
+
+def test_row_level_queries_read_the_rows_once(spark, table):
+    """The rows, their reversals, and the dates of the activity filter."""
+    text = plan_text(fit(table, F1.as_of).active_blocks())
+    assert text.count("LeftAnti") == 1 and text.count("FileScan parquet") == 3

@@ -184,3 +184,22 @@ def test_rows_after_the_reference_date_count_unless_cut(spark):
     cut = fit(frame(spark, rows), as_of, RecurrenceConfig(cut_after_reference=True))
     assert kept.patterns.first()["nu_payments"] == 4
     assert cut.patterns.first()["nu_payments"] == 3
+
+
+def test_types_that_decide_results_are_checked(spark):
+    from pyspark.sql import functions as F
+
+    from cadence.sources.transactions import conform
+    df = frame(spark, [tx_row(1, 1, date(2020, 1, 1), 5)])
+    assert conform(df).count() == 1
+    for column, kind in (("operation_date", "timestamp"), ("transaction_amount", "double"), ("message_type", "int")):
+        with pytest.raises(TypeError, match=column):
+            conform(df.withColumn(column, F.col(column).cast(kind)))
+
+
+def test_reference_date_with_a_time_is_the_day(spark):
+    from datetime import datetime
+
+    from cadence.functions.dates import as_date
+    row = spark.range(1).select(as_date(date(2020, 4, 30)).alias("a"), as_date(datetime(2020, 4, 30, 12)).alias("b")).first()
+    assert row["a"] == row["b"] == date(2020, 4, 30)

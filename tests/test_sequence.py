@@ -28,10 +28,8 @@ def by_hand(rows, keys):
         for i, r in enumerate(g):
             prev = g[i - 1] if i else None
             gap = (r[3] - prev[3]).days if prev else None
-            if keys == PAIR_KEYS:
-                order2 = n - i
-            else:   # unique per pair and day: rank from the end among the pair's rows
-                order2 = sum(1 for q in pairs[(r[0], r[1])] if (q[3], q[2]) >= (r[3], r[2]))
+            same_before = sum(1 for q in g[:i] if q == r)
+            order2 = sum(1 for q in pairs[(r[0], r[1])] if (q[3], q[2]) >= (r[3], r[2])) - same_before
             out.append((r[0], r[1], r[2], r[3], gap, prev[2] if prev else None, r[3].day, n, i + 1, order2))
     return out
 
@@ -52,14 +50,39 @@ def rows_with_copies():
     return rows
 
 
+@pytest.mark.parametrize("keys", [PAIR_KEYS, TRIPLE_KEYS])
 @pytest.mark.parametrize("chunk", [3, 4096])
-def test_pair_sequence_with_copies(spark, monkeypatch, chunk):
-    monkeypatch.setattr(sequence, "COPIES_PER_CHUNK", chunk)
+def test_sequence_with_copies(spark, monkeypatch, chunk, keys):
+    monkeypatch.setattr(sequence, "CHUNK", chunk)
     from decimal import Decimal
     rows = [(c, m, Decimal(a).quantize(Decimal("0.01")), d) for c, m, a, d in rows_with_copies()]
     df = spark.createDataFrame(rows, SCHEMA)
-    got = Counter(tuple(r) for r in sequence.payment_sequence(df, PAIR_KEYS).collect())
-    assert got == Counter(by_hand(rows, PAIR_KEYS))
+    got = Counter(tuple(r) for r in sequence.payment_sequence(df, keys).collect())
+    assert got == Counter(by_hand(rows, keys))
+
+
+def test_position_from_the_end_counts_copies(spark):
+    from decimal import Decimal
+    rows = [(1, 1, Decimal("5.00"), D0)] * 3 + [(1, 1, Decimal("9.00"), D0 + timedelta(days=2))]
+    out = sequence.payment_sequence(spark.createDataFrame(rows, SCHEMA), TRIPLE_KEYS).collect()
+    assert sorted(r["order2"] for r in out) == [1, 2, 3, 4]
+    with pytest.raises(ValueError, match="needs the keys"):
+        sequence.payment_sequence(spark.createDataFrame(rows, SCHEMA), ["customer_id"])
+
+
+def test_many_distinct_amounts_on_one_day(spark):
+    """The day is cut into amount ranges; the positions stay those of one walk."""
+    from decimal import Decimal
+    rows = [(1, 1, Decimal(i * 7919 % 5000).scaleb(-2), D0) for i in range(700)] + [(1, 1, None, D0)] * 2
+    rows += [(1, 1, Decimal("1.00"), D0 + timedelta(days=1)), (2, 5, Decimal("3.00"), D0)]
+    rows = [(c, m, None if a is None else a.quantize(Decimal("0.01")), d) for c, m, a, d in rows]
+    df = spark.createDataFrame(rows, SCHEMA)
+    blocks = sequence._with_range(df.groupBy(*df.columns).count().withColumnRenamed("count", "_c"))
+    per_range = [r["count"] for r in blocks.groupBy("operation_date", "_range").count().collect()]
+    assert len(per_range) > 40 and max(per_range) < 40
+    low = [(c, m, Decimal(-1) if a is None else a, d) for c, m, a, d in rows]
+    expect = Counter(tuple(None if x == Decimal(-1) else x for x in r) for r in by_hand(low, PAIR_KEYS))
+    assert Counter(tuple(r) for r in sequence.payment_sequence(df, PAIR_KEYS).collect()) == expect
 
 
 def test_amount_sequence_on_day_sums(spark):

@@ -59,6 +59,25 @@ def test_hot_pattern_statistics_equal_row_by_row(spark, skewed):
             assert x == y or (x is not None and y is not None and x == pytest.approx(y, rel=1e-6)), (k, a[k], b[k])
 
 
+def test_a_hot_day_of_distinct_amounts_is_no_task_of_its_own(spark):
+    """A third of all rows at one customer, merchant and day, all amounts
+    different: after the map-side combine a shuffle partition holds few rows."""
+    rows = [tx_row(1, 1, D0, 1 + i / 100, "DB") for i in range(2000)]
+    rows += [tx_row(2 + i % 400, 1 + i % 3, D0 + timedelta(days=i % 90), 5 + i % 7, "DB") for i in range(4000)]
+    groups = sequence.day_groups(frame(spark, rows))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        dealt = groups.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert dealt[0] < 0.5 * dealt[1]
+    assert groups.where("customer_id = 1").count() == 1
+    day = patterns.pattern_days(groups).where("customer_id = 1").first()
+    assert day["day_payments"] == 2000 and day["_f_n"] == 2000
+    expect = np.var([np.float32(1 + i / 100) for i in range(2000)], dtype=np.float64) * 2000
+    assert day["_f_m2"] == pytest.approx(expect, rel=1e-9)
+
+
 def test_hot_pattern_is_classified(spark, skewed):
     model = fit(skewed, D0 + timedelta(days=280))
     hot = model.patterns.where((F.col("customer_id") == 1) & (F.col("commerce_affiliation_id") == 1))
