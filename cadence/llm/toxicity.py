@@ -35,7 +35,7 @@ from dataclasses import dataclass
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadence.llm.common import fold_of_id, slices, whole_text, written
@@ -141,9 +141,12 @@ def mined_terms(sample: DataFrame, most: int = MAX_TERMS) -> list[Term]:
         return []
     base = toxic / n
     words = sample.select("toxic", F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("w"))
-    stems = [F.transform(F.filter("w", lambda x, k=k: F.char_length(x) > k), lambda x, k=k: F.concat(F.substring(x, 1, k), F.lit("*")))
-             for k in STEMS]
-    counts = (words.select("toxic", F.explode(F.array_distinct(F.concat("w", *stems))).alias("term"))
+
+    def stems(size: int) -> Column:
+        longer = F.filter("w", lambda x: F.char_length(x) > size)
+        return F.transform(longer, lambda x: F.concat(F.substring(x, 1, size), F.lit("*")))
+
+    counts = (words.select("toxic", F.explode(F.array_distinct(F.concat("w", *[stems(k) for k in STEMS]))).alias("term"))
               .groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic"))
               .where((F.col("toxic") >= 3) & (F.col("toxic") >= 0.5 * F.col("n"))))
     share = F.col("toxic") / F.col("n")
