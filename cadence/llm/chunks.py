@@ -33,7 +33,7 @@ class ChunkCache:
     becomes the old one, and chunks met again move back, so frequent chunks stay.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 400_000):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 800_000):
         self.encode, self.most = encode, most
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
