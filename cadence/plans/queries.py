@@ -21,8 +21,9 @@ from cadence.operators import calendar, classify, level, patterns, prepare, sequ
 from cadence.operators.classify import NON_RECURRENT, REGULARITY
 from cadence.plans.model import RecurrenceModel, fit
 from cadence.sources import testdata
+from cadence.sources.transactions import conform
 from cadence.sources.schema import (
-    CALENDAR_DATE, COMMERCE, CUSTOMER, CV_AMOUNT, CV_FILTER, DATE, DAY_MONTH, MARKED,
+    CALENDAR_DATE, COMMERCE, CUSTOMER, CV_AMOUNT, CV_FILTER, DATE, DAY_MONTH, DEBIT_TYPE, MARKED,
     DELTA_AVG, DELTA_STD, DIFFERENCE_OF_DAYS, EXPECTED_AMOUNT, HORIZON, IMP_OPER, MAX_FEC_TRANS,
     MAX_FECHA, MEAN_AMOUNT, MEAN_DIFF_DAYS, MONTH, MONTH_IM, NU_PAYMENTS, NUM_ROWS, ORDER,
     ORDER_DESC, PAIR_KEYS, PATTERN_AMOUNT, PERCENTILE, PERCENTILE_IM,
@@ -86,13 +87,15 @@ F4 = Source("gaps", testdata.customer_transactions_with_gaps, testdata.F1_AS_OF,
 class Context:
     spark: SparkSession
     source: Source
+    raw: DataFrame      # the projected rows, before those without a date or customer go
     tx: DataFrame
     model: RecurrenceModel
 
 
 def context(spark: SparkSession, sf_dir: str, source: Source = F1) -> Context:
-    tx = source.load(spark, sf_dir)
-    return Context(spark, source, tx, fit(tx, source.as_of))
+    raw = source.load(spark, sf_dir)
+    tx = conform(raw)
+    return Context(spark, source, raw, tx, fit(tx, source.as_of))
 
 
 # --- one builder per operator; each returns an unpresented DataFrame ---
@@ -106,7 +109,7 @@ def q_active_customers(c: Context):
 
 
 def q_transaction_projection(c: Context):
-    return c.tx
+    return c.raw
 
 
 def q_net_of_reversals(c: Context):
@@ -238,7 +241,8 @@ def q_predict(c: Context):
 
 def q_stage_counts(c: Context):
     """The row counts along the model (the original printed them with one
-    job each): one query, the pattern-level ones summed from the pattern table."""
+    job each) and of the rows that take no part: one query, the pattern-level
+    counts summed from the pattern table."""
     m = c.model
     active = prepare.active_customers(c.tx, m.as_of)
     pays = m.active_blocks()
@@ -253,9 +257,13 @@ def q_stage_counts(c: Context):
         return df.agg(*[expr.alias(name) for name, expr in pairs]).select(
             F.expr(f"stack({len(pairs)}, {args})").alias("stage", "rows"))
 
+    no_date = F.col(DATE).isNull()
     return (stacked(prepare.recent_customers(c.tx, m.as_of), [("active_customers", F.count(F.lit(1)))])
+            .unionByName(stacked(c.raw, [("without_date", F.count_if(no_date)),
+                                         ("without_customer", F.count_if(~no_date & F.col(CUSTOMER).isNull()))]))
             .unionByName(stacked(active, [("filtered_transactions", F.count(F.lit(1)))]))
-            .unionByName(stacked(m.net, [("after_reversals", F.count(F.lit(1)))]))
+            .unionByName(stacked(m.net, [("after_reversals", F.count(F.lit(1))),
+                                         ("without_debit_type", F.count_if(F.col(DEBIT_TYPE).isNull()))]))
             .unionByName(stacked(pays, [
                 ("recurrents", weighed(marked)),
                 ("no_recurrents", weighed(~marked)),
@@ -343,11 +351,19 @@ QUERIES = [
     # both with the reference date taken from the data.
     Query("fit_lineitem", q_fit, _cols(FIT_COLS), F2),
     Query("predict_lineitem", q_predict, _cols(PREDICT_COLS), F2),
+    Query("pattern_statistics_lineitem", q_pattern_statistics, _cols(STATS), F2),
+    Query("payment_sequence_lineitem", q_payment_sequence, _cols(SEQUENCE), F2),
+    Query("nonrecurrent_monthly_lineitem", q_nonrecurrent_monthly,
+          _cols([(CUSTOMER, KEEP), (YEAR, LONG), (MONTH, LONG), (SUM_IMPORTE, MONEY)]), F2),
+    Query("payment_sequence_events", q_payment_sequence, _cols(SEQUENCE), F3),
     Query("pattern_statistics_events", q_pattern_statistics, _cols(STATS), F3),
     Query("categorized_recurrences_events", q_categorized_recurrences, _cols(CATEGORY_COLS), F3),
     Query("predict_events", q_predict, _cols(PREDICT_COLS), F3),
     # Missing and degenerate values (NULL merchants and amounts, zero amounts,
     # NULL reversal keys) on the customer-derived rows.
+    Query("transaction_projection_gaps", q_transaction_projection, _cols(TX_COLUMNS), F4),
+    Query("active_customers_gaps", q_active_customers, _cols(TX_COLUMNS), F4),
+    Query("stage_counts_gaps", q_stage_counts, _cols([("stage", KEEP), ("rows", LONG)]), F4),
     Query("net_of_reversals_gaps", q_net_of_reversals, _cols(TX_COLUMNS), F4),
     Query("categorized_recurrences_gaps", q_categorized_recurrences, _cols(CATEGORY_COLS), F4),
     Query("pattern_statistics_gaps", q_pattern_statistics, _cols(STATS), F4),

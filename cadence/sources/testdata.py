@@ -7,8 +7,12 @@ Three mappings, described in FIXTURES.md:
   merchant, a varying and a constant one.
 * ``lineitem_transactions`` (F2): one payment per line item, for volume.
 * ``event_transactions`` (F3): short histories from ``events``, many ties.
-* ``customer_transactions_with_gaps`` (F4): F1 with NULL merchants, NULL and
-  zero amounts and NULL operation ids.
+* ``customer_transactions_with_gaps`` (F4): F1 with NULL merchants, dates,
+  customers, message types and operation ids, NULL and zero amounts, and message
+  types above the reversal type.
+
+All are projections of the rows as they are; ``conform`` drops what has no date
+or customer.
 
 The SQL text is shared with the DuckDB oracle (``{customer}`` etc. name the
 source table), so both engines start from identical rows.
@@ -20,7 +24,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadence.sources.transactions import conform
+from cadence.sources.transactions import transaction_projection
 
 F1_SQL = """
 with base as (
@@ -85,14 +89,18 @@ assert F1_SQL_SPARK != F1_SQL
 
 # the F1 rows with missing and degenerate values set by rule: NULL
 # merchants, NULL and zero amounts, NULL operation ids (reversal groups with a
-# NULL key). ``{f1}`` is the F1 query.
+# NULL key), NULL dates and customers, NULL message types and ones above the
+# reversal type. ``{f1}`` is the F1 query.
 F4_SQL = """
-select customer_id,
+select case when customer_id % 29 = 8 and commerce_affiliation_id = 3 then null else customer_id end as customer_id,
        case when customer_id % 9 = 4 then null else operation_id end as operation_id,
        return_type, debit_type, line_of_business_id,
        case when customer_id % 7 = 3 and commerce_affiliation_id = 2 then null
             else commerce_affiliation_id end as commerce_affiliation_id,
-       message_type, operation_date, operation_time_date,
+       case when customer_id % 31 = 3 then null
+            when customer_id % 31 = 9 and commerce_affiliation_id = 2 then '1500' else message_type end as message_type,
+       case when customer_id % 19 = 6 and commerce_affiliation_id = 1 then null else operation_date end as operation_date,
+       operation_time_date,
        case when customer_id % 23 = 7 and commerce_affiliation_id = 1 then null
             when customer_id % 13 = 5 and commerce_affiliation_id = 3 then cast(0 as decimal(12,2))
             else transaction_amount end as transaction_amount,
@@ -112,16 +120,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def customer_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform(spark.sql(F1_SQL_SPARK, customer=_table(spark, sf_dir, "customer")))
+    return transaction_projection(spark.sql(F1_SQL_SPARK, customer=_table(spark, sf_dir, "customer")))
 
 
 def customer_transactions_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     f1 = spark.sql(F1_SQL_SPARK, customer=_table(spark, sf_dir, "customer"))
-    return conform(spark.sql(F4_SQL, f1=f1))
+    return transaction_projection(spark.sql(F4_SQL, f1=f1))
 
 
 def lineitem_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform(spark.sql(
+    return transaction_projection(spark.sql(
         F2_SQL,
         lineitem=_table(spark, sf_dir, "lineitem"),
         orders=_table(spark, sf_dir, "orders"),
@@ -129,7 +137,7 @@ def lineitem_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform(spark.sql(F3_SQL, events=_table(spark, sf_dir, "events")))
+    return transaction_projection(spark.sql(F3_SQL, events=_table(spark, sf_dir, "events")))
 
 
 def duckdb_text(sql: str) -> str:

@@ -24,7 +24,7 @@ CANDIDATES_SQL = f"""
 
 INNER = {
     "active_customers": "SELECT * FROM active",
-    "transaction_projection": "SELECT * FROM tx",
+    "transaction_projection": "SELECT * FROM transactions",
     "net_of_reversals": "SELECT * FROM net",
     "marked_recurring_daily": "SELECT * FROM cr_daily",
     "not_marked": "SELECT * FROM not_marked",
@@ -78,9 +78,13 @@ INNER = {
     "recurrent_calendar": "SELECT * FROM recurrent_calendar",
     "nonrecurrent_calendar": "SELECT * FROM nonrecurrent_calendar",
     "stage_counts": """
-      SELECT 'active_customers' AS stage, count(*) AS rows FROM active_ids
+      SELECT 'active_customers' AS stage, count(*) AS rows FROM active_ids WHERE customer_id IS NOT NULL
+      UNION ALL SELECT 'without_date', count(*) FROM transactions WHERE operation_date IS NULL
+      UNION ALL SELECT 'without_customer', count(*) FROM transactions
+                WHERE operation_date IS NOT NULL AND customer_id IS NULL
       UNION ALL SELECT 'filtered_transactions', count(*) FROM active
       UNION ALL SELECT 'after_reversals', count(*) FROM net
+      UNION ALL SELECT 'without_debit_type', count(*) FROM net WHERE debit_type IS NULL
       UNION ALL SELECT 'recurrents', count(*) FROM cr_daily
       UNION ALL SELECT 'no_recurrents', count(*) FROM not_marked
       UNION ALL SELECT 'evaluated_amount', count(*) FROM amount_seq
@@ -99,6 +103,14 @@ INNER = {
 }
 
 
+# Sources with equal payments on one day: which of them comes first is open, so
+# both positions are numbered in one order.
+TIED = {
+    name: "SELECT * REPLACE (nu_payments - \"order\" + 1 AS order2) FROM commerce_seq"
+    for name in ("payment_sequence_lineitem", "payment_sequence_events")
+}
+
+
 def _wide_inner(name: str, source) -> str:
     days = horizon_days(source.begin, source.end)
     if name.startswith("recurrent"):
@@ -135,7 +147,7 @@ def oracle_for(query: Q.Query) -> str:
              else "(SELECT max(operation_date) FROM tx)")
     head = pipeline_ctes(SOURCE_SQL[source.name], as_of) + calendar_ctes(str(source.begin), str(source.end))
     base = _base_name(query)
-    inner = _wide_inner(base, source) if base.endswith("_wide") else INNER[base]
+    inner = TIED.get(query.name) or (_wide_inner(base, source) if base.endswith("_wide") else INNER[base])
     cols = ", ".join(_present(n, k) for n, k in query.columns(source))
     return f"{head}\nSELECT {cols} FROM ({inner}) q"
 
