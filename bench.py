@@ -109,7 +109,7 @@ def main() -> None:
         timed(f"expected_payment_{name}",
               lambda: run(calendar.expected_payments(model.recurrences, source.begin, source.end)))
         timed(f"stage_counts_{name}", lambda: run(
-            _stage_counts(Context(spark, source, tx, model))))
+            _stage_counts(Context(spark, source, spark.read.parquet(path), tx, model))))
         # row-level operators on the raw table, each one job
         timed(f"payment_sequence_{name}", lambda: run(sequence.payment_sequence(
             sequence.commerce_scope(model.active_blocks()), PAIR_KEYS)))
