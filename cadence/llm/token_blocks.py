@@ -216,7 +216,8 @@ def placed_segments(spark: SparkSession, path: str) -> DataFrame:
     sums = segments.groupBy("part").agg(F.sum("n_ids").alias("ids"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.select("part", F.coalesce(F.sum("ids").over(earlier), F.lit(0)).alias("base"))
-    return segments.join(base, "part").withColumn("start", F.col("base") + F.col("before")).drop("base")
+    # Broadcast: a number for each partition written, so that the ids stay where they are.
+    return segments.join(F.broadcast(base), "part").withColumn("start", F.col("base") + F.col("before")).drop("base")
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
