@@ -129,8 +129,23 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED
            .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
     # The broadcast side has ``most`` rows of two numbers at most.
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-            .join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic"))
+    found = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+             .join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic"))
+    return _one_of_copies(found)
+
+
+def _one_of_copies(sample: DataFrame) -> DataFrame:
+    """One row of those that share the smallest hash of their five-word shingles,
+    by two hashes in turn: copies and near copies of one toxic document would
+    make each of its words look like a toxic term."""
+    words = sample.withColumn("w", F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    hashed = words.withColumn("w", F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size("w") - 5, F.lit(0))), lambda i: F.xxhash64(F.slice("w", i + 1, 5))))
+    rows = hashed.select("doc_id", "text", "toxic", F.array_min("w").alias("m1"),
+                         F.array_min(F.transform("w", lambda x: F.xxhash64(x, F.lit(1)))).alias("m2"))
+    for m in ("m1", "m2"):
+        rows = rows.groupBy(m).agg(F.min(F.struct("doc_id", "toxic", "text", "m1", "m2")).alias("r")).select("r.*")
+    return rows.select("doc_id", "text", "toxic")
 
 
 def mined_terms(sample: DataFrame, most: int = MAX_TERMS) -> list[Term]:
