@@ -8,13 +8,12 @@ are linked; links chain to classes.
    Equal texts collapse to one row that counts its copies.
 2. *Prefixes*: matching starts at the whole label and the prefix is shortened
    until two texts at the threshold meet in some tree with the target recall
-   (``depth_for``). A node that would grow beyond ``MAX_NODE`` texts by
-   shortening is not shortened: its texts are matched at the whole label, in
-   blocks. (Texts that share only a common passage fill such a node; texts of a
-   large group of near copies meet in other trees as well.)
-3. *Candidates*: within a node, pairs whose whole signatures agree in far fewer
-   places than the threshold asks for are dropped; of the others only a
-   spanning forest is kept. Its components hold all possible links.
+   (``depth_for``), in every node, however many texts share it (a common passage
+   fills one): the recall does not depend on the size of the table.
+3. *Candidates*: within a node, block against block, pairs whose whole
+   signatures agree in far fewer places than the threshold asks for are dropped;
+   of the others only a spanning forest is kept. Its components hold all possible
+   links.
 4. *Exact verification*: the texts of a component are compared by their whole
    shingle sets, block against block. Each block pair returns the links of each
    text, summed, and a spanning forest, so a group of n near copies gives rows
@@ -45,7 +44,6 @@ SHINGLE = 5
 THRESHOLD = 0.8
 TREES, MAX_DEPTH = 16, 6
 TARGET_RECALL = 0.9995
-MAX_NODE = 2000
 NODE_BLOCK = 1000       # signatures of one side of a block pair
 TEXT_BLOCK = 256        # texts of one side of a block pair
 _LEAST_ID = -(1 << 63)
@@ -124,17 +122,19 @@ def _alike(least_share: float):
     def work(group: tuple, held: list) -> Iterator[tuple]:
         keys, own, signs = held
         _, low, high = group
-        rows = np.frombuffer(b"".join(signs), ">u4").reshape(len(keys), -1)
+        # Only equality counts, so the bytes need no swap; one row a place.
+        places = np.ascontiguousarray(np.frombuffer(b"".join(signs), np.uint32).reshape(len(keys), -1).T)
         own = np.asarray(own)
         left = np.flatnonzero(own == low)
         right = left if low == high else np.flatnonzero(own == high)
-        need = least_share * rows.shape[1]
+        need = least_share * len(places)
+        left_places, right_places = places[:, left], places[:, right]
         found_a, found_b = [], []
         for start in range(0, len(left), 64):
             mine = left[start:start + 64]
-            agree = np.zeros((len(mine), len(right)), np.int16)
-            for j in range(rows.shape[1]):
-                agree += rows[mine, j][:, None] == rows[right, j][None, :]
+            agree = np.zeros((len(mine), len(right)), np.uint8)
+            for a, b in zip(left_places[:, start:start + 64], right_places, strict=True):
+                agree += (a[:, None] == b[None, :]).view(np.uint8)
             x, y = np.nonzero(agree >= need)
             x, y = mine[x], right[y]
             ok = x < y if low == high else x != y
@@ -157,15 +157,9 @@ def candidate_edges(texts: DataFrame, threshold: float = THRESHOLD, recall: floa
     depth = depth_for(recall, threshold)
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     places = (texts.where(F.col("size") > 0).select("key", "signature", trees)
-              .select("key", _node(F.col("tree"), F.lit(depth), F.col("signature")).alias("node"),
-                      _node(F.col("tree"), F.lit(MAX_DEPTH), F.col("signature")).alias("leaf")))
+              .select("key", _node(F.col("tree"), F.lit(depth), F.col("signature")).alias("node")))
     nodes = written(places.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= 2), "nodes")
-    met = written(places.join(nodes, "node"), "met")
-    leaves = written(met.where(F.col("n") > MAX_NODE).groupBy("leaf").agg(F.count(F.lit(1)).alias("m"))
-                     .where(F.col("m") >= 2), "leaves")
-    members = (met.where(F.col("n") <= MAX_NODE).select("key", "node", "n")
-               .unionByName(met.where(F.col("n") > MAX_NODE).join(leaves, "leaf")
-                            .select("key", F.col("leaf").alias("node"), F.col("m").alias("n"))))
+    members = written(places.join(nodes, "node"), "met")
     signed = members.join(texts.select("key", "signature"), "key")
     blocks = in_block_pairs(signed, "node", "n", NODE_BLOCK, "key")
     # Five standard errors of the estimated similarity below the threshold.

@@ -92,3 +92,33 @@ def test_components_of_a_chain_a_star_and_loops(spark):
 def test_spanning_forest():
     pairs = list(spanning(5, np.array([0, 1, 0, 3]), np.array([1, 2, 2, 4])))
     assert len(pairs) == 3
+
+
+def test_a_pair_that_meets_only_in_a_full_node_is_found(spark):
+    """2,500 texts share the first four values of tree 0; two of them agree in 64
+    of 96 places, but meet in no other tree and not below depth 4."""
+    rng = np.random.default_rng(11)
+    signs = rng.integers(0, 2**32, (2500, 16, 6), dtype=np.uint32)
+    signs[:, 0, :4] = 1
+    signs[1, 1:, 1:5] = signs[0, 1:, 1:5]
+    rows = [(i.to_bytes(16, "big"), 1, s.astype(">u4").tobytes()) for i, s in enumerate(signs)]
+    texts = spark.createDataFrame(rows, "key binary, size long, signature binary")
+    got = {frozenset((int.from_bytes(r["a"], "big"), int.from_bytes(r["b"], "big")))
+           for r in forest.candidate_edges(texts).collect()}
+    assert got == {frozenset((0, 1))}
+
+
+def test_report_of_texts_with_a_common_passage_equals_brute_force(frame, monkeypatch):
+    monkeypatch.setattr(forest, "NODE_BLOCK", 8)
+    rng = np.random.default_rng(12)
+    passage = [f"p{i}" for i in range(70)]
+    rows = []
+    for i in range(60):     # 30 pairs about the threshold, all with the passage
+        if i % 2 == 0:
+            own = [f"o{x}" for x in rng.integers(0, 10**6, 30)]
+        words = [*passage, *own[:len(own) - i % 2 * (4 + i // 6)], *(f"e{i}x{x}" for x in range(i % 2 * (4 + i // 6)))]
+        rows.append((i, " ".join(words)))
+    got = forest.join_report(frame(rows)).select("doc_id", "class_id", "n_links").collect()
+    expect = plain(rows)
+    assert 0 < sum(n for _, _, n in expect) < 60 * 59
+    assert sorted(tuple(r) for r in got) == sorted(expect)
