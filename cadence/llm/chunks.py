@@ -7,6 +7,7 @@ worker process; only new chunks are encoded.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable
 
@@ -26,6 +27,30 @@ def plain_runs(text: str) -> list[str]:
     return [c for c in text.replace("\n", " ").split(" ") if c]
 
 
+def spaced_runs(definition: str) -> Callable[[str], list[str]]:
+    """Cut of a text into chunks for a byte-level tokenizer, from its JSON. The
+    library cuts added tokens out of the whole text first, the longest where
+    several begin, so each is a chunk and white space before it ends its run."""
+    added = json.loads(definition).get("added_tokens") or []
+    if not added:
+        return SPACED_RUNS.findall
+    # Those that take white space beside them, stand as words only or are looked
+    # for after normalizing are left to the library, with the whole text.
+    special = any(t.get(k) for t in added for k in ("lstrip", "rstrip", "single_word", "normalized"))
+    longest_first = sorted((t["content"] for t in added), key=len, reverse=True)
+    tokens = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")")
+
+    def split(text: str) -> list[str]:
+        parts = tokens.split(text)
+        if len(parts) == 1:
+            return SPACED_RUNS.findall(text)
+        if special:
+            return [text]
+        # Every second part is an added token.
+        return [c for i, part in enumerate(parts) for c in ([part] if i % 2 else SPACED_RUNS.findall(part))]
+    return split
+
+
 class ChunkCache:
     """Ids of chunks, as little-endian 32-bit integers.
 

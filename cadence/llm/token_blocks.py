@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadence.llm.chunks import SPACED_RUNS, cache_of, library_encoder, read_text
+from cadence.llm.chunks import cache_of, library_encoder, read_text, spaced_runs
 from cadence.llm.common import slices, whole_text
 
 BLOCK = 256
@@ -167,6 +167,7 @@ def _segments(definition: str, end_id: int, most: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         cache = cache_of(zlib.crc32(definition.encode()), lambda: library_encoder(definition))
+        split = spaced_runs(definition)
         part_number = TaskContext.get().partitionId()
         docs: list = []
         parts: list[bytes] = []
@@ -187,7 +188,7 @@ def _segments(definition: str, end_id: int, most: int):
         for batch in batches:
             for piece in slices(batch, "text", 500_000):
                 for doc, ids in zip(piece.column("doc_id").to_pylist(),
-                                    cache.texts(piece.column("text").to_pylist(), SPACED_RUNS.findall), strict=True):
+                                    cache.texts(piece.column("text").to_pylist(), split), strict=True):
                     docs.append(doc)
                     parts.append(ids + end)
                     held += len(ids) // 4 + 1

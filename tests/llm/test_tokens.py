@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import json
 import zlib
 from collections import Counter
 
@@ -12,7 +13,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from cadence.llm import byte_bpe, token_blocks
-from cadence.llm.chunks import SPACED_RUNS, ChunkCache
+from cadence.llm.chunks import SPACED_RUNS, ChunkCache, library_encoder, spaced_runs
 from cadence.llm.common import new_path
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -112,3 +113,34 @@ def test_cache_gives_the_same_when_it_turns_over(bpe):
     texts = [f"some words {i} and {i % 7} again" for i in range(200)]
     small, large = (ChunkCache(lambda chunks: [bpe.encode(c) for c in chunks], most=m) for m in (10, 10**6))
     assert [small.texts([t], SPACED_RUNS.findall) for t in texts] == [large.texts([t], SPACED_RUNS.findall) for t in texts]
+
+
+END = "<|endoftext|>"
+
+
+def test_files_hold_the_ids_of_texts_with_space_around_added_tokens(spark, frame):
+    spaces = ["", " ", "  ", "\n", "\n\n", "\n\n\n\n", " \n \n", "\t\t", "\r\n\r\n", "\u3000\u3000", "\x85\x85"]
+    rows = [(i, t) for i, t in enumerate(
+        [f"end.{a}{END}{b}next" for a in spaces for b in spaces]
+        + [f"{a}{END}{a}{END}{a}" for a in spaces] + [f"a{END}{END}\n\n<|endoftext", f"<{END}|>\n\n{END[:-1]}"])]
+    path = new_path(spark, "tokens")
+    token_blocks.write_tokens(frame(rows), path, JSON)
+    tokenizer = Tokenizer.from_file(JSON)
+    got = {r["doc_id"]: r["ids"][:-1] for r in token_blocks.read_tokens(spark, path).collect()}
+    assert got == {d: tokenizer.encode(t, add_special_tokens=False).ids for d, t in rows}
+    starts = [r["start"] for r in token_blocks.token_digests(spark, path).orderBy("doc_id").collect()]
+    assert starts == np.r_[0, np.cumsum([len(got[d]) + 1 for d, _ in rows])][:-1].tolist()
+
+
+@pytest.mark.parametrize("flags", [{}, {"lstrip": True}, {"single_word": True}])
+def test_added_tokens_are_cut_like_the_library(flags):
+    definition = json.loads(open(JSON, encoding="utf-8").read())
+    first = definition["added_tokens"][0]
+    definition["added_tokens"] += [{**first, "content": c, "id": 50257 + i, **flags} for i, c in enumerate(["<|end", "a b"])]
+    whole = json.dumps(definition)
+    tokenizer, encode, split = Tokenizer.from_str(whole), library_encoder(whole), spaced_runs(whole)
+    rng = np.random.default_rng(1)
+    for _ in range(100):
+        text = "".join(rng.choice([END, "<|end", "<|end|>", "a b", " ", "\n", "\t", "x", "1"], 8))
+        assert [i for ids in encode(split(text)) for i in ids] == tokenizer.encode(text, add_special_tokens=False).ids
+    assert spaced_runs("{}")(f"x\n\n{END}") == SPACED_RUNS.findall(f"x\n\n{END}")
