@@ -6,10 +6,12 @@ are linked; links chain to classes.
 1. *Signatures* (one scan): ``TREES * MAX_DEPTH`` MinHash values a text. Tree t
    is the prefix trie of the values ``t * MAX_DEPTH ...`` of all signatures.
    Equal texts collapse to one row that counts its copies.
-2. *Prefixes*: matching starts at the whole label and the prefix is shortened
-   until two texts at the threshold meet in some tree with the target recall
+2. *Prefixes*: texts are matched at one fixed depth, the longest prefix with
+   which two texts at the threshold meet in some tree with the target recall
    (``depth_for``), in every node, however many texts share it (a common passage
-   fills one): the recall does not depend on the size of the table.
+   fills one): the recall does not depend on the size of the table. Texts that
+   share a longer prefix share this one too, so a descent from the whole label
+   would end with the same pairs.
 3. *Candidates*: within a node, block against block, pairs whose whole
    signatures agree in far fewer places than the threshold asks for are dropped;
    of the others only a spanning forest is kept. Its components hold all possible
