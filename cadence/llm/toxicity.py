@@ -123,7 +123,8 @@ class Matcher:
 # --- mining ---------------------------------------------------------------
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
-    """(text, toxic) of at most ``most`` labelled rows outside the held-out fold."""
+    """(doc_id, text, toxic) of at most ``most`` labelled rows outside the held-out
+    fold: one row for each id, that with the least text hash."""
     ids = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
            .where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (fold_of_id() != HELD_OUT_FOLD))
            .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -131,7 +132,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED
     # The broadcast side has ``most`` rows of two numbers at most.
     found = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
              .join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic"))
-    return _one_of_copies(found)
+    # An id may repeat over many rows with different texts.
+    one = _one_of_copies(found).groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "toxic")).alias("r"))
+    return one.select("doc_id", "r.text", "r.toxic")
 
 
 def _one_of_copies(sample: DataFrame) -> DataFrame:

@@ -64,3 +64,13 @@ def test_label_model_finds_accuracies_and_correlations():
     assert model.correlation[1, 3] > 0.6 > abs(model.correlation[0, 2])
     pairs = {frozenset(p) for p in model.tree if p[1] is not None}
     assert frozenset((1, 3)) in pairs
+
+
+def test_sample_has_one_row_for_a_labelled_id_that_repeats(spark, frame):
+    ids = [i for i in range(20) if zlib.crc32(str(i).encode()) % 4 != toxicity.HELD_OUT_FOLD]
+    rows = [(i, f"text {i}") for i in ids[1:]] + [(ids[0], f"another text {i}") for i in range(100)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in ids], LABELS)
+    sample = toxicity.labelled_sample(frame(rows), labels).collect()
+    assert sorted(r["doc_id"] for r in sample) == ids
+    assert all((r["doc_id"], r["text"]) in rows and r["toxic"] == r["doc_id"] % 2 for r in sample)
+    assert len(toxicity.labelled_sample(frame(rows), labels, 5).collect()) == 5
