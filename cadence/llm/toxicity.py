@@ -7,7 +7,8 @@
    where the toxic share is lower and rarer terms stand out. The terms and a
    short fixed list make the lexicons.
 2. *Voters*: each lexicon list, each list of beginnings by length, patterns on
-   the hits (several, several different, dense); the annotator is one more.
+   the hits (several, several different, dense); the annotator is one more, of
+   the fixed accuracy ``ANNOTATOR``, which EM does not estimate.
 3. *Label model*: a generative model of the votes given the hidden label. EM
    estimates each voter's rates under either label and, as the largest spanning
    tree of conditional mutual information, which voters depend on each other;
