@@ -8,9 +8,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cadence.llm import (
-    byte_bpe, embeddings, jaccard_forest, packing, quality, sharding, substring, token_blocks, toxicity, url_filter,
+    byte_bpe, embeddings, fill_middle, jaccard_forest, packing, quality, sharding, substring, swap_packing, token_blocks,
+    toxicity, url_filter, whitening,
 )
 from cadence.llm.common import new_path, table
 
@@ -190,6 +192,47 @@ FROM found LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) U
 """
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest
+  FROM documents
+), hashed AS (
+  SELECT *, CAST('0x' || substr(digest, 1, 8) AS UBIGINT) AS h1, CAST('0x' || substr(digest, 9, 8) AS UBIGINT) AS h2,
+         CAST('0x' || substr(digest, 17, 8) AS UBIGINT) AS h3, CAST('0x' || substr(digest, 25, 8) AS UBIGINT) AS h4
+  FROM texts
+), formed AS (
+  SELECT doc_id, text, n, CAST(least(h1 % (n + 1), h2 % (n + 1)) AS BIGINT) AS low,
+         CAST(greatest(h1 % (n + 1), h2 % (n + 1)) AS BIGINT) AS high,
+         CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90
+              THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM hashed
+), parts AS (
+  SELECT *, substr(text, 1, low) AS prefix, substr(text, low + 1, high - low) AS middle, substr(text, high + 1) AS suffix
+  FROM formed
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN low END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN high - low END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+def op13_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return swap_packing.packed(table(spark, sf_dir, "documents"), os.path.join(TOKENIZERS, "byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_blocks": op1_token_blocks,
     "op2_jaccard_forest": op2_jaccard_forest,
@@ -201,6 +244,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_embeddings": op9_embeddings,
     "op10_packing": op10_packing,
+    "op11_whitening": op11_whitening,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_swap_packing": op13_swap_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -208,4 +254,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_quality_rules": OP3_SQL,
     "op8_substring_dedup": OP8_SQL,
     "op9_embeddings": OP9_SQL,
+    "op12_fill_middle": OP12_SQL,
 }

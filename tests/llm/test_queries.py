@@ -9,7 +9,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_all_operators_are_registered():
     names = __spark_entry__.queries()
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert "pipeline" in names and set(queries.QUERIES) <= set(names)
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
 
