@@ -26,7 +26,6 @@ looked at; an empty table gives no rows.
 
 from __future__ import annotations
 
-import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -37,8 +36,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadence.llm.chunks import cache_of, library_encoder, read_text, spaced_runs
+from cadence.llm.chunks import read_text
 from cadence.llm.common import slices, whole_text
+from cadence.llm.encoding import SPACED, encoder_of, with_end
 
 BLOCK = 256
 PERCENTILE = 90
@@ -162,36 +162,37 @@ SEGMENTS = "part int, number int, before long, n_docs long, n_ids long, payload
 
 
 def _segments(definition: str, end_id: int, most: int):
-    end = np.array([end_id], "<u4").tobytes()
+    names = [c.split()[0] for c in SEGMENTS.split(", ")]
+    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        cache = cache_of(zlib.crc32(definition.encode()), lambda: library_encoder(definition))
-        split = spaced_runs(definition)
+        encoder = encoder_of(definition, SPACED)
         part_number = TaskContext.get().partitionId()
         docs: list = []
-        parts: list[bytes] = []
+        lengths: list[int] = []
+        parts: list[np.ndarray] = []
         number = before = held = 0
 
         def segment() -> pa.RecordBatch:
             nonlocal number, before, held
-            ids = np.frombuffer(b"".join(parts), "<u4")
-            payload = encoded_segment(docs, [len(p) // 4 for p in parts], ids)
-            row = (part_number, number, before, len(docs), len(ids), payload)
-            number, before, held = number + 1, before + len(ids), 0
-            docs.clear()
-            parts.clear()
-            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)],
-                                              names=[c.split()[0] for c in SEGMENTS.split(", ")])
+            payload = encoded_segment(docs, lengths, np.concatenate(parts))
+            row = (part_number, number, before, len(docs), held, payload)
+            number, before, held = number + 1, before + held, 0
+            for full in (docs, lengths, parts):
+                full.clear()
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=names)
 
         for batch in batches:
-            for piece in slices(batch, "text", 500_000):
-                for doc, ids in zip(piece.column("doc_id").to_pylist(),
-                                    cache.texts(piece.column("text").to_pylist(), split), strict=True):
-                    docs.append(doc)
-                    parts.append(ids + end)
-                    held += len(ids) // 4 + 1
+            for piece in slices(batch, "text", 4_000_000):
+                ids, ends = with_end(*encoder.encode(piece.column("text")), end_id)
+                owners, at, done = piece.column("doc_id").to_pylist(), 0, 0
+                while at < len(owners):
+                    # Up to and with the document that fills the segment.
+                    to = min(int(np.searchsorted(ends, done + most - held)) + 1, len(owners))
+                    docs += owners[at:to]
+                    lengths += np.diff(ends[at:to], prepend=done).tolist()
+                    parts.append(ids[done:ends[to - 1]])
+                    held, at, done = held + int(ends[to - 1]) - done, to, int(ends[to - 1])
                     if held >= most:
                         yield segment()
         if docs:
