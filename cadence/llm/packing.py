@@ -18,7 +18,6 @@ length are cut; other columns are not looked at.
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections.abc import Iterator
 
@@ -27,8 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.chunks import cache_of, library_encoder, plain_runs, read_text
+from cadence.llm.chunks import read_text
 from cadence.llm.common import slices, whole_text
+from cadence.llm.encoding import PLAIN, encoder_of, with_end
 
 SEQUENCE = 4096
 END_ID = 2
@@ -38,24 +38,22 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 def _encode(definition: str, sequence: int, end_id: int):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    end = np.array([end_id], "<u4").tobytes()
-    size = sequence * 4
+    names = [c.split()[0] for c in PIECES.split(", ")]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        cache = cache_of(zlib.crc32(definition.encode()), lambda: library_encoder(definition))
+        encoder = encoder_of(definition, PLAIN)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 4_000_000):
+                ids, ends = with_end(*encoder.encode(part.column("text")), end_id)
+                raw, at = memoryview(ids.astype("<u4").tobytes()), 0
                 out: list[tuple] = []
-                for doc, row, ids in zip(part.column("doc_id").to_pylist(), part.column("row").to_pylist(),
-                                         cache.texts(part.column("text").to_pylist(), plain_runs), strict=True):
-                    ids += end
-                    for at in range(0, len(ids), size):
-                        piece = ids[at:at + size]
-                        out.append((doc, at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4, row))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)],
-                                                 names=[c.split()[0] for c in PIECES.split(", ")])
+                for doc, row, end in zip(part.column("doc_id").to_pylist(), part.column("row").to_pylist(), ends.tolist(),
+                                         strict=True):
+                    for start in range(at, end, sequence):
+                        piece = raw[4 * start:4 * min(start + sequence, end)]
+                        out.append((doc, start - at, len(piece) // 4, zlib.crc32(piece), end - at, row))
+                    at = end
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=names)
     return encode
 
 
