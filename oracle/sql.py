@@ -107,7 +107,7 @@ INNER = {
 # both positions are numbered in one order.
 TIED = {
     name: "SELECT * REPLACE (nu_payments - \"order\" + 1 AS order2) FROM commerce_seq"
-    for name in ("payment_sequence_lineitem", "payment_sequence_events")
+    for name in ("payment_sequence_lineitem", "payment_sequence_events", "payment_sequence_gaps")
 }
 
 
