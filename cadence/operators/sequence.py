@@ -7,11 +7,11 @@ rows into complementary tables and unioning them again, every payment carries
 its pattern key ``(customer, commerce, scope, pattern_amount)``.
 
 Scale notes. No window runs over raw payments. Identical payments collapse
-into counted blocks first. Sequence positions come in two steps: windows over
-the blocks of one pattern, day and *amount range* (the amounts' quantiles cut
-them into ``AMOUNT_RANGES`` ranges, so a pattern with a third of all rows on one
-day is split over as many tasks), and windows over one row per range. Blocks
-expand back into rows in chunks dealt over tasks.
+into counted blocks first, and blocks of very many copies are cut into chunks.
+Sequence positions are a two-pass prefix count (``numbered``): blocks are dealt by
+ranges of (keys, order), written, counted per range, and the counts before a
+range are added to the positions in it. So a pattern, or one day of it, with a
+third of all rows lies in many ranges, whatever its keys and amounts are.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from cadence.sources.schema import (
     ORDER_DESC, PAIR_KEYS, PATTERN_AMOUNT, PAYMENT_COLUMNS, PREVIOUS_AMOUNT, SCOPE,
     SCOPE_AMOUNT, SCOPE_COMMERCE, TRIPLE_KEYS,
 )
+from cadence.storage import written
 
 
 DAY_PAYMENTS = "day_payments"
@@ -138,78 +139,100 @@ def commerce_scope(payments: DataFrame) -> DataFrame:
     return payments.where(F.col(SCOPE) == SCOPE_COMMERCE).select(*PAYMENT_COLUMNS, *counted)
 
 
-# Rows regenerated at a time from one block of identical payments.
-CHUNK = 4096
-# Ranges that the amounts are cut into for the windows of a day.
-AMOUNT_RANGES = 64
+# Copies of a payment that one row stands for at most, before it is expanded.
+CHUNK = 512
 
 
-def _with_range(blocks: DataFrame) -> DataFrame:
-    """Adds the number of the amount range; the cuts are the amounts' quantiles,
-    a scalar subquery. Equal amounts share a range, NULL is in the first."""
-    shares = [i / AMOUNT_RANGES for i in range(1, AMOUNT_RANGES)]
-    cuts = blocks.select(F.percentile_approx(AMOUNT, shares, 2000)).scalar()
-    return blocks.withColumn("_cuts", cuts).select(
-        *blocks.columns,
-        F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < F.col(AMOUNT))), F.lit(0)).alias("_range"))
+def in_chunks(blocks: DataFrame, count: str) -> DataFrame:
+    """Blocks cut into chunks of at most ``CHUNK`` copies, numbered ``_chunk``."""
+    chunk = F.col("_chunk")
+    return (blocks.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / CHUNK))))
+            .withColumn(count, F.least(F.lit(CHUNK).cast("long"), F.col(count) - chunk * CHUNK)))
 
 
-def _placed(blocks: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Adds to every block, for its group ``keys`` ordered by day and amount:
+def expanded(blocks: DataFrame, count: str) -> DataFrame:
+    """One row per copy of each block or chunk, numbered ``_i`` = 1..``count``."""
+    return blocks.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col(count))).alias("_i"))
+
+
+def numbered(blocks: DataFrame, keys: list[str], order: list[str], count: str, name: str) -> DataFrame:
+    """Adds to every block, for its group ``keys`` ordered by ``order``:
     ``{name}n`` payments of the group, ``{name}before`` payments before the
-    block, and the day and amount of the payment before it."""
-    range_keys = [*keys, DATE, "_range"]
-    preceding = (Window.unboundedPreceding, -1)
-    group, by_range = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy(DATE, "_range")
-    ranges = blocks.groupBy(*range_keys).agg(F.sum("_c").alias("_rc"), F.max(AMOUNT).alias("_rmax")).select(
-        *[F.col(k).alias("_d_" + k) for k in range_keys],
-        F.sum("_rc").over(group).alias(f"{name}n"),
-        F.coalesce(F.sum("_rc").over(by_range.rowsBetween(*preceding)), F.lit(0)).alias("_rbefore"),
-        F.lag(DATE).over(by_range).alias("_rdate"),
-        F.lag("_rmax").over(by_range).alias("_ramount"),
-    )
-    in_range = Window.partitionBy(*range_keys).orderBy(F.col(AMOUNT).asc_nulls_first())
+    block, and ``{name}date`` and ``{name}amount`` of the payment before it.
+
+    ``order`` tells all blocks of a group apart. The blocks are dealt by ranges of
+    (keys, order), balanced by Spark's sample of them, and written with the number
+    of their range; so both passes see the same ranges. Only the groups that lie
+    in several ranges, two for each range at most, are looked up.
+    """
+    ranged = written(blocks.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    before = (Window.unboundedPreceding, -1)
+    last = F.struct(*order, F.col(DATE).alias("_date"), F.col(AMOUNT).alias("_amount"))
+    group = Window.partitionBy(*keys)
+    by_range = group.orderBy("_range")
+    spanning = (
+        ranged.groupBy(*keys, "_range").agg(F.sum(count).alias("_rows"), F.max(last).alias("_last"))
+        .select(*[F.col(k).alias("_d_" + k) for k in keys], F.col("_range").alias("_d__range"),
+                F.count(F.lit(1)).over(group).alias("_ranges"), F.sum("_rows").over(group).alias("_all"),
+                F.coalesce(F.sum("_rows").over(by_range.rowsBetween(*before)), F.lit(0)).alias("_earlier"),
+                F.lag("_last").over(by_range).alias("_previous"))
+        .where(F.col("_ranges") > 1))
+    in_range = Window.partitionBy("_range", *keys)
+    walk = in_range.orderBy(*order)
     first = F.col("_k") == 1
     return (
-        blocks.select("*", F.row_number().over(in_range).alias("_k"),
-                      F.coalesce(F.sum("_c").over(in_range.rowsBetween(*preceding)), F.lit(0)).alias("_in"),
-                      F.lag(AMOUNT).over(in_range).alias("_prev"))
-        .join(ranges, null_safe_on(range_keys, "_d_"), "inner")
-        .select(*blocks.columns, f"{name}n", (F.col("_rbefore") + F.col("_in")).alias(f"{name}before"),
-                F.when(first, F.col("_rdate")).otherwise(F.col(DATE)).alias(f"{name}date"),
-                F.when(first, F.col("_ramount")).otherwise(F.col("_prev")).alias(f"{name}amount"))
+        ranged.select("*", F.row_number().over(walk).alias("_k"), F.sum(count).over(in_range).alias("_own"),
+                      F.coalesce(F.sum(count).over(walk.rowsBetween(*before)), F.lit(0)).alias("_in"),
+                      F.lag(DATE).over(walk).alias("_date"), F.lag(AMOUNT).over(walk).alias("_amount"))
+        .join(spanning, null_safe_on([*keys, "_range"], "_d_"), "left")
+        .select(*blocks.columns, F.coalesce("_all", "_own").alias(f"{name}n"),
+                (F.coalesce("_earlier", F.lit(0)) + F.col("_in")).alias(f"{name}before"),
+                F.when(first, F.col("_previous._date")).otherwise(F.col("_date")).alias(f"{name}date"),
+                F.when(first, F.col("_previous._amount")).otherwise(F.col("_amount")).alias(f"{name}amount"))
     )
 
 
-def payment_sequence(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Sequence variables of every payment within the group ``keys``: the pair
-    (customer, commerce), or the pair and the amount.
+def payment_sequence(rows: DataFrame, keys: list[str], order: list[str] = (DATE,)) -> DataFrame:
+    """Sequence variables of every payment within the group ``keys``, ordered by
+    ``order``: any columns of the rows, for example the pair (customer, commerce)
+    by date.
 
-    Payments are ordered by date, then amount (ties of equal date and amount
-    are identical rows, so the result does not depend on the order among them):
+    Ties are ordered by date, then amount, customer and commerce; what is still
+    equal are copies, so the result does not depend on the order among them:
 
     * ``difference_of_days``: days since the previous payment, NULL for the first;
     * ``impoper_f``: amount of the previous payment;
     * ``day_month``: day of the month;
     * ``nu_payments``: payments in the group;
     * ``order``: position in the group; ``order2``: position from the end among
-      the payments of the same customer and commerce.
+      the payments of the same customer and commerce, by date.
 
     ``rows`` are payments, or counted blocks of equal payments (a column
-    ``weight``).
+    ``payments``), a few of which may be equal themselves. NULLs in a key are a group of their own, and come first in an order.
     """
-    keys = list(keys)
-    if set(keys) not in (set(PAIR_KEYS), set(TRIPLE_KEYS)):
-        raise ValueError(f"a payment sequence needs the keys {PAIR_KEYS} or {TRIPLE_KEYS}, not {keys}")
-    copies = F.sum(WEIGHT) if WEIGHT in rows.columns else F.count(F.lit(1))
-    blocks = _with_range(rows.groupBy(*PAYMENT_COLUMNS).agg(copies.alias("_c")))
-    pair = set(keys) == set(PAIR_KEYS)
-    placed = _placed(blocks, keys, "g_")
-    if not pair:
-        placed = _placed(placed, PAIR_KEYS, "p_")
+    keys, order = list(dict.fromkeys(keys)), list(order)
+    needed = list(dict.fromkeys([*PAYMENT_COLUMNS, *keys, *order]))
+    if not keys:
+        raise ValueError("a payment sequence needs a key")
+    if missing := [c for c in needed if c not in rows.columns]:
+        raise ValueError(f"the payments lack columns: {missing}")
+
+    def all_of(first: list[str], but: list[str]) -> list[str]:
+        """An order that tells the chunks of a group with equal ``but`` apart."""
+        return [c for c in dict.fromkeys([*first, DATE, AMOUNT, CUSTOMER, COMMERCE, *needed, "_chunk"]) if c not in but]
+
+    if WEIGHT in rows.columns:
+        blocks = rows.select(*needed, F.col(WEIGHT).cast("long").alias("_c"))
+    else:
+        blocks = rows.groupBy(*needed).agg(F.count(F.lit(1)).alias("_c"))
+    chunks = in_chunks(blocks, "_c")
+    placed = numbered(chunks, keys, all_of(order, keys), "_c", "g_")
+    same = set(keys) == set(PAIR_KEYS) and all_of(order, keys) == all_of([DATE], PAIR_KEYS)
+    if not same:
+        placed = numbered(placed, PAIR_KEYS, all_of([DATE], PAIR_KEYS), "_c", "p_")
     copied = expanded(placed, "_c")
-    order = (F.col("g_before") + F.col("_i")).cast("int")
-    from_end = F.col("g_n" if pair else "p_n") - F.col("g_before" if pair else "p_before") - F.col("_i") + 1
+    position = (F.col("g_before") + F.col("_i")).cast("int")
+    from_end = F.col("g_n" if same else "p_n") - F.col("g_before" if same else "p_before") - F.col("_i") + 1
     first = F.col("_i") == 1
     return copied.select(
         *PAYMENT_COLUMNS,
@@ -217,23 +240,16 @@ def payment_sequence(rows: DataFrame, keys: list[str]) -> DataFrame:
         F.when(first, F.col("g_amount")).otherwise(F.col(AMOUNT)).alias(PREVIOUS_AMOUNT),
         F.dayofmonth(DATE).alias(DAY_MONTH),
         F.col("g_n").cast("long").alias(NU_PAYMENTS),
-        order.alias(ORDER),
+        position.alias(ORDER),
         from_end.cast("int").alias(ORDER_DESC),
     )
 
 
-def expanded(blocks: DataFrame, count: str) -> DataFrame:
-    """One row per copy of each block, numbered ``_i`` = 1..``count``. Blocks are
-    cut into chunks, the chunks dealt over tasks, then expanded."""
-    chunks = blocks.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / CHUNK))).alias("_chunk"))
-    return (chunks.repartition(CUSTOMER, COMMERCE, DATE, AMOUNT, "_chunk")
-            .select(*blocks.columns, F.explode(F.sequence(F.col("_chunk") * CHUNK + 1,
-                                                          F.least(F.col(count), (F.col("_chunk") + 1) * CHUNK))).alias("_i")))
-
-
 def payments_of(blocks: DataFrame) -> DataFrame:
-    """The payments that counted blocks stand for, row by row."""
-    return expanded(blocks, WEIGHT).drop(WEIGHT, "_i")
+    """The payments that counted blocks stand for, row by row. The chunks are
+    dealt over tasks first, so that the copies of one payment are."""
+    chunks = in_chunks(blocks, WEIGHT)
+    return expanded(chunks.repartition(CUSTOMER, COMMERCE, DATE, AMOUNT, "_chunk"), WEIGHT).drop(WEIGHT, "_chunk", "_i")
 
 
 def amount_recurrences(marked_daily: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
