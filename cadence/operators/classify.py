@@ -49,22 +49,6 @@ LIVE = "live"
 REGULARITY = "regularity"
 
 
-def with_variation(stats: DataFrame, variation: DataFrame) -> DataFrame:
-    """Attach the recent-amount CV to the commerce patterns."""
-    v = variation.select(
-        F.col(CUSTOMER).alias("_v_customer"), F.col(COMMERCE).alias("_v_commerce"),
-        F.col(CV_AMOUNT),
-    )
-    # Null-safe on the commerce: a plain equality would let Spark infer a
-    # NOT NULL filter and push it into this branch's scan, and the shuffles
-    # the branch shares with the pattern statistics could no longer be reused.
-    # Commerce patterns without a commerce key are DROPPED by ``categorize``.
-    on = ((F.col(SCOPE) == SCOPE_COMMERCE)
-          & (F.col(CUSTOMER) == F.col("_v_customer"))
-          & F.col(COMMERCE).eqNullSafe(F.col("_v_commerce")))
-    return stats.join(v, on, "left").drop("_v_customer", "_v_commerce")
-
-
 def similar_amount(config: RecurrenceConfig) -> Column:
     """CV below the limit; an undefined CV (mean 0) is not similar."""
     return F.coalesce(F.col(CV_AMOUNT) < config.cv_limit, F.lit(False))
@@ -78,10 +62,9 @@ def regularity(config: RecurrenceConfig) -> Column:
              .otherwise(F.lit(UNCLASSIFIED)))
 
 
-def categorize(stats: DataFrame, variation: DataFrame, as_of: Column,
-               config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Pattern table with CV flag, horizon, liveness, regularity and status."""
-    p = with_variation(stats, variation)
+def categorize(p: DataFrame, as_of: Column, config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Pattern table (statistics with the variation of the last amounts) with CV
+    flag, horizon, liveness, regularity and status."""
     commerce_pattern = F.col(SCOPE) == SCOPE_COMMERCE
     until = horizon(F.col(MAX_FECHA), F.col(SD_DIFF_DAYS), F.col(MEAN_DIFF_DAYS), config.sd_factor)
     status = (

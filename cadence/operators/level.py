@@ -1,46 +1,46 @@
 """Non-recurrent spend: monthly sums, the percentile rule and the daily level.
 
-Scale notes. Month sums are a hash aggregate of the day-level table (one row
-per pattern and month) filtered by a semi-join on the pattern table, so no
-payment row is read again. The percentile window runs over one customer's
+Scale notes. Every pattern carries its month sums, so the months of all
+payments that are not recurrent are rows of the pattern table: no payment or day
+is read again. The percentile window runs over one customer's
 months: bounded by the length of the history, not by the number of payments.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.config import DEFAULT_CONFIG, RecurrenceConfig
 from cadence.operators.classify import NON_RECURRENT
-from cadence.operators.sequence import null_safe_on
-from cadence.sources.schema import (
-    CUSTOMER, MONTH, MONTH_IM, NUM_ROWS, PATTERN_KEYS, PERCENTILE, PERCENTILE_IM, SUM_IMPORTE,
-    YEAR,
-)
+from cadence.operators.patterns import MONTHS
+from cadence.sources.schema import CUSTOMER, MONTH, MONTH_IM, NUM_ROWS, PERCENTILE, PERCENTILE_IM, SUM_IMPORTE, YEAR
 
 
-def nonrecurrent_monthly(months: DataFrame, patterns: DataFrame) -> DataFrame:
+def nonrecurrent_monthly(patterns: DataFrame) -> DataFrame:
     """Sum per customer, year and month of all payments that are not recurrent,
-    from the month sums per pattern (``patterns.pattern_months``)."""
-    moved = patterns.where(F.col(NON_RECURRENT)).select(*[F.col(k).alias("_n_" + k) for k in PATTERN_KEYS])
-    kept = months.join(moved, null_safe_on(PATTERN_KEYS, "_n_"), "left_semi")
-    return kept.groupBy(CUSTOMER, YEAR, MONTH).agg(F.sum(SUM_IMPORTE).alias(SUM_IMPORTE))
+    from the month sums that each pattern carries."""
+    months = patterns.where(F.col(NON_RECURRENT)).select(CUSTOMER, F.inline(MONTHS))
+    return months.groupBy(CUSTOMER, YEAR, MONTH).agg(F.sum(SUM_IMPORTE).alias(SUM_IMPORTE))
 
 
-def monthly_percentile(monthly: DataFrame) -> DataFrame:
+def monthly_percentile(monthly: DataFrame, keys: list[str] = (CUSTOMER,)) -> DataFrame:
     """Percent rank of each month's sum within its customer; the sum is kept
     when the rank is at least ``1 - 1/n``. With ``(rank-1)/(n-1)`` only the
     largest month passes, and only if no other month ties with it."""
-    by_sum = Window.partitionBy(CUSTOMER).orderBy(SUM_IMPORTE)
-    all_months = Window.partitionBy(CUSTOMER)
+    by_sum = Window.partitionBy(*keys).orderBy(SUM_IMPORTE)
+    all_months = Window.partitionBy(*keys)
     ranked = monthly.select("*", F.percent_rank().over(by_sum).alias(PERCENTILE),
                             F.count(F.lit(1)).over(all_months).alias(NUM_ROWS))
     threshold = F.lit(1.0) - F.lit(1.0) / F.col(NUM_ROWS)
     return ranked.select("*", F.when(F.col(PERCENTILE) >= threshold, F.col(SUM_IMPORTE)).alias(PERCENTILE_IM))
 
 
+def daily_level(config: RecurrenceConfig = DEFAULT_CONFIG) -> Column:
+    """The kept month sum divided by ``level_days``, as an aggregate."""
+    return (F.min(PERCENTILE_IM) / F.lit(config.level_days)).alias(MONTH_IM)
+
+
 def nonrecurrent_level(percentiles: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Daily non-recurrent level: the kept month sum divided by ``level_days``."""
-    return percentiles.groupBy(CUSTOMER).agg(
-        (F.min(PERCENTILE_IM) / F.lit(config.level_days)).alias(MONTH_IM))
+    """Daily non-recurrent level of each customer."""
+    return percentiles.groupBy(CUSTOMER).agg(daily_level(config))

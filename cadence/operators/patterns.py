@@ -5,7 +5,9 @@ aggregate over the rows with mergeable measures and map-side combine, dealt once
 by customer and commerce. A pattern then has at most one row per calendar day,
 however many payments it has; merging the marked and unmarked group of a day,
 the window that gives the gaps between payment days and the pattern mean, and
-the final aggregate all run on that partitioning, without another shuffle.
+the final aggregates all run on that partitioning, without another shuffle. The
+pattern row carries its month sums and last marked amounts along, so the days
+are walked once.
 Standard deviations are merged like Spark merges partial aggregates (within-day
 second moments plus the spread of the day means), and the day gaps and days of
 the month are integers whose sums of squares are exact. The last payments are a
@@ -16,7 +18,7 @@ task travel.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.config import DEFAULT_CONFIG, RecurrenceConfig
@@ -32,6 +34,11 @@ from cadence.sources.schema import (
 
 HAS_MARKED = "has_marked"
 MARKED_AMOUNT = "marked_amount"
+MONTHS = "months"
+LAST_MARKED = "last_marked"
+LAST_UNMARKED = "last_unmarked"
+MEAN_RECENT = "mean_recent_amount"
+SD_RECENT = "sd_recent_amount"
 
 STAT_COLUMNS = [
     MEAN_AMOUNT, MEAN_DAY_MONTH, MEAN_DIFF_DAYS, NUM_PAGOS, SD_AMOUNT, SD_DAY_MONTH,
@@ -69,47 +76,60 @@ def pattern_days(groups: DataFrame, keys: list[str] = PATTERN_KEYS) -> DataFrame
     return merged.withColumn("_f_m2", F.col("_f_m2") + between).drop("_na", "_sa", "_nb", "_sb")
 
 
-def pattern_statistics(days: DataFrame, keys: list[str] = PATTERN_KEYS) -> DataFrame:
+def _pattern_rows(days: DataFrame, keys: list[str], recent: int) -> DataFrame:
+    """One row per pattern with its mergeable measures, its month sums and its
+    last ``recent`` marked day-sums. All windows run on one sort of a pattern's
+    days (month, then day) where the days are dealt by customer and commerce; the
+    row of the first day is kept and carries the totals."""
+    everything = (Window.unboundedPreceding, Window.unboundedFollowing)
+    by_day = Window.partitionBy(*keys).orderBy("_month", DATE)
+    in_month = Window.partitionBy(*keys, "_month").orderBy(DATE)
+    pattern = by_day.rowsBetween(*everything)
+    is_marked = F.col(HAS_MARKED).cast("int")
+    walked = days.select("*", (F.year(DATE) * 12 + F.month(DATE)).alias("_month")).select(
+        "*", F.datediff(F.col(DATE), F.lag(DATE).over(by_day)).cast("long").alias("_gap"),
+        F.row_number().over(by_day).alias("_place"),
+        F.sum(is_marked).over(pattern).alias("_marks"),
+        F.sum(is_marked).over(by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_marks_before"),
+        F.sum("_f_sum").over(pattern).alias("_p_sum"), F.sum("_f_n").over(pattern).alias("_p_n"))
+    by_month = walked.select("*", F.row_number().over(in_month).alias("_place_in_month"),
+                             F.sum(DAY_AMOUNT).over(in_month.rowsBetween(*everything)).alias("_month_sum"))
+    n_days, dom = F.col(DAY_PAYMENTS), F.dayofmonth(DATE).cast("long")
+    apart = F.col("_f_sum") / F.col("_f_n") - F.col("_p_sum") / F.col("_p_n")
+    month = F.when(F.col("_place_in_month") == 1, F.struct(F.year(DATE).alias(YEAR), F.month(DATE).alias(MONTH),
+                                                           F.col("_month_sum").alias(SUM_IMPORTE)))
+    last = F.when(F.col(HAS_MARKED) & (F.col("_marks") - F.col("_marks_before") < recent),
+                  F.struct(F.col(DATE), F.col(MARKED_AMOUNT).alias(AMOUNT)))
+    totals = {
+        NU_PAYMENTS: F.sum(DAY_PAYMENTS), "_days": F.count(F.lit(1)), "_f_sum": F.max("_p_sum"), "_f_n": F.max("_p_n"),
+        # each day's share of the amount's second moment around the pattern mean
+        "_f_m2": F.sum(F.col("_f_m2") + F.col("_f_n") * apart * apart),
+        "_f_max": F.max("_f_max"), "_f_min": F.min("_f_min"),
+        "_s1": F.sum("_gap"), "_s2": F.sum(F.col("_gap") * F.col("_gap")), "_max_gap": F.max("_gap"), "_min_gap": F.min("_gap"),
+        "_dom1": F.sum(n_days * dom), "_dom2": F.sum(n_days * dom * dom), MAX_DAY_MONTH: F.max(dom), MIN_DAY_MONTH: F.min(dom),
+        MAX_FECHA: F.max(DATE), MONTHS: F.collect_list(month), LAST_MARKED: F.collect_list(last),
+    }
+    rows = by_month.select(*keys, "_place", *[total.over(pattern).alias(name) for name, total in totals.items()])
+    # The gaps of a pattern of one day sum to 0.
+    return rows.where(F.col("_place") == 1).drop("_place").withColumns(
+        {c: F.coalesce(c, F.lit(0)) for c in ("_s1", "_s2")})
+
+
+def pattern_statistics(days: DataFrame, keys: list[str] = PATTERN_KEYS, config: RecurrenceConfig = DEFAULT_CONFIG,
+                       extras: bool = False) -> DataFrame:
     """The 20 statistics of every pattern and ``nu_payments``.
 
     With payments ordered by date, the gaps are the differences between
     consecutive payment days plus a 0 for every further payment on the same
     day; the first payment has no gap: ``m = n - 1`` gaps with sum
     ``last - first``.
+
+    With ``extras`` also ``months``, the sum of each calendar month, and
+    ``last_marked``, the last marked day-sums: what later steps need of the days,
+    bounded by the months of the history.
     """
-    pattern = Window.partitionBy(*keys)
-    by_day = pattern.orderBy(DATE)
-    dom = F.dayofmonth(DATE).cast("long")
-    n_days = F.col(DAY_PAYMENTS)
-    f_mean_all = F.sum("_f_sum").over(pattern) / F.sum("_f_n").over(pattern)
-    f_mean_day = F.col("_f_sum") / F.col("_f_n")
-    per_day = days.select(
-        *keys, DATE, n_days, "_f_sum", "_f_n", "_f_max", "_f_min",
-        F.datediff(F.col(DATE), F.lag(DATE).over(by_day)).alias("_gap"),
-        # this day's share of the amount's second moment around the pattern mean
-        (F.col("_f_m2") + F.col("_f_n") * (f_mean_day - f_mean_all) * (f_mean_day - f_mean_all)).alias("_f_m2"),
-        (n_days * dom).alias("_dom1"),
-        (n_days * dom * dom).alias("_dom2"),
-        dom.alias("_dom"),
-    )
-    agg = per_day.groupBy(*keys).agg(
-        F.sum(DAY_PAYMENTS).alias(NU_PAYMENTS),
-        F.count(F.lit(1)).alias("_days"),
-        F.datediff(F.max(DATE), F.min(DATE)).alias("_s1"),
-        F.coalesce(F.sum(F.col("_gap").cast("long") * F.col("_gap")), F.lit(0)).alias("_s2"),
-        F.max("_gap").alias("_max_gap"),
-        F.min("_gap").alias("_min_gap"),
-        F.sum("_f_sum").alias("_f_sum"),
-        F.sum("_f_n").alias("_f_n"),
-        F.sum("_f_m2").alias("_f_m2"),
-        F.max("_f_max").alias("_f_max"),
-        F.min("_f_min").alias("_f_min"),
-        F.sum("_dom1").alias("_dom1"),
-        F.sum("_dom2").alias("_dom2"),
-        F.max("_dom").alias(MAX_DAY_MONTH),
-        F.min("_dom").alias(MIN_DAY_MONTH),
-        F.max(DATE).alias(MAX_FECHA),
-    )
+    agg = _pattern_rows(days, keys, config.recent_payments)
+    more = [MONTHS, LAST_MARKED] if extras else []
     n = F.col(NU_PAYMENTS)
     m = n - 1
     same_day_repeats = n > F.col("_days")
@@ -136,7 +156,7 @@ def pattern_statistics(days: DataFrame, keys: list[str] = PATTERN_KEYS) -> DataF
         F.col(MIN_DAY_MONTH).cast("int").alias(MIN_DAY_MONTH),
         max_gap.cast("int").alias(MAX_DIFF_DAYS),
         min_gap.cast("int").alias(MIN_DIFF_DAYS),
-        F.col(MAX_FECHA),
+        F.col(MAX_FECHA), *more,
     )
     n_float = F.col(NUM_PAGOS)
     return stats.select(
@@ -151,40 +171,48 @@ def pattern_statistics(days: DataFrame, keys: list[str] = PATTERN_KEYS) -> DataF
         relative_error(F.col(SD_DAY_MONTH), n_float, F.col(MEAN_DAY_MONTH)).alias(SRE_DAY_MONTH),
         relative_error(F.col(SD_DIFF_DAYS), as_float(n_float - F.lit(1)),
                        F.col(MEAN_DIFF_DAYS)).alias(SRE_DIFF_DAYS),
+        *more,
     )
 
 
-def pattern_months(days: DataFrame, keys: list[str] = PATTERN_KEYS) -> DataFrame:
-    """Amount per pattern and calendar month (hash aggregate of the day rows)."""
-    return days.groupBy(*keys, F.year(DATE).alias(YEAR), F.month(DATE).alias(MONTH)).agg(
-        F.sum(DAY_AMOUNT).alias(SUM_IMPORTE))
-
-
-def recent_amount_variation(net: DataFrame, days: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Mean, SD and coefficient of variation of the last ``recent_payments``
-    amounts of every customer and commerce (commerce scope), latest first.
-
-    The unmarked payments are the rows themselves, reduced to the last k of each
-    pair by a map-side partial top-k; the marked ones are in the pattern days."""
-    k = config.recent_payments
+def recent_unmarked(net: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
+    """``last_unmarked``: the last unmarked payments of every customer and
+    commerce, by a map-side partial top-k (``WindowGroupLimit``)."""
     latest = [F.col(DATE).desc(), F.col(AMOUNT).desc_nulls_last()]
-    pair = Window.partitionBy(*PAIR_KEYS)
     unmarked = F.coalesce(F.col(DEBIT_TYPE) != config.marked_debit_type, F.lit(False))
+    by_time = Window.partitionBy(*PAIR_KEYS).orderBy(F.col("_unmarked").desc(), *latest)
     # Sorted first instead of filtered: the rows are read with the same filters
     # as for the day groups, so that Spark can share the shuffle of the rows.
-    rows = (net.select(CUSTOMER, COMMERCE, DATE, AMOUNT, unmarked.alias("_unmarked"))
-            .select("*", F.row_number().over(pair.orderBy(F.col("_unmarked").desc(), *latest)).alias(ORDER_DESC))
-            .where(F.col(ORDER_DESC) <= k).where("_unmarked").select(CUSTOMER, COMMERCE, DATE, AMOUNT))
-    marked = (days.where((F.col(SCOPE) == SCOPE_COMMERCE) & F.col(HAS_MARKED))
-              .select(CUSTOMER, COMMERCE, DATE, F.col(MARKED_AMOUNT).alias(AMOUNT)))
-    recent = (rows.unionByName(marked)
-              .select(CUSTOMER, COMMERCE, AMOUNT, F.row_number().over(pair.orderBy(*latest)).alias(ORDER_DESC))
-              .where(F.col(ORDER_DESC) <= k))
-    amount = as_float(F.col(AMOUNT))
-    mean = as_float(F.avg(amount))
-    sd = as_float(F.stddev(amount))
-    return recent.groupBy(CUSTOMER, COMMERCE).agg(
-        mean.alias(MEAN_AMOUNT),
-        sd.alias(SD_AMOUNT),
-        as_float(F.try_divide(sd, mean)).alias(CV_AMOUNT),
-    )
+    return (net.select(CUSTOMER, COMMERCE, DATE, AMOUNT, unmarked.alias("_unmarked"))
+            .select("*", F.row_number().over(by_time).alias(ORDER_DESC))
+            .where(F.col(ORDER_DESC) <= config.recent_payments).where("_unmarked")
+            .groupBy(CUSTOMER, COMMERCE).agg(F.collect_list(F.struct(DATE, AMOUNT)).alias(LAST_UNMARKED)))
+
+
+def amount_variation(amounts: Column) -> list[Column]:
+    """Mean, SD and coefficient of variation of an array of amounts; NULLs among
+    them are left out, an SD needs two."""
+    values = F.transform(F.filter(amounts, lambda x: x.isNotNull()), lambda x: as_float(x).cast("double"))
+    n = F.size(values).cast("double")
+    mean = F.try_divide(F.aggregate(values, F.lit(0.0), lambda a, x: a + x), n)
+    squares = F.aggregate(values, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
+    mean_float = as_float(mean)
+    sd = as_float(F.when(n > 1, F.sqrt(squares / (n - 1))))
+    return [mean_float.alias(MEAN_RECENT), sd.alias(SD_RECENT), as_float(F.try_divide(sd, mean_float)).alias(CV_AMOUNT)]
+
+
+def with_recent_variation(stats: DataFrame, unmarked: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
+    """Adds to the commerce patterns mean, SD and coefficient of variation of the
+    last ``recent_payments`` amounts, latest first, of their marked day-sums and
+    unmarked payments together."""
+    u = unmarked.select(F.col(CUSTOMER).alias("_v_customer"), F.col(COMMERCE).alias("_v_commerce"), LAST_UNMARKED)
+    # Null-safe on the commerce: a plain equality would let Spark infer a
+    # NOT NULL filter and push it into this branch's scan, and the shuffles
+    # the branch shares with the pattern statistics could no longer be reused.
+    on = ((F.col(SCOPE) == SCOPE_COMMERCE) & (F.col(CUSTOMER) == F.col("_v_customer"))
+          & F.col(COMMERCE).eqNullSafe(F.col("_v_commerce")))
+    both = F.concat(F.col(LAST_MARKED), F.coalesce(F.col(LAST_UNMARKED), F.filter(F.col(LAST_MARKED), lambda x: F.lit(False))))
+    latest = F.slice(F.sort_array(both, asc=False), 1, config.recent_payments)
+    others = [c for c in stats.columns if c != LAST_MARKED]
+    found = stats.join(u, on, "left").select(*others, F.when(F.col(SCOPE) == SCOPE_COMMERCE, latest).alias("_latest"))
+    return found.select(*others, *amount_variation(F.transform("_latest", lambda x: x[AMOUNT])))

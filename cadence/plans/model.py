@@ -4,10 +4,10 @@
 the model) whose plans Catalyst and AQE optimise when the caller acts on them.
 ``model.forecast()`` returns both calendars in one DataFrame for one action.
 
-With ``checkpoint=True`` three tables are written as parquet into one folder
+With ``checkpoint=True`` two tables are written as parquet into one folder
 below the shared checkpoint folder of the cluster (``spark.checkpoint.dir``):
-the pattern days (at most one row per pattern and day), the pattern table and
-the monthly non-recurrent table. Later stages read them instead of computing
+the pattern rows, which carry their month sums, and the monthly non-recurrent
+table. Later stages read them instead of computing
 them again, and a lost executor costs no recompute of the raw shuffles. The
 folder is ``RecurrenceModel.checkpoint_folder``; removing it is the caller's.
 """
@@ -34,11 +34,16 @@ class RecurrenceModel:
     transactions: DataFrame   # conformed input
     all_net: DataFrame        # rows of all customers without reversed operations
     days: DataFrame           # one row per pattern and day
-    patterns: DataFrame       # one row per pattern of an active customer: statistics, status
+    pattern_rows: DataFrame   # one row per pattern of an active customer: statistics, status, months
     monthly: DataFrame        # non-recurrent sum per customer and month
     level: DataFrame          # non-recurrent daily level per customer
     checkpoint_folder: str | None = None    # what ``checkpoint=True`` wrote; the caller removes it
 
+    @property
+    def patterns(self) -> DataFrame:
+        """One row per pattern of an active customer: statistics and status."""
+        return self.pattern_rows.drop(patterns.MONTHS)
+
     @property
     def net(self) -> DataFrame:
         """Rows of active customers without reversed operations."""
@@ -72,13 +77,10 @@ class RecurrenceModel:
 
     def forecast(self, begin: date | None = None, end: date | None = None) -> DataFrame:
         """Both long calendars in one DataFrame, ``kind`` = recurrent or
-        nonrecurrent: one action computes both and Spark shares every shuffle
-        of the fitted stages between them."""
-        rec, non = self.predict_long(begin, end)
-        return (rec.select(CUSTOMER, F.lit("recurrent").alias("kind"), CALENDAR_DATE,
-                           F.col(EXPECTED_AMOUNT).cast("double").alias("amount"))
-                .unionByName(non.select(CUSTOMER, F.lit("nonrecurrent").alias("kind"), CALENDAR_DATE,
-                                        F.col(MONTH_IM).cast("double").alias("amount"))))
+        nonrecurrent, from one walk over the pattern table: the plan has no
+        branches that would each evaluate the fitted stages."""
+        begin, end = self._horizon(begin, end)
+        return calendar.both_calendars(self.pattern_rows, begin, end, self.config)
 
     def _horizon(self, begin, end):
         return (begin or self.config.default_begin, end or self.config.default_end)
@@ -120,16 +122,16 @@ def fit(transactions: DataFrame, as_of=None, config: RecurrenceConfig = DEFAULT_
     # groups by keys that contain the customer, so the result is the same.
     net = prepare.net_of_reversals(tx, config)
     folder = _checkpoint_folder(transactions.sparkSession) if checkpoint else None
-    # One aggregate over the rows to at most one row per pattern and day: the
-    # only table that statistics, month sums and marked amounts come from.
-    days = _checkpointed(patterns.pattern_days(sequence.day_groups(net, config)), folder, "days")
-    stats = patterns.pattern_statistics(days).join(
+    # One aggregate over the rows to at most one row per pattern and day, and one
+    # walk over these days to the pattern rows; everything else reads those.
+    days = patterns.pattern_days(sequence.day_groups(net, config))
+    stats = patterns.pattern_statistics(days, config=config, extras=True).join(
         prepare.recent_customers(tx, reference, config), CUSTOMER, "left_semi")
-    variation = patterns.recent_amount_variation(net, days, config)
-    pattern_table = _checkpointed(classify.categorize(stats, variation, reference, config), folder, "patterns")
-    monthly = _checkpointed(level.nonrecurrent_monthly(patterns.pattern_months(days), pattern_table), folder, "monthly")
+    stats = patterns.with_recent_variation(stats, patterns.recent_unmarked(net, config), config)
+    rows = _checkpointed(classify.categorize(stats, reference, config), folder, "patterns")
+    monthly = _checkpointed(level.nonrecurrent_monthly(rows), folder, "monthly")
     level_table = level.nonrecurrent_level(level.monthly_percentile(monthly), config)
-    return RecurrenceModel(config, reference, tx, net, days, pattern_table, monthly, level_table, folder)
+    return RecurrenceModel(config, reference, tx, net, days, rows, monthly, level_table, folder)
 
 
 def predict(model: RecurrenceModel, begin: date | None = None, end: date | None = None):

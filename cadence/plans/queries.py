@@ -151,8 +151,8 @@ def _commerce_candidates(m: RecurrenceModel) -> DataFrame:
 
 
 def q_recent_amount_variation(c: Context):
-    variation = patterns.recent_amount_variation(c.model.all_net, c.model.days)
-    return variation.join(_commerce_candidates(c.model).select(*PAIR_KEYS), PAIR_KEYS, "left_semi")
+    mean, sd = F.col(patterns.MEAN_RECENT).alias(MEAN_AMOUNT), F.col(patterns.SD_RECENT).alias(SD_AMOUNT)
+    return _commerce_candidates(c.model).select(CUSTOMER, COMMERCE, mean, sd, CV_AMOUNT)
 
 
 def q_similar_amount_recurrences(c: Context):

@@ -69,3 +69,30 @@ def test_row_level_queries_read_the_rows_once(spark, table):
     """The rows, their reversals, and the dates of the activity filter."""
     text = plan_text(fit(table, F1.as_of).active_blocks())
     assert text.count("LeftAnti") == 1 and text.count("FileScan parquet") == 3
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_the_lazy_forecast_evaluates_the_day_groups_once(spark, table, reuse):
+    """The raw rows are aggregated to day groups in one place, whatever Spark
+    reuses, and the pattern rows are computed once for both calendars."""
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        forecast = fit(table, F1.as_of).forecast(F1.begin, F1.end)
+        initial = plan_text(forecast)
+        assert initial.count("partial_sum(transaction_amount#") == 1 and "Union" not in initial
+        # The rows and their reversals, for the day groups and for the last amounts, and the dates of the activity filter.
+        assert initial.count("FileScan parquet") == 5
+        forecast.collect()
+        assert plan_text(forecast).split("== Initial Plan ==")[0].count("partial_sum(transaction_amount#") == 1
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+        spark.conf.set("spark.sql.debug.maxToStringFields", "25")
+
+
+def test_the_pattern_rows_are_one_sort_of_the_days(spark, table):
+    from cadence.operators import patterns
+    days = fit(table, F1.as_of, checkpoint=False).days
+    text = plan_text(patterns.pattern_statistics(days, extras=True))
+    above = text[:text.index("HashAggregate")]
+    assert above.count("Sort [") == 1 and "Exchange" not in above

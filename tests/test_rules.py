@@ -203,3 +203,44 @@ def test_reference_date_with_a_time_is_the_day(spark):
     from cadence.functions.dates import as_date
     row = spark.range(1).select(as_date(date(2020, 4, 30)).alias("a"), as_date(datetime(2020, 4, 30, 12)).alias("b")).first()
     assert row["a"] == row["b"] == date(2020, 4, 30)
+
+
+def test_due_days_are_the_days_that_are_tested_due(spark):
+    """Against a test of every day, for whole and fractional gaps, wide spreads,
+    last payments before, in and after the horizon."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from cadence.functions.forecast import due_days, is_due
+    rng = random.Random(8)
+    begin, rows = date(2020, 2, 20), []
+    for i in range(600):
+        gap = rng.choice([0.4, 1.0, 1.5, 7.0, 29.5, 30.0, 30.333334, 365.0, rng.uniform(0.2, 90)])
+        rows.append((i, begin + timedelta(days=rng.randint(-400, 90)), gap, rng.choice([0.0, 0.5, 1.2, 3.0, rng.uniform(0, 60)])))
+    df = spark.createDataFrame(rows, "i int, last date, gap float, sd float")
+    for length in (1, 30, 120):
+        end = begin + timedelta(days=length)
+        days = F.sequence(F.lit(begin), F.lit(end - timedelta(days=1)), F.expr("interval 1 day"))
+        tested = F.filter(days, lambda d: is_due(d, F.lit(begin), F.col("last"), F.col("gap"), F.col("sd")))
+        found = F.array_sort(due_days(begin, end, F.col("last"), F.col("gap"), F.col("sd")))
+        assert df.where(~found.eqNullSafe(tested)).collect() == []
+
+
+def test_unknown_amounts_in_the_calendar(spark):
+    """A day is NULL only where every recurrence of the customer is due with an
+    unknown amount; in the original such a sum has no value."""
+    from pyspark.sql import functions as F
+
+    from cadence.operators import calendar
+    begin, end = date(2020, 1, 1), date(2020, 1, 11)
+    rec = spark.createDataFrame([(1, None, date(2019, 12, 27), 10.0, 0.0), (2, None, date(2019, 12, 27), 10.0, 0.0),
+                                 (2, 5.0, date(2019, 12, 29), 10.0, 0.0), (3, None, date(2019, 12, 27), 10.0, 0.0),
+                                 (3, None, date(2019, 12, 27), 10.0, 0.0)],
+                                "customer_id long, imp_oper float, max_fec_trans date, delta_avg float, delta_std float")
+    expect = calendar.expected_payments(rec, begin, end).groupBy("customer_id", "calendar_date").agg(F.sum("expected_amount").alias("e"))
+    got = calendar.recurrent_calendar(rec, begin, end)
+    assert sorted(map(str, got.collect())) == sorted(map(str, expect.withColumnRenamed("e", "expected_amount").collect()))
+    assert got.where("expected_amount is null").count() == 2
+    wide = calendar.recurrent_calendar_wide(rec, begin, end).collect()
+    assert len(wide) == 3 and len(wide[0]) == 11
