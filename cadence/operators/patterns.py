@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from cadence.config import DEFAULT_CONFIG, RecurrenceConfig
 from cadence.functions.stats import as_float, relative_error, sample_sd_from_moments
-from cadence.operators.sequence import DAY_AMOUNT, DAY_PAYMENTS
+from cadence.operators.sequence import DAY_AMOUNT, DAY_PAYMENTS, RAW_ROWS
 from cadence.sources.schema import (
     AMOUNT, COMMERCE, CUSTOMER, CV_AMOUNT, DATE, DEBIT_TYPE, MARKED, MAX_AMOUNT, MAX_DAY_MONTH, MAX_DIFF_DAYS,
     MAX_FECHA, MEAN_AMOUNT, MEAN_DAY_MONTH, MEAN_DIFF_DAYS, MIN_AMOUNT, MIN_DAY_MONTH,
@@ -37,6 +37,7 @@ MARKED_AMOUNT = "marked_amount"
 MONTHS = "months"
 LAST_MARKED = "last_marked"
 LAST_UNMARKED = "last_unmarked"
+MARKED_DAYS = "marked_days"
 MEAN_RECENT = "mean_recent_amount"
 SD_RECENT = "sd_recent_amount"
 
@@ -60,6 +61,7 @@ def pattern_days(groups: DataFrame, keys: list[str] = PATTERN_KEYS) -> DataFrame
 
     merged = groups.groupBy(*keys, DATE).agg(
         F.sum(DAY_PAYMENTS).alias(DAY_PAYMENTS),
+        F.sum(RAW_ROWS).alias(RAW_ROWS),
         F.sum(DAY_AMOUNT).alias(DAY_AMOUNT),
         F.sum("_f_sum").alias("_f_sum"),
         F.sum("_f_n").alias("_f_n"),
@@ -108,6 +110,7 @@ def _pattern_rows(days: DataFrame, keys: list[str], recent: int) -> DataFrame:
         "_s1": F.sum("_gap"), "_s2": F.sum(F.col("_gap") * F.col("_gap")), "_max_gap": F.max("_gap"), "_min_gap": F.min("_gap"),
         "_dom1": F.sum(n_days * dom), "_dom2": F.sum(n_days * dom * dom), MAX_DAY_MONTH: F.max(dom), MIN_DAY_MONTH: F.min(dom),
         MAX_FECHA: F.max(DATE), MONTHS: F.collect_list(month), LAST_MARKED: F.collect_list(last),
+        RAW_ROWS: F.sum(RAW_ROWS), MARKED_DAYS: F.max("_marks"),
     }
     rows = by_month.select(*keys, "_place", *[total.over(pattern).alias(name) for name, total in totals.items()])
     # The gaps of a pattern of one day sum to 0.
@@ -126,10 +129,11 @@ def pattern_statistics(days: DataFrame, keys: list[str] = PATTERN_KEYS, config:
 
     With ``extras`` also ``months``, the sum of each calendar month, and
     ``last_marked``, the last marked day-sums: what later steps need of the days,
-    bounded by the months of the history.
+    bounded by the months of the history; and two counts, ``raw_rows`` and
+    ``marked_days``.
     """
     agg = _pattern_rows(days, keys, config.recent_payments)
-    more = [MONTHS, LAST_MARKED] if extras else []
+    more = [MONTHS, LAST_MARKED, RAW_ROWS, MARKED_DAYS] if extras else []
     n = F.col(NU_PAYMENTS)
     m = n - 1
     same_day_repeats = n > F.col("_days")

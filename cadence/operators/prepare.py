@@ -41,6 +41,14 @@ def recent_customers(tx: DataFrame, as_of: Column,
               .select(CUSTOMER).distinct())
 
 
+def recent_customers_counted(tx: DataFrame, as_of: Column, config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
+    """The recent customers with ``rows``, the number of all their rows: one
+    aggregate over customer and date, map-side combined."""
+    last, rows = F.max(DATE).alias("_last"), F.count(F.lit(1)).alias("rows")
+    return (tx.groupBy(CUSTOMER).agg(last, rows)
+              .where(F.col("_last") >= months_before(as_of, config.months_back)).drop("_last"))
+
+
 def active_customers(tx: DataFrame, as_of: Column,
                      config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
     """All rows of the recent customers."""

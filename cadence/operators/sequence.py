@@ -32,6 +32,8 @@ from cadence.storage import written
 
 DAY_PAYMENTS = "day_payments"
 DAY_AMOUNT = "day_amount"
+RAW_ROWS = "raw_rows"
+NO_SCOPE = "NONE"
 
 
 def null_safe_on(keys: list[str], prefix: str):
@@ -97,8 +99,10 @@ def payment_blocks(net: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) ->
     )
 
 
-def day_groups(net: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
-    """One row per customer, commerce, day and mark, with the pattern key.
+def day_groups(net: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG, untyped: bool = False) -> DataFrame:
+    """One row per customer, commerce, day and mark, with the pattern key. With
+    ``untyped`` also the groups of rows without a debit type, which are no payments
+    (scope ``NO_SCOPE``); ``raw_rows`` counts the rows of any group.
 
     One aggregate over the rows with map-side combine; all measures merge, so a
     day with very many payments is no window and no list. A marked group is one
@@ -109,7 +113,7 @@ def day_groups(net: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) -> Dat
     """
     is_marked = F.col(DEBIT_TYPE) == config.marked_debit_type
     f = F.col(AMOUNT).cast("float").cast("double")
-    groups = (net.where(F.col(DEBIT_TYPE).isNotNull())
+    groups = ((net if untyped else net.where(F.col(DEBIT_TYPE).isNotNull()))
               .groupBy(CUSTOMER, COMMERCE, DATE, is_marked.alias(MARKED))
               .agg(F.sum(AMOUNT).alias(DAY_AMOUNT), F.count(F.lit(1)).alias("_rows"), F.count(AMOUNT).alias("_f_n"),
                    F.sum(f).alias("_f_sum"), F.var_pop(f).alias("_f_var"), F.max(f).alias("_f_max"), F.min(f).alias("_f_min"))
@@ -119,11 +123,15 @@ def day_groups(net: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) -> Dat
     known = F.when(F.col(DAY_AMOUNT).isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long")
     same_amount = Window.partitionBy(CUSTOMER, COMMERCE, MARKED, DAY_AMOUNT)
     in_amount_scope = marked & (F.count(F.lit(1)).over(same_amount) >= config.min_payments)
+    scope = F.when(in_amount_scope, F.lit(SCOPE_AMOUNT)).otherwise(F.lit(SCOPE_COMMERCE))
+    if untyped:
+        scope = F.when(marked.isNull(), F.lit(NO_SCOPE)).otherwise(scope)
     return groups.select(
         CUSTOMER, COMMERCE, DATE, MARKED, DAY_AMOUNT,
-        F.when(in_amount_scope, F.lit(SCOPE_AMOUNT)).otherwise(F.lit(SCOPE_COMMERCE)).alias(SCOPE),
+        scope.alias(SCOPE),
         F.when(in_amount_scope, F.col(DAY_AMOUNT)).alias(PATTERN_AMOUNT),
-        F.when(marked, F.lit(1)).otherwise(F.col("_rows")).cast("long").alias(DAY_PAYMENTS),
+        F.when(marked, F.lit(1)).when(marked.isNull(), F.lit(0)).otherwise(F.col("_rows")).cast("long").alias(DAY_PAYMENTS),
+        F.col("_rows").alias(RAW_ROWS),
         F.when(marked, known).otherwise(F.col("_f_n")).alias("_f_n"),
         F.when(marked, day_sum).otherwise(F.col("_f_sum")).alias("_f_sum"),
         F.when(marked, F.lit(0.0)).otherwise(F.col("_f_var") * F.col("_f_n")).alias("_f_m2"),

@@ -18,15 +18,47 @@ import uuid
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cadence.config import DEFAULT_CONFIG, RecurrenceConfig
 from cadence.operators import calendar, classify, level, patterns, prepare, sequence
-from cadence.sources.schema import CALENDAR_DATE, CUSTOMER, DATE, EXPECTED_AMOUNT, MONTH_IM
+from cadence.sources.schema import CUSTOMER, DATE, NU_PAYMENTS, SCOPE, SCOPE_AMOUNT, SCOPE_COMMERCE
 from cadence.sources.transactions import conform
 
 
+class Probes:
+    """Counters that the stages of one fit fill while an action runs."""
+
+    def __init__(self):
+        self._customers, self._patterns = Observation(), Observation()
+
+    def customers(self, recent: DataFrame) -> DataFrame:
+        total = F.coalesce(F.sum("rows"), F.lit(0))
+        return recent.observe(self._customers, F.count(F.lit(1)).alias("active_customers"),
+                              total.alias("filtered_transactions")).select(CUSTOMER)
+
+    def patterns(self, stats: DataFrame, config: RecurrenceConfig) -> DataFrame:
+        commerce, n, marked = F.col(SCOPE) == SCOPE_COMMERCE, F.col(NU_PAYMENTS), F.coalesce(patterns.MARKED_DAYS, F.lit(0))
+        repeated = n >= config.min_payments
+
+        def total(value: Column, which: Column | None = None) -> Column:
+            return F.coalesce(F.sum(value if which is None else F.when(which, value)), F.lit(0))
+
+        counted = {
+            "after_reversals": total(F.col(sequence.RAW_ROWS)),
+            "recurrents": total(marked), "no_recurrents": total(n - marked), "evaluated_amount": total(marked),
+            "amount_recurrents": total(n, F.col(SCOPE) == SCOPE_AMOUNT), "amount_no_recurrents": total(marked, commerce),
+            "evaluated_commerce": total(n, commerce), "commerce_recurrents": total(n, commerce & repeated),
+            "commerce_no_recurrents": total(n, commerce & ~repeated),
+        }
+        seen = stats.observe(self._patterns, *[value.alias(name) for name, value in counted.items()])
+        return seen.where(F.col(SCOPE) != sequence.NO_SCOPE)
+
+    def counts(self) -> dict[str, int]:
+        return {name: int(value) for probe in (self._customers, self._patterns) for name, value in probe.get.items()}
+
+
 @dataclass(frozen=True)
 class RecurrenceModel:
     config: RecurrenceConfig
@@ -38,6 +70,14 @@ class RecurrenceModel:
     monthly: DataFrame        # non-recurrent sum per customer and month
     level: DataFrame          # non-recurrent daily level per customer
     checkpoint_folder: str | None = None    # what ``checkpoint=True`` wrote; the caller removes it
+    probes: Probes | None = None            # with ``observe=True``
+
+    def counts(self) -> dict[str, int]:
+        """The eleven row counts along the stages, after an action that reads the
+        pattern rows; it waits for one."""
+        if self.probes is None:
+            raise RuntimeError("counts() needs fit(..., observe=True)")
+        return self.probes.counts()
 
     @property
     def patterns(self) -> DataFrame:
@@ -106,9 +146,13 @@ def _checkpointed(df: DataFrame, folder: str | None, name: str) -> DataFrame:
 
 
 def fit(transactions: DataFrame, as_of=None, config: RecurrenceConfig = DEFAULT_CONFIG,
-        checkpoint: bool = False) -> RecurrenceModel:
+        checkpoint: bool = False, observe: bool = False) -> RecurrenceModel:
     """Fit the recurrence model on a transaction table.
 
+    With ``observe`` the first action on the model (or the write of ``checkpoint``)
+    counts the rows along the stages as they pass, without a job or a scan of its
+    own: ``model.counts()``.
+
     ``as_of`` is the reference date (a ``date``, ISO string or date column);
     by default the last operation date of the table.
     """
@@ -125,13 +169,20 @@ def fit(transactions: DataFrame, as_of=None, config: RecurrenceConfig = DEFAULT_
     # One aggregate over the rows to at most one row per pattern and day, and one
     # walk over these days to the pattern rows; everything else reads those.
     days = patterns.pattern_days(sequence.day_groups(net, config))
-    stats = patterns.pattern_statistics(days, config=config, extras=True).join(
-        prepare.recent_customers(tx, reference, config), CUSTOMER, "left_semi")
+    probes = Probes() if observe else None
+    if probes:
+        recent = probes.customers(prepare.recent_customers_counted(tx, reference, config))
+        every = patterns.pattern_days(sequence.day_groups(net, config, untyped=True))
+        stats = probes.patterns(patterns.pattern_statistics(every, config=config, extras=True).join(recent, CUSTOMER, "left_semi"), config)
+    else:
+        recent = prepare.recent_customers(tx, reference, config)
+        stats = patterns.pattern_statistics(days, config=config, extras=True).join(recent, CUSTOMER, "left_semi")
+    stats = stats.drop(sequence.RAW_ROWS, patterns.MARKED_DAYS)
     stats = patterns.with_recent_variation(stats, patterns.recent_unmarked(net, config), config)
     rows = _checkpointed(classify.categorize(stats, reference, config), folder, "patterns")
     monthly = _checkpointed(level.nonrecurrent_monthly(rows), folder, "monthly")
     level_table = level.nonrecurrent_level(level.monthly_percentile(monthly), config)
-    return RecurrenceModel(config, reference, tx, net, days, rows, monthly, level_table, folder)
+    return RecurrenceModel(config, reference, tx, net, days, rows, monthly, level_table, folder, probes)
 
 
 def predict(model: RecurrenceModel, begin: date | None = None, end: date | None = None):

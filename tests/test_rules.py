@@ -197,6 +197,44 @@ def test_types_that_decide_results_are_checked(spark):
             conform(df.withColumn(column, F.col(column).cast(kind)))
 
 
+def test_every_column_is_reconciled(spark):
+    from pyspark.sql import functions as F
+
+    from cadence.sources.schema import TRANSACTION_COLUMNS
+    from cadence.sources.transactions import transaction_projection
+    df = frame(spark, [tx_row(1, 1, date(2020, 1, 1), 5)])
+    for column in TRANSACTION_COLUMNS:
+        with pytest.raises(TypeError, match=column):
+            transaction_projection(df.withColumn(column, F.array(column)))
+        with pytest.raises(ValueError, match=column):
+            transaction_projection(df.drop(column))
+    with pytest.raises(ValueError, match="customer_id"):
+        transaction_projection(df.select("*", "customer_id"))
+    both = df.withColumn("operation_id", F.array("operation_id")).withColumn("return_type", F.lit(1.5))
+    with pytest.raises(TypeError, match="operation_id .* return_type"):
+        transaction_projection(both)
+    other = df.select(F.lit("extra").alias("month"), *reversed(df.columns)).withColumn("customer_id", F.col("customer_id").cast("string"))
+    assert transaction_projection(other).columns == TRANSACTION_COLUMNS
+    assert fit(other.withColumn("operation_time_date", F.lit("2020-01-01").cast("timestamp"))).patterns.count() == 1
+
+
+@pytest.mark.parametrize("checkpoint", [False, True])
+@pytest.mark.parametrize("name", ["customer", "gaps"])
+def test_observed_counts_equal_the_counting_query(spark, name, checkpoint):
+    from cadence.plans.queries import F1, F4, context, q_stage_counts
+    from tests.conftest import SF_SMALL
+    source = {"customer": F1, "gaps": F4}[name]
+    c = context(spark, SF_SMALL, source)
+    expect = {r["stage"]: r["rows"] for r in q_stage_counts(c).collect() if not r["stage"].startswith("without")}
+    model = fit(c.tx, source.as_of, checkpoint=checkpoint, observe=True)
+    if not checkpoint:
+        forecast = model.forecast(source.begin, source.end)
+        assert sorted(map(str, forecast.collect())) == sorted(map(str, c.model.forecast(source.begin, source.end).collect()))
+    assert model.counts() == expect
+    with pytest.raises(RuntimeError, match="observe"):
+        c.model.counts()
+
+
 def test_reference_date_with_a_time_is_the_day(spark):
     from datetime import datetime
 
