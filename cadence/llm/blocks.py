@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 
 EDGES = "a binary, b binary"
 LINKS = "a binary, b binary, links long"
+JUDGED = "a binary, b binary, links long, low int, high int"
 _ARROW = {
     EDGES: [("a", pa.binary()), ("b", pa.binary())],
     LINKS: [("a", pa.binary()), ("b", pa.binary()), ("links", pa.int64())],
+    JUDGED: [("a", pa.binary()), ("b", pa.binary()), ("links", pa.int64()), ("low", pa.int32()), ("high", pa.int32())],
 }
 
 

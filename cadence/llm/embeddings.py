@@ -10,8 +10,10 @@ threshold are linked; links chain to components.
 3. The vectors of a label are cut into tiles; a pair of tiles is one matrix
    product of int8 values (exact in float32 up to ``EXACT_DIMENSIONS`` products,
    longer vectors are summed in parts).
-4. Only pairs whose product plus bound reaches the threshold are computed again,
-   in double precision from the given components; these decide.
+4. Pairs whose product plus bound reaches the threshold are linked where product
+   minus bound does so too; the others of them are computed again, in double
+   precision from the given components, which decides. The doubles move only for
+   vectors in such pairs; to all tile pairs go codes and bounds.
 5. Each pair of tiles returns summed link counts and a spanning forest.
 
 All pairs of a label are compared, as asked; the work is quadratic in a label's
@@ -32,12 +34,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.blocks import LINKS, forest, in_block_pairs, streamed_groups
+from cadence.llm.blocks import JUDGED, LINKS, in_block_pairs, streamed_groups
 from cadence.llm.common import written
 from cadence.llm.components import components
 
 THRESHOLD = 0.93
-TILE = 1024
+TILE = 4096
 EXACT_DIMENSIONS = 1 << 24 >> 14        # 127 * 127 * this < 2 ** 24
 _SLACK = 1e-9       # for rounding in the bound itself
 
@@ -106,50 +108,102 @@ def tile_products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return out
 
 
-def _compare(threshold: float):
+class _Tiles:
+    """The vectors of a pair of tiles, without their doubles."""
+
+    def __init__(self, dimensions: int, low: int, high: int, keys: list, own: list, copies: list, scale: list, norm: list,
+                 error: list, codes: list):
+        self.keys, own, self.copies = keys, np.asarray(own), np.asarray(copies)
+        self.scale, self.norm, self.error = np.asarray(scale), np.asarray(norm), np.asarray(error)
+        self.codes = np.frombuffer(b"".join(codes), np.int8).reshape(-1, dimensions)
+        self.left = np.flatnonzero(own == low)
+        self.right = self.left if low == high else np.flatnonzero(own == high)
+        self.same = low == high
+        self.counts = np.zeros(len(keys), np.int64)
+        self.group = np.arange(len(keys))
+        self.tree: list[tuple[int, int]] = []
+
+    def judged(self, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(vectors of the left tile, whether each pair with the right one is surely
+        linked, whether it is possibly linked), a few hundred vectors at a time."""
+        for at in range(0, len(self.left), 256):
+            mine, right = self.left[at:at + 256], self.right
+            near = tile_products(self.codes[mine], self.codes[right]) * self.scale[mine][:, None] * self.scale[right][None, :]
+            most = (self.norm[mine][:, None] * self.error[right][None, :] + self.error[mine][:, None] * self.norm[right][None, :]
+                    + self.error[mine][:, None] * self.error[right][None, :])
+            counted = mine[:, None] < right[None, :] if self.same else np.ones(near.shape, bool)
+            sure = (near - most >= threshold + _SLACK) & counted
+            yield mine, sure, (near + most >= threshold - _SLACK) & counted & ~sure
+
+    def link(self, one: int, others: np.ndarray) -> None:
+        """Counts the links of a vector and keeps those that join two groups."""
+        self.counts[one] += self.copies[others].sum()
+        self.counts[others] += self.copies[one]
+        others = others[self.group[others] != self.group[one]]
+        if len(others):
+            labels, first = np.unique(self.group[others], return_index=True)
+            self.group[np.isin(self.group, labels)] = self.group[one]
+            self.tree += [(one, int(other)) for other in others[first]]
+
+    def result(self) -> Iterator[tuple]:
+        for a, b in self.tree:
+            yield self.keys[a], self.keys[b], None
+        for i in np.flatnonzero(self.counts):
+            yield self.keys[i], None, int(self.counts[i])
+
+
+def _sure(threshold: float):
+    """Links that the bound decides; a row (key, null, null) for each vector of a
+    pair that it does not."""
     def work(group: tuple, held: list) -> Iterator[tuple]:
-        keys, own, copies, scale, norm, error, codes, exact = held
         _, dimensions, low, high = group
-        own, copies = np.asarray(own), np.asarray(copies)
-        scale, norm, error = np.asarray(scale), np.asarray(norm), np.asarray(error)
-        codes = np.frombuffer(b"".join(codes), np.int8).reshape(-1, dimensions)
-        rows = _unit(np.frombuffer(b"".join(exact), "<f8").reshape(-1, dimensions))
-        left = np.flatnonzero(own == low)
-        right = left if low == high else np.flatnonzero(own == high)
-        links = np.zeros(len(keys), np.int64)
-        found_a, found_b = [], []
-        for at in range(0, len(left), 256):
-            mine = left[at:at + 256]
-            near = tile_products(codes[mine], codes[right]) * scale[mine][:, None] * scale[right][None, :]
-            most = (near + norm[mine][:, None] * error[right][None, :] + error[mine][:, None] * norm[right][None, :]
-                    + error[mine][:, None] * error[right][None, :])
-            x, y = np.nonzero(most >= threshold - _SLACK)
-            x, y = mine[x], right[y]
-            if low == high:
-                x, y = x[x < y], y[x < y]
-            for part in range(0, len(x), 100_000):
-                a, b = x[part:part + 100_000], y[part:part + 100_000]
-                linked = np.einsum("ij,ij->i", rows[a], rows[b]) >= threshold
-                a, b = a[linked], b[linked]
-                np.add.at(links, a, copies[b])
-                np.add.at(links, b, copies[a])
-                found_a.append(a)
-                found_b.append(b)
-        if found_a:
-            for a, b in forest(len(keys), np.concatenate(found_a), np.concatenate(found_b)):
-                yield keys[a], keys[b], None
-        for i in np.flatnonzero(links):
-            yield keys[i], None, int(links[i])
+        tiles = _Tiles(dimensions, low, high, *held)
+        open_ = np.zeros(len(tiles.keys), bool)
+        for mine, sure, possible in tiles.judged(threshold):
+            for i in np.flatnonzero(sure.any(1)):
+                tiles.link(int(mine[i]), tiles.right[sure[i]])
+            open_[mine[possible.any(1)]] = True
+            open_[tiles.right[possible.any(0)]] = True
+        for a, b, links in tiles.result():
+            yield a, b, links, low, high
+        for i in np.flatnonzero(open_):
+            yield tiles.keys[i], None, None, low, high
     return work
 
 
+def _possible(threshold: float):
+    """Links among the pairs that the bound does not decide, in double precision."""
+    def work(group: tuple, held: list) -> Iterator[tuple]:
+        _, dimensions, low, high = group
+        tiles = _Tiles(dimensions, low, high, *held[:-1])
+        rows = _unit(np.frombuffer(b"".join(held[-1]), "<f8").reshape(-1, dimensions))
+        for mine, _, possible in tiles.judged(threshold):
+            for i in np.flatnonzero(possible.any(1)):
+                others = tiles.right[possible[i]]
+                others = others[rows[others] @ rows[mine[i]] >= threshold]
+                if len(others):
+                    tiles.link(int(mine[i]), others)
+        yield from tiles.result()
+    return work
+
+
+_CODED = ["key", "own", "copies", "scale", "norm", "error", "codes"]
+_TILE = ["label", "dimensions", "low", "high"]
+
+
 def links(different: DataFrame, threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
     """Rows (a, b, null) of a spanning forest of the links, and rows (a, null,
-    links) to be summed. ``different``: written ``different_vectors``."""
+    links) to be summed. ``different``: written ``different_vectors``. Codes and
+    bounds go to the tile pairs; doubles only of vectors in pairs still open."""
     sizes = different.groupBy("label", "dimensions").agg(F.count(F.lit(1)).alias("n"))
-    tiles = in_block_pairs(different.join(sizes, ["label", "dimensions"]), "label", "n", tile, "key")
-    return streamed_groups(tiles, ["label", "dimensions", "low", "high"], LINKS, _compare(threshold),
-                           ["key", "own", "copies", "scale", "norm", "error", "codes", "exact"])
+    coded = different.drop("exact").join(sizes, ["label", "dimensions"])
+    first = written(streamed_groups(in_block_pairs(coded, "label", "n", tile, "key"), _TILE, JUDGED, _sure(threshold), _CODED), "sure")
+    still = first.where(F.col("b").isNull() & F.col("links").isNull()).select(F.col("a").alias("key"), "low", "high")
+    blocks = F.ceil(F.col("n") / F.lit(tile)).cast("int")
+    whole = different.join(sizes, ["label", "dimensions"]).withColumn("own", F.pmod(F.xxhash64("key"), blocks).cast("int"))
+    second = streamed_groups(still.join(whole, "key"), _TILE, LINKS, _possible(threshold), [*_CODED, "exact"])
+    decided = first.where(F.col("b").isNotNull() | F.col("links").isNotNull()).select("a", "b", "links")
+    return decided.unionByName(second)
 
 
 def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding",

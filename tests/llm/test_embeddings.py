@@ -71,3 +71,22 @@ def test_long_vectors_are_summed_in_parts():
     rng = np.random.default_rng(2)
     codes = rng.integers(-127, 128, (3, 5000)).astype(np.int8)
     assert (embeddings.tile_products(codes, codes) == codes.astype(np.int64) @ codes.astype(np.int64).T).all()
+
+
+def test_pairs_within_the_bound_are_decided_in_doubles(spark):
+    """Cosines spread closely around the threshold, where the codes cannot tell."""
+    rng = np.random.default_rng(9)
+    d, threshold = 16, 0.93
+    base = rng.normal(size=d)
+    base /= np.linalg.norm(base)
+    rows = [(0, base.tolist(), 1)]
+    for i in range(1, 120):
+        away = rng.normal(size=d)
+        away -= away @ base * base
+        away /= np.linalg.norm(away)
+        cosine = threshold + rng.choice([-1, 1]) * 10.0 ** rng.uniform(-9, -2)
+        rows.append((i, (3.7 * (cosine * base + np.sqrt(1 - cosine ** 2) * away)).tolist(), 1))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = embeddings.near_duplicates(frame, threshold=threshold).collect()
+    assert sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in got), key=str) == plain(rows, threshold)
+    assert 20 < next(r["n_links"] for r in got if r["vec_id"] == 0) < 100
