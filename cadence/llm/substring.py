@@ -17,10 +17,11 @@ the spans which can match them:
 3. *Reference shards.* The word spans of the remaining runs go to their
    anchor's shard. A shard is one suffix automaton with occurrence counts; the
    runs stream through it, and the state that holds the last ``width`` words
-   tells whether the window occurs again. An anchor with more than ``HOT``
-   occurrences would make an unbounded automaton: its runs are dealt by single
-   window instead (a window's 16-byte digest), counted with map-side combine.
-   Both ways give the same windows; only routing differs.
+   tells whether the window occurs again. The spans of an anchor with more than ``HOT`` occurrences
+   would make an unbounded automaton: they are cut into their single windows,
+   which are counted with map-side combine and then dealt to shards of their own
+   by digest, with automata like any other. Only where a span is cut and which
+   shard it meets depends on the anchor; every window is judged by an automaton.
 4. The marked windows go back to their texts, and the words that they cover go.
 
 Shards are shipped to the task that streams the runs, not broadcast, because
@@ -45,7 +46,7 @@ from cadence.llm.common import slices, text_key, whole_text, written
 from cadence.llm.words import Words
 
 WIDTH = 35
-HOT = 1000          # occurrences of an anchor from which on its windows are dealt one by one
+HOT = 1000          # occurrences of an anchor from which on its spans are cut into windows
 _MAX_RUN = 48       # windows of a run fit the bits of a long
 _LEAST_ID = -(1 << 63)
 
@@ -146,8 +147,8 @@ SPANS = "route long, digest binary, span binary, weight long, key binary, first
 
 
 def _spans(width: int, hot: int, with_text: bool):
-    """The spans of candidate runs: whole runs, or single windows of hot anchors
-    (their span is null). Without the text, the occurrences only."""
+    """The spans of candidate runs: whole runs, or single windows of hot anchors.
+    Without the text, the occurrences only."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
@@ -169,8 +170,9 @@ def _spans(width: int, hot: int, with_text: bool):
                         out.append((a, hashlib.md5(span).digest(), span if with_text else None, copies[d], key[d], f))
                     else:
                         for i in range(k):
-                            digest = hashlib.md5(raw[place[w + i]:place[w + i + width] - 1]).digest()
-                            out.append((int.from_bytes(digest[:8], "little", signed=True), digest, None,
+                            span = raw[place[w + i]:place[w + i + width] - 1]
+                            digest = hashlib.md5(span).digest()
+                            out.append((int.from_bytes(digest[:8], "little", signed=True), digest, span if with_text else None,
                                         copies[d], key[d], f + i))
                 for i in range(0, len(out), 20_000):
                     columns = list(zip(*out[i:i + 20_000], strict=True))
@@ -247,8 +249,6 @@ def repeated_in_shard(spans: list[bytes], weights: list[int], width: int) -> lis
     """For each different span a number whose bit i says that the window from
     word i on occurs twice or more in the shard."""
     sequences = [span.split(b" ") for span in spans]
-    if len(spans) == 1:     # no window occurs twice within one run
-        return [(1 << (len(sequences[0]) - width + 1)) - 1 if weights[0] > 1 else 0]
     automaton = SuffixAutomaton()
     for sequence, weight in zip(sequences, weights, strict=True):
         automaton.add(sequence, weight)
@@ -325,15 +325,13 @@ def cut_texts(docs: DataFrame, profile: DataFrame, id_column: str = "doc_id", te
     """(key, n_removed, kept_text, kept_sha256) of every different text that
     loses words. ``profile``: ``profiles`` of the same rows and width, written."""
     texts = written(_candidates(docs, profile, id_column, text_column), "candidates")
-    spans = texts.mapInArrow(_spans(width, hot, True), SPANS)
-    whole = (spans.where(F.col("span").isNotNull()).select("route", "digest", "span", "weight")
-             .repartition("route").sortWithinPartitions("route", "digest")
-             .mapInArrow(_shards(width), "route long, digest binary, marks long"))
+    # Equal spans of a task, and above all the windows of hot anchors, travel once.
+    spans = (texts.mapInArrow(_spans(width, hot, True), SPANS).groupBy("route", "digest")
+             .agg(F.any_value("span").alias("span"), F.sum("weight").alias("weight")))
+    judged = (spans.repartition("route").sortWithinPartitions("route", "digest")
+              .mapInArrow(_shards(width), "route long, digest binary, marks long"))
     places = texts.mapInArrow(_spans(width, hot, False), SPANS).select("route", "digest", "key", "first", "weight")
-    single = (spans.where(F.col("span").isNull()).groupBy("route", "digest")
-              .agg(F.sum("weight").alias("times")).where(F.col("times") >= 2)
-              .select("route", "digest", F.lit(1).cast("long").alias("marks")))
-    marked = (places.join(whole.unionByName(single), ["route", "digest"]).groupBy("key")
+    marked = (places.join(judged, ["route", "digest"]).groupBy("key")
               .agg(F.collect_list(F.struct("first", "marks")).alias("marked")))
     return (texts.select("key", "text").join(marked, "key")
             .mapInArrow(_cut(width), "key binary, n_removed long, kept_text string, kept_sha256 string"))
@@ -345,12 +343,17 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     joined by one space, other texts stay as they are."""
     profile = written(profiles(docs, id_column, text_column, width), "profiles")
     cut = written(cut_texts(docs, profile, id_column, text_column, width), "cut")
-    new = cut.select(F.col("key").alias("__key"), F.col("kept_text").alias("__kept"))
-    joined = docs.join(new, text_key(text_column) == F.col("__key"), "left")
-    return joined.select(*[F.coalesce("__kept", docs[c]).alias(c) if c == text_column else docs[c]
+    # The rows as one column, so that no name of theirs clashes.
+    rows = docs.select(F.struct(*[F.col(_quoted(c)) for c in docs.columns]).alias("row"), text_key(_quoted(text_column)).alias("key"))
+    joined = rows.join(cut.select("key", "kept_text"), "key", "left")
+    return joined.select(*[F.coalesce("kept_text", F.col("row")[c]).alias(c) if c == text_column else F.col("row")[c].alias(c)
                            for c in docs.columns])
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def removal_report(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                    width: int = WIDTH) -> DataFrame:
     """One row for each row of ``docs``: id, n_words, n_removed, kept_sha256."""

@@ -56,3 +56,28 @@ def test_automaton_counts_windows():
     for span, mark in zip(spans, marks):
         w = span.split(b" ")
         assert [mark >> i & 1 for i in range(len(w) - 2)] == [int(times[tuple(w[i:i + 3])] > 1) for i in range(len(w) - 2)]
+
+
+def test_columns_with_any_names_are_kept(spark, odd_rows):
+    from pyspark.sql import functions as F
+    names = ["__kept", "__key", "key", "row", "a.b", "kept_text", "n`x"]
+    docs = spark.createDataFrame(odd_rows, "doc_id long, text string").select(
+        "*", *[F.lit(n).alias(n) for n in names])
+    out = substring.without_repeats(docs)
+    assert out.columns == docs.columns
+    rows = out.collect()
+    assert len(rows) == len(odd_rows) and all(list(r)[2:] == names for r in rows)
+    assert {r[0]: r[1] for r in rows}[10] == "one two three four five"
+
+
+def test_a_passage_in_very_many_texts(frame):
+    """Every window of the passage and of what stands beside it, hot or not."""
+    passage = " ".join(f"p{i}" for i in range(20))
+    rows = [(i, f"x{i} y{i % 7} z{i % 3} {passage} u{i % 5} v{i}") for i in range(150)]
+    docs = frame(rows)
+    profile = substring.written(substring.profiles(docs, width=8), "profiles")
+    expect = {d: n for d, _, n, _ in plain(rows, 8)}
+    for hot in (10, 1000):
+        cut = substring.cut_texts(docs, profile, width=8, hot=hot).select("key", "n_removed")
+        ids = docs.select("doc_id", substring.text_key("text").alias("key")).join(cut, "key").select("doc_id", "n_removed")
+        assert {r["doc_id"]: r["n_removed"] for r in ids.collect()} == {d: n for d, n in expect.items() if n}
