@@ -12,6 +12,9 @@ with the next ``STEP`` bits. The first bits hash the key, so equal keys stay
 together while they fit; the bits after hash the row's number as well, so a key
 that holds a large part of all rows is split like any other bucket.
 
+A row weighs the bytes of its text and ``ROW_BYTES`` for its other columns, so
+rows without a text fill shards as well.
+
 Edge cases: a null text has no bytes; a row that alone is over the limit is a
 shard of its own; null and shared keys and repeated rows are rows like any other;
 other columns are kept by ``write_shards`` and else not looked at; an empty table
@@ -27,6 +30,7 @@ from cadence.llm.common import whole_text, written
 
 LIMIT = 64 << 20
 STEP = 20
+ROW_BYTES = 64
 ROUNDS = 5      # of STEP bits: the first two hash the key, the others the row
 
 
@@ -76,14 +80,18 @@ def assigned(rows: DataFrame, limit: int = LIMIT) -> DataFrame:
     raise RuntimeError("equal addresses over all bits")
 
 
+def row_weight(text_column: str) -> Column:
+    return (F.octet_length(whole_text(text_column)) + F.lit(ROW_BYTES)).cast("long")
+
+
 def _numbered(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return docs.select(F.col(id_column).alias("id"), F.monotonically_increasing_id().alias("row"),
-                       F.octet_length(whole_text(text_column)).cast("long").alias("bytes"))
+                       row_weight(text_column).alias("bytes"))
 
 
 def shard_report(docs: DataFrame, limit: int = LIMIT, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row for each row: id, n_bytes, shard (bits), depth, shard_bytes,
-    shard_docs."""
+    """One row for each row: id, n_bytes (its weight), shard (bits), depth,
+    shard_bytes, shard_docs."""
     return assigned(_numbered(docs, id_column, text_column), limit).select(
         F.col("id").alias(id_column), F.col("bytes").alias("n_bytes"), "shard", F.col("depth").cast("int").alias("depth"),
         "shard_bytes", "shard_docs")
@@ -95,7 +103,7 @@ def write_shards(docs: DataFrame, path: str, limit: int = LIMIT, id_column: str
     numbered once and written."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     held = written(docs.select(row.alias("doc"), F.col(id_column).alias("id"), F.monotonically_increasing_id().alias("row"),
-                               F.octet_length(whole_text(text_column)).cast("long").alias("bytes")), "numbered")
+                               row_weight(text_column).alias("bytes")), "numbered")
     shards = written(assigned(held.select("id", "row", "bytes"), limit).select("row", "shard"), "shards")
     out = held.join(shards, "row").select(F.concat(F.lit("b"), "shard").alias("shard"), "doc")
     out.repartition("shard").write.partitionBy("shard").parquet(path)

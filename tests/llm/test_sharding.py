@@ -33,3 +33,13 @@ def test_shards_are_written_with_all_columns(spark, frame, odd_rows):
     assert got.columns == docs.columns and got.exceptAll(docs).count() == 0 and docs.exceptAll(got).count() == 0
     sizes = back.groupBy("shard").agg(F.sum(F.octet_length(F.coalesce("doc.text", F.lit("")))).alias("b"), F.count("*").alias("n"))
     assert sizes.where("b > 2000 and n > 1").count() == 0
+
+
+def test_a_group_of_rows_without_text_is_split(frame):
+    rows = [(7, None)] * 300 + [(7, "")] * 300 + [(None, None)] * 200
+    out = sharding.shard_report(frame(rows), 2000).collect()
+    sizes = defaultdict(int)
+    for r in out:
+        assert r["n_bytes"] == sharding.ROW_BYTES
+        sizes[r["shard"]] += r["n_bytes"]
+    assert len(out) == 800 and max(sizes.values()) <= 2000
