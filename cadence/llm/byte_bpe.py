@@ -25,7 +25,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -187,11 +186,18 @@ class ByteBPE:
 DIGESTS = "id {}, n_tokens long, ids_sha256 string, decoded_sha256 string"
 IDS = "id {}, ids array<int>"
 
-_models: dict[int, ByteBPE] = {}
+_models: dict[str, ByteBPE] = {}
 
 
-def _model(tokens: list[bytes], pattern: str, whole: PerfectHash) -> ByteBPE:
-    key = zlib.crc32(b"\0".join(tokens[:2000])) ^ zlib.crc32(pattern.encode()) ^ len(tokens)
+def vocabulary_key(tokens: list[bytes], pattern: str) -> str:
+    """A digest of the whole vocabulary and the pattern."""
+    digest = hashlib.sha256(pattern.encode())
+    for token in tokens:
+        digest.update(len(token).to_bytes(4, "little") + token)
+    return digest.hexdigest()
+
+
+def _model(key: str, tokens: list[bytes], pattern: str, whole: PerfectHash) -> ByteBPE:
     if key not in _models:
         _models.clear()
         _models[key] = ByteBPE(tokens, pattern, whole)
@@ -200,9 +206,11 @@ def _model(tokens: list[bytes], pattern: str, whole: PerfectHash) -> ByteBPE:
 
 def _encoded(tokens: list[bytes], pattern: str, whole: PerfectHash):
     """Batches of rows with the ids of their texts."""
+    key = vocabulary_key(tokens, pattern)
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes], ByteBPE]]:
-        model = _model(tokens, pattern, whole)
-        cache = cache_of(("bpe", id(model)), lambda: lambda chunks: [model.encode(c) for c in chunks])
+        model = _model(key, tokens, pattern, whole)
+        cache = cache_of(("bpe", key), lambda: lambda chunks: [model.encode(c) for c in chunks])
         for batch in batches:
             for part in slices(batch, "text", 500_000):
                 yield part, cache.texts(part.column("text").to_pylist(), SPACED_RUNS.findall), model
@@ -232,10 +240,10 @@ def encoded(docs: DataFrame, ranks: str, pattern: str, id_column: str = "doc_id"
 def decoded(ids: DataFrame, ranks: str, pattern: str, id_column: str = "doc_id", ids_column: str = "ids") -> DataFrame:
     """(id, decoded): the bytes of every row's ids."""
     tokens = read_ranks(ranks)
-    whole = PerfectHash(tokens)
+    whole, key = PerfectHash(tokens), vocabulary_key(tokens, pattern)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _model(tokens, pattern, whole)
+        model = _model(key, tokens, pattern, whole)
         for batch in batches:
             out = [model.decode(i or []) for i in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out, pa.binary())], names=["id", "decoded"])
