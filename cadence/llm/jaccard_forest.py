@@ -3,15 +3,20 @@
 Texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more
 are linked; links chain to classes.
 
-1. *Signatures* (one scan): ``TREES * MAX_DEPTH`` MinHash values a text. Tree t
-   is the prefix trie of the values ``t * MAX_DEPTH ...`` of all signatures.
-   Equal texts collapse to one row that counts its copies.
-2. *Prefixes*: texts are matched at one fixed depth, the longest prefix with
-   which two texts at the threshold meet in some tree with the target recall
-   (``depth_for``), in every node, however many texts share it (a common passage
-   fills one): the recall does not depend on the size of the table. Texts that
-   share a longer prefix share this one too, so a descent from the whole label
-   would end with the same pairs.
+1. *Signatures* (one scan): ``PLACES`` MinHash values a text. Each tree reads them
+   in an order of its own (``tree_places``): the values in that order are a text's
+   label, a tree's sorted labels are its prefix trie, and the texts that share a
+   prefix are a node. Equal texts collapse to one row that counts its copies.
+2. *Prefixes*: labels are shortened as far as the nodes they lead to allow. In nodes
+   of at most ``NODE_LIMIT`` texts the matched prefix is ``LENGTHS[0]`` long. The texts
+   of fuller nodes (a common passage fills some) keep a longer one, the next of
+   ``LENGTHS``, and so on; the longest is matched however full its nodes are. The shorter
+   the prefix, the fewer trees reach the target recall: every length has as many as it
+   needs (``trees_for``). A pair that shares a full node takes both of its texts to the
+   next length, so the misses of the lengths add up at most, and the target is divided
+   among them: the recall does not depend on the size of the table. A full node
+   is first compared with one of its texts; if all are like it (near copies of one
+   text), they are joined already and keep no longer prefix.
 3. *Candidates*: within a node, block against block, pairs whose whole
    signatures agree in far fewer places than the threshold asks for are dropped;
    of the others only a spanning forest is kept. Its components hold all possible
@@ -30,7 +35,10 @@ looked at; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
+from functools import lru_cache, reduce
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -44,22 +52,43 @@ from cadence.llm.words import Words
 
 SHINGLE = 5
 THRESHOLD = 0.8
-TREES, MAX_DEPTH = 16, 6
+PLACES = 96             # values of a signature
+LENGTHS = (4, 7, 10)    # of matched prefixes
 TARGET_RECALL = 0.9995
+NODE_LIMIT = 4000       # texts of a node whose labels are not shortened to it
 NODE_BLOCK = 1000       # signatures of one side of a block pair
 TEXT_BLOCK = 256        # texts of one side of a block pair
 _LEAST_ID = -(1 << 63)
-_FACTORS = np.random.default_rng(7).integers(1, 2**31, TREES * MAX_DEPTH, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_SHIFTS = np.random.default_rng(8).integers(0, 2**32, TREES * MAX_DEPTH, dtype=np.uint32)
+_FACTORS = np.random.default_rng(7).integers(1, 2**31, PLACES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_SHIFTS = np.random.default_rng(8).integers(0, 2**32, PLACES, dtype=np.uint32)
 
 
-def depth_for(recall: float = TARGET_RECALL, threshold: float = THRESHOLD, trees: int = TREES,
-              deepest: int = MAX_DEPTH) -> int:
-    """The longest prefix with which pairs at the threshold meet often enough."""
-    depth = deepest
-    while depth > 1 and 1 - (1 - threshold ** depth) ** trees < recall:
-        depth -= 1
-    return depth
+def missed(length: int, trees: int, threshold: float = THRESHOLD) -> float:
+    """Share of the pairs at the threshold that agree in no tree's prefix of this
+    length. Trees that share no place are independent; of trees that do, each
+    prefix is a random choice of places, k of which agree."""
+    if length == LENGTHS[0] and length * trees <= PLACES:
+        return (1 - threshold ** length) ** trees
+    total = 0.0
+    for k in range(PLACES + 1):
+        weight = comb(PLACES, k) * threshold ** k * (1 - threshold) ** (PLACES - k)
+        total += weight * (1 - comb(k, length) / comb(PLACES, length)) ** trees
+    return total
+
+
+@lru_cache
+def trees_for(length: int, recall: float = TARGET_RECALL, threshold: float = THRESHOLD) -> int:
+    """The fewest trees whose share of the misses is within the target's."""
+    most = (1 - recall) / len(LENGTHS)
+    return bisect_left(range(1, 1 << 16), -most, key=lambda t: -missed(length, t, threshold)) + 1
+
+
+def tree_places(tree: int) -> np.ndarray:
+    """The places of the signature in the order in which a tree reads them. The
+    shortest prefixes of the first trees share no place."""
+    order = np.random.default_rng([11, tree]).permutation(PLACES)
+    first = np.arange(PLACES)[tree * LENGTHS[0]:(tree + 1) * LENGTHS[0]]
+    return np.r_[first, order[~np.isin(order, first)]][:max(LENGTHS)]
 
 
 def shingles(words: Words, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -148,25 +177,85 @@ def _alike(least_share: float):
     return work
 
 
-def _node(tree: Column, depth: Column, signature: Column) -> Column:
-    """A long that stands for a node: the tree, the depth and the prefix."""
-    return F.xxhash64(tree, depth, F.substring(signature, tree * (4 * MAX_DEPTH) + 1, depth * 4))
+def _least_share(threshold: float) -> float:
+    """Five standard errors of the estimated similarity below the threshold."""
+    return threshold - 5 * (threshold * (1 - threshold) / PLACES) ** 0.5
+
+
+def labelled(signed: DataFrame, length: int, trees: int) -> DataFrame:
+    """(key, node) of each text and tree: the node is a fingerprint of the tree, the
+    length and the prefix."""
+    places = np.stack([tree_places(t)[:length] for t in range(trees)])
+    odd = np.random.default_rng(12).integers(1, 2**63, length, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    seeds = np.random.default_rng([13, length]).integers(1, 2**63, trees, dtype=np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                n = part.num_rows
+                values = np.frombuffer(b"".join(part.column("signature").to_pylist()), ">u4").reshape(n, PLACES).astype(np.uint64)
+                nodes = np.broadcast_to(seeds, (n, trees)).copy()
+                for i in range(length):
+                    nodes = (nodes ^ values[:, places[:, i]]) * odd[i]
+                    nodes ^= nodes >> np.uint64(29)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("key").take(pa.array(np.repeat(np.arange(n), trees))),
+                     pa.array(nodes.reshape(-1).view(np.int64))], names=["key", "node"])
+    return signed.select("key", "signature").mapInArrow(run, "key binary, node long")
+
+
+def _compared(met: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Forests of the like pairs of each node, block against block."""
+    signed = met.join(texts.select("key", "signature"), "key")
+    blocks = in_block_pairs(signed, "node", "n", NODE_BLOCK, "key")
+    return streamed_groups(blocks, ["node", "low", "high"], EDGES, _alike(_least_share(threshold)),
+                           ["key", "own", "signature"])
+
+
+def _beside_heads(full: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """(node, head, key, alike): the texts of full nodes beside the node's least text."""
+    heads = (full.groupBy("node").agg(F.min("key").alias("head"))
+             .join(texts.select(F.col("key").alias("head"), F.col("signature").alias("head_signature")), "head"))
+    pairs = full.select("node", "key").join(heads, "node").join(texts.select("key", "signature"), "key")
+    need = _least_share(threshold) * PLACES
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, PLACES)
+                    for c in ("signature", "head_signature"))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("head"), batch.column("key"), pa.array((a == b).sum(1) >= need)],
+                names=["node", "head", "key", "alike"])
+    return pairs.mapInArrow(run, "node long, head binary, key binary, alike boolean")
 
-def candidate_edges(texts: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL) -> DataFrame:
+
+def candidate_edges(texts: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL,
+                    node_limit: int | None = None) -> DataFrame:
     """Edges (a, b) whose components hold all pairs that may be linked.
     ``texts``: written ``signed_texts``."""
-    depth = depth_for(recall, threshold)
-    trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
-    places = (texts.where(F.col("size") > 0).select("key", "signature", trees)
-              .select("key", _node(F.col("tree"), F.lit(depth), F.col("signature")).alias("node")))
-    nodes = written(places.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= 2), "nodes")
-    members = written(places.join(nodes, "node"), "met")
-    signed = members.join(texts.select("key", "signature"), "key")
-    blocks = in_block_pairs(signed, "node", "n", NODE_BLOCK, "key")
-    # Five standard errors of the estimated similarity below the threshold.
-    share = threshold - 5 * (threshold * (1 - threshold) / (TREES * MAX_DEPTH)) ** 0.5
-    return streamed_groups(blocks, ["node", "low", "high"], EDGES, _alike(share), ["key", "own", "signature"])
+    limit = NODE_LIMIT if node_limit is None else node_limit
+    matched = texts.where(F.col("size") > 0)
+    edges = []
+    for length in LENGTHS:
+        labels = labelled(matched, length, trees_for(length, recall, threshold))
+        nodes = written(labels.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= 2), "nodes")
+        met = written(labels.join(nodes, "node"), "met")
+        if length == max(LENGTHS):
+            edges.append(_compared(met, texts, threshold))
+            break
+        edges.append(_compared(met.where(F.col("n") <= limit), texts, threshold))
+        if nodes.where(F.col("n") > limit).isEmpty():
+            break
+        beside = written(_beside_heads(met.where(F.col("n") > limit), texts, threshold), "beside")
+        edges.append(beside.where(F.col("alike") & (F.col("key") != F.col("head")))
+                     .select(F.col("head").alias("a"), F.col("key").alias("b")))
+        mixed = beside.where(~F.col("alike")).select("node").distinct()
+        keys = beside.join(mixed, "node", "left_semi").select("key").distinct()
+        matched = written(texts.select("key", "signature").join(keys, "key"), "matched")
+        if matched.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, edges)
 
 
 # --- verification -----------------------------------------------------------
