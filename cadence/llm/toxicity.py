@@ -7,11 +7,11 @@
    where the toxic share is lower and rarer terms stand out. The terms and a
    short fixed list make the lexicons.
 2. *Voters*: each lexicon list, each list of beginnings by length, patterns on
-   the hits (several, several different, dense); the annotator is one more, of
-   the fixed accuracy ``ANNOTATOR``, which EM does not estimate.
+   the hits (several, several different, dense); the annotator is one more.
 3. *Label model*: a generative model of the votes given the hidden label. EM
-   estimates each voter's rates under either label and, as the largest spanning
-   tree of conditional mutual information, which voters depend on each other;
+   estimates each voter's rates under either label, the annotator's among them, and,
+   as the largest spanning tree of conditional mutual information, which voters depend
+   on each other (the annotator on none: it saw the text, not their votes);
    the tree's conditional tables stop correlated voters from counting twice.
 4. A logistic regression on voters and terms learns the posterior labels and
    scores every whole text.
@@ -44,7 +44,7 @@ from cadence.llm.common import fold_of_id, slices, whole_text, written
 MAX_LABELLED = 8000
 MAX_TERMS = 600
 MINING_ROUNDS = 3
-ANNOTATOR = 0.98        # accuracy of the given labels, as the label model takes it
+FIRST_GUESS = 0.9       # of the annotator's accuracy, from which EM starts
 HELD_OUT_FOLD = 2
 THRESHOLD = 0.3
 STEMS = (4, 5, 6, 7, 8)
@@ -255,12 +255,16 @@ class LabelModel:
         return order
 
     def fit(self, votes: np.ndarray, annotated: np.ndarray) -> np.ndarray:
-        """Posterior of label 1 for each row. The annotator is a voter of given
-        accuracy, independent of the others, and EM starts from its votes."""
-        q = np.where(annotated > 0, ANNOTATOR, 1 - ANNOTATOR)
-        annotator = np.log(q / (1 - q))
+        """Posterior of label 1 for each row. EM starts from the annotator's votes,
+        and estimates its rates as it does those of the other voters."""
+        marked = (annotated > 0).astype(int)
+        q = np.where(marked, FIRST_GUESS, 1 - FIRST_GUESS)
         for _ in range(self.rounds):
             joint = self._tables(votes, q)
+            says = np.array([((w * marked).sum() + 0.1, (w * (1 - marked)).sum() + 0.1) for w in (1 - q, q)])
+            self.annotator = says[:, 0] / says.sum(1)       # p(marked | y)
+            annotator = np.log(np.where(marked, self.annotator[1] / self.annotator[0],
+                                        (1 - self.annotator[1]) / (1 - self.annotator[0])))
             self.tree, self.prior = self._tree(joint), float(np.clip(q.mean(), 1e-4, 1 - 1e-4))
             log_odds = np.log(self.prior / (1 - self.prior)) + annotator
             for v, parent in self.tree:

@@ -64,6 +64,55 @@ def test_label_model_finds_accuracies_and_correlations():
     assert model.correlation[1, 3] > 0.6 > abs(model.correlation[0, 2])
     pairs = {frozenset(p) for p in model.tree if p[1] is not None}
     assert frozenset((1, 3)) in pairs
+    # The annotator's rates are found as well.
+    assert np.allclose(model.annotator, [0.03, 0.97], atol=0.03)
+
+
+def test_annotators_of_different_accuracy_get_different_rates():
+    rng = np.random.default_rng(1)
+    y = rng.random(6000) < 0.3
+    vote = lambda hit, false: (rng.random(6000) < np.where(y, hit, false)).astype(float)
+    votes = np.stack([vote(0.85, 0.05), vote(0.8, 0.04), vote(0.9, 0.06)], 1)
+    for hit, false in ((0.95, 0.02), (0.75, 0.1)):
+        model = LabelModel()
+        q = model.fit(votes, vote(hit, false))
+        assert np.allclose(model.annotator, [false, hit], atol=0.05)
+        assert ((q > 0.5) == y).mean() > 0.95
+
+
+def test_posteriors_equal_those_of_plain_enumeration():
+    """A small vote table: the fixed point's posteriors from the rates, row by row,
+    by the product of p(vote | parent's vote, y) over the tree."""
+    rng = np.random.default_rng(2)
+    y = rng.random(300) < 0.4
+    votes = np.stack([(rng.random(300) < np.where(y, h, f)).astype(float) for h, f in ((0.8, 0.1), (0.7, 0.2), (0.9, 0.3))], 1)
+    marks = (rng.random(300) < np.where(y, 0.9, 0.05)).astype(float)
+    model = LabelModel(rounds=500)
+    q = model.fit(votes, marks)
+    weights = {0: 1 - q, 1: q}
+
+    def share(label, *conditions):
+        """Smoothed weight of the rows where all (votes, value) hold, as in the model."""
+        ok = np.ones(len(q), bool)
+        for v, value in conditions:
+            ok &= votes[:, v] == value
+        return weights[label][ok].sum()
+
+    for i in range(0, 300, 7):
+        odds = {}
+        for label in (0, 1):
+            p = model.prior if label else 1 - model.prior
+            p *= model.annotator[label] if marks[i] else 1 - model.annotator[label]
+            for v, parent in model.tree:
+                mine = votes[i, v]
+                if parent is None:
+                    p *= (share(label, (v, mine)) + 0.1) / (weights[label].sum() + 0.2)
+                else:
+                    theirs = votes[i, parent]
+                    p *= ((share(label, (parent, theirs), (v, mine)) + 0.1)
+                          / (share(label, (parent, theirs)) + 0.2))
+            odds[label] = p
+        assert abs(odds[1] / (odds[0] + odds[1]) - q[i]) < 0.01
 
 
 def test_sample_has_one_row_for_a_labelled_id_that_repeats(spark, frame):
