@@ -81,6 +81,8 @@ F2 = Source("lineitem", testdata.lineitem_transactions, None, date(2001, 11, 5),
 F3 = Source("events", testdata.event_transactions, None, date(2024, 1, 31), date(2024, 3, 1))
 F4 = Source("gaps", testdata.customer_transactions_with_gaps, testdata.F1_AS_OF, testdata.F1_BEGIN,
             testdata.F1_END)
+F5 = Source("lineitem_returns", testdata.lineitem_transactions_with_returns, F2.as_of, F2.begin, F2.end)
+F6 = Source("event_returns", testdata.event_transactions_with_returns, F3.as_of, F3.begin, F3.end)
 
 
 @dataclass(frozen=True)
@@ -372,6 +374,16 @@ QUERIES = [
     Query("nonrecurrent_monthly_gaps", q_nonrecurrent_monthly,
           _cols([(CUSTOMER, KEEP), (YEAR, LONG), (MONTH, LONG), (SUM_IMPORTE, MONEY)]), F4),
     Query("predict_gaps", q_predict, _cols(PREDICT_COLS), F4),
+    # Whole and partial reversals on the rows of lineitem and events.
+    Query("net_of_reversals_lineitem_returns", q_net_of_reversals, _cols(TX_COLUMNS), F5),
+    Query("stage_counts_lineitem_returns", q_stage_counts, _cols([("stage", KEEP), ("rows", LONG)]), F5),
+    Query("pattern_statistics_lineitem_returns", q_pattern_statistics, _cols(STATS), F5),
+    Query("nonrecurrent_monthly_lineitem_returns", q_nonrecurrent_monthly,
+          _cols([(CUSTOMER, KEEP), (YEAR, LONG), (MONTH, LONG), (SUM_IMPORTE, MONEY)]), F5),
+    Query("predict_lineitem_returns", q_predict, _cols(PREDICT_COLS), F5),
+    Query("net_of_reversals_event_returns", q_net_of_reversals, _cols(TX_COLUMNS), F6),
+    Query("stage_counts_event_returns", q_stage_counts, _cols([("stage", KEEP), ("rows", LONG)]), F6),
+    Query("predict_event_returns", q_predict, _cols(PREDICT_COLS), F6),
 ]
 
 BY_NAME = {q.name: q for q in QUERIES}

@@ -1,6 +1,6 @@
 """Transaction tables derived by Spark from the driver's test tables.
 
-Three mappings, described in FIXTURES.md:
+The mappings, described in FIXTURES.md:
 
 * ``customer_transactions`` (F1): payment histories generated from ``customer``
   with integer arithmetic; periods of 7, 15, 23 and 31 days, reversals, a marked
@@ -10,6 +10,8 @@ Three mappings, described in FIXTURES.md:
 * ``customer_transactions_with_gaps`` (F4): F1 with NULL merchants, dates,
   customers, message types and operation ids, NULL and zero amounts, and message
   types above the reversal type.
+* ``lineitem_transactions_with_returns`` (F5), ``event_transactions_with_returns``
+  (F6): F2 and F3 with whole and partial reversals of the marked payments.
 
 All are projections of the rows as they are; ``conform`` drops what has no date
 or customer.
@@ -109,6 +111,29 @@ select case when customer_id % 29 = 8 and commerce_affiliation_id = 3 then null
 from ({f1}) f1
 """
 
+# the rows of F2 or F3 (``{paid}``) with further messages for marked
+# payments, by their amount: 40 and more are reversed whole (a row of equal keys,
+# original and reversal go), those of 10 in part (another amount, so the original
+# stays), and those of 20 are followed by a message below the reversal type (both stay).
+RETURNS_SQL = """
+select customer_id, operation_id, return_type, debit_type, line_of_business_id, commerce_affiliation_id,
+       message.message_type, operation_date, operation_time_date,
+       case when message.message_type = '1420' and transaction_amount = 10 then cast(5 as decimal(12,2))
+            else transaction_amount end as transaction_amount,
+       authorization_reference_number, operation1_id, partitioning_type,
+       operation_card_owner_type, lynx_validation_type, original_transaction_amount
+from ({paid}) paid cross join (select unnest(['1200', '1400', '1420']) as message_type) message
+where message.message_type = '1200'
+   or debit_type = 'CR' and message.message_type = '1400' and transaction_amount = 20
+   or debit_type = 'CR' and message.message_type = '1420' and (transaction_amount >= 40 or transaction_amount = 10)
+"""
+
+# As for F1: a generator on each row instead of a join with constant rows.
+RETURNS_SQL_SPARK = RETURNS_SQL.replace(
+    "cross join (select unnest(['1200', '1400', '1420']) as message_type) message",
+    "lateral view explode(array('1200', '1400', '1420')) message as message_type")
+assert RETURNS_SQL_SPARK != RETURNS_SQL
+
 # Test dates of F1: the reference date and the forecast horizon [begin, end).
 F1_AS_OF = date(2001, 6, 30)
 F1_BEGIN = date(2001, 7, 1)
@@ -140,7 +165,24 @@ def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transaction_projection(spark.sql(F3_SQL, events=_table(spark, sf_dir, "events")))
 
 
+def _with_returns(paid: DataFrame) -> DataFrame:
+    return transaction_projection(paid.sparkSession.sql(RETURNS_SQL_SPARK, paid=paid))
+
+
+def lineitem_transactions_with_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_returns(lineitem_transactions(spark, sf_dir))
+
+
+def event_transactions_with_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_returns(event_transactions(spark, sf_dir))
+
+
 def duckdb_text(sql: str) -> str:
     """The same SQL over the DuckDB views of the driver."""
     f1 = F1_SQL.format(customer="customer")
     return sql.format(customer="customer", lineitem="lineitem", orders="orders", events="events", f1=f1)
+
+
+def duckdb_returns(paid: str) -> str:
+    """F5 or F6 over the text of F2 or F3."""
+    return RETURNS_SQL.format(paid=duckdb_text(paid))

@@ -12,6 +12,8 @@ SOURCE_SQL = {
     "lineitem": testdata.duckdb_text(testdata.F2_SQL),
     "events": testdata.duckdb_text(testdata.F3_SQL),
     "gaps": testdata.duckdb_text(testdata.F4_SQL),
+    "lineitem_returns": testdata.duckdb_returns(testdata.F2_SQL),
+    "event_returns": testdata.duckdb_returns(testdata.F3_SQL),
 }
 
 _PATTERN_AMOUNT = "transaction_amount AS pattern_amount"
@@ -135,7 +137,7 @@ def _present(name: str, kind: str) -> str:
 
 
 def _base_name(query: Q.Query) -> str:
-    for suffix in ("_lineitem", "_events", "_gaps"):
+    for suffix in ("_lineitem_returns", "_event_returns", "_lineitem", "_events", "_gaps"):
         if query.name.endswith(suffix):
             return query.name[: -len(suffix)]
     return query.name
