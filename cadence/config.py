@@ -23,6 +23,10 @@ class RecurrenceConfig:
     # Not in the original model, which keeps rows dated after the reference
     # date: set to drop them before fitting.
     cut_after_reference: bool = False
+    # Number of partitions to which rows, day groups and patterns are dealt, for large
+    # tables (``testdata.partitions`` takes it from the row count). None leaves it to the
+    # session, whose shuffles hold more in a task the larger the table is.
+    partitions: int | None = None
 
 
 DEFAULT_CONFIG = RecurrenceConfig()

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from cadence.config import DEFAULT_CONFIG, RecurrenceConfig
 from cadence.functions.stats import as_float, relative_error, sample_sd_from_moments
-from cadence.operators.sequence import DAY_AMOUNT, DAY_PAYMENTS, RAW_ROWS
+from cadence.operators.sequence import DAY_AMOUNT, DAY_PAYMENTS, RAW_ROWS, SALT, dealt_by_pair
 from cadence.sources.schema import (
     AMOUNT, COMMERCE, CUSTOMER, CV_AMOUNT, DATE, DEBIT_TYPE, MARKED, MAX_AMOUNT, MAX_DAY_MONTH, MAX_DIFF_DAYS,
     MAX_FECHA, MEAN_AMOUNT, MEAN_DAY_MONTH, MEAN_DIFF_DAYS, MIN_AMOUNT, MIN_DAY_MONTH,
@@ -185,6 +185,17 @@ def recent_unmarked(net: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) -
     latest = [F.col(DATE).desc(), F.col(AMOUNT).desc_nulls_last()]
     unmarked = F.coalesce(F.col(DEBIT_TYPE) != config.marked_debit_type, F.lit(False))
     by_time = Window.partitionBy(*PAIR_KEYS).orderBy(F.col("_unmarked").desc(), *latest)
+    if config.partitions:
+        # The last of every salt where the rows are dealt for the day groups, then of the pair.
+        in_salt = Window.partitionBy(*PAIR_KEYS, SALT).orderBy(F.col("_unmarked").desc(), *latest)
+        last = (dealt_by_pair(net, config.partitions).select(CUSTOMER, COMMERCE, DATE, AMOUNT, SALT, unmarked.alias("_unmarked"))
+                .select("*", F.row_number().over(in_salt).alias(ORDER_DESC))
+                .where(F.col(ORDER_DESC) <= config.recent_payments).where("_unmarked")
+                .drop(ORDER_DESC).repartition(config.partitions, CUSTOMER, COMMERCE))
+        by_pair = Window.partitionBy(*PAIR_KEYS).orderBy(*latest)
+        return (last.select(CUSTOMER, COMMERCE, DATE, AMOUNT, F.row_number().over(by_pair).alias(ORDER_DESC))
+                .where(F.col(ORDER_DESC) <= config.recent_payments)
+                .groupBy(CUSTOMER, COMMERCE).agg(F.collect_list(F.struct(DATE, AMOUNT)).alias(LAST_UNMARKED)))
     # Sorted first instead of filtered: the rows are read with the same filters
     # as for the day groups, so that Spark can share the shuffle of the rows.
     return (net.select(CUSTOMER, COMMERCE, DATE, AMOUNT, unmarked.alias("_unmarked"))
@@ -215,8 +226,14 @@ def with_recent_variation(stats: DataFrame, unmarked: DataFrame, config: Recurre
     # the branch shares with the pattern statistics could no longer be reused.
     on = ((F.col(SCOPE) == SCOPE_COMMERCE) & (F.col(CUSTOMER) == F.col("_v_customer"))
           & F.col(COMMERCE).eqNullSafe(F.col("_v_commerce")))
+    if config.partitions:
+        # The pair as one struct, null-safe as well, by which both sides can be dealt.
+        stats = stats.withColumn("_pair", F.struct(CUSTOMER, COMMERCE)).repartition(config.partitions, "_pair")
+        u = (u.select(F.struct(F.col("_v_customer").alias(CUSTOMER), F.col("_v_commerce").alias(COMMERCE)).alias("_v_pair"), LAST_UNMARKED)
+             .repartition(config.partitions, "_v_pair"))
+        on = (F.col(SCOPE) == SCOPE_COMMERCE) & (F.col("_pair") == F.col("_v_pair"))
     both = F.concat(F.col(LAST_MARKED), F.coalesce(F.col(LAST_UNMARKED), F.filter(F.col(LAST_MARKED), lambda x: F.lit(False))))
     latest = F.slice(F.sort_array(both, asc=False), 1, config.recent_payments)
-    others = [c for c in stats.columns if c != LAST_MARKED]
+    others = [c for c in stats.columns if c not in (LAST_MARKED, "_pair")]
     found = stats.join(u, on, "left").select(*others, F.when(F.col(SCOPE) == SCOPE_COMMERCE, latest).alias("_latest"))
     return found.select(*others, *amount_variation(F.transform("_latest", lambda x: x[AMOUNT])))

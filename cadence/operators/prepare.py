@@ -66,6 +66,8 @@ def net_of_reversals(tx: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG,
     goes straight to the scan; keys of other customers never match.
     """
     source = tx if reversals_from is None else reversals_from
+    if config.partitions:
+        return _net_by_operation(tx, source, config)
     reversed_keys = (source.where(F.col(MESSAGE_TYPE) >= config.reversal_message_type)
                            .select(*[F.col(k).alias(f"_rev_{k}") for k in REVERSAL_KEYS])
                            .distinct())
@@ -76,6 +78,20 @@ def net_of_reversals(tx: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG,
     return tx.join(reversed_keys, same_operation, "left_anti")
 
 
+def _net_by_operation(tx: DataFrame, source: DataFrame, config: RecurrenceConfig) -> DataFrame:
+    """``net_of_reversals`` over ``config.partitions``: the eight keys travel as one
+    struct, whose equality is null-safe field by field, so that both sides can be dealt
+    by the very key of the join."""
+    operation = F.struct(*REVERSAL_KEYS).alias("_operation")
+    reversed_operations = (source.where(F.col(MESSAGE_TYPE) >= config.reversal_message_type)
+                           .select(operation).distinct().withColumnRenamed("_operation", "_reversed"))
+    others = [c for c in tx.columns if c not in REVERSAL_KEYS]
+    kept = (tx.select(operation, *others).repartition(config.partitions, "_operation")
+              .join(reversed_operations.repartition(config.partitions, "_reversed"),
+                    F.col("_operation") == F.col("_reversed"), "left_anti"))
+    return kept.select(*[F.col("_operation")[c].alias(c) if c in REVERSAL_KEYS else F.col(c) for c in tx.columns])
+
+
 def marked_recurring_daily(net: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
     """Payments marked as recurring, summed per customer, commerce and day."""
     return (net.where(F.col(DEBIT_TYPE) == config.marked_debit_type)

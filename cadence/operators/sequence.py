@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from cadence.config import DEFAULT_CONFIG, RecurrenceConfig
 from cadence.sources.schema import (
-    AMOUNT, COMMERCE, CUSTOMER, DATE, DAY_MONTH, DEBIT_TYPE, DIFFERENCE_OF_DAYS, MARKED, WEIGHT, NU_PAYMENTS, ORDER,
+    AMOUNT, COMMERCE, CUSTOMER, DATE, DAY_MONTH, DEBIT_TYPE, DIFFERENCE_OF_DAYS, MARKED, WEIGHT, NU_PAYMENTS, OPERATION1, ORDER,
     ORDER_DESC, PAIR_KEYS, PATTERN_AMOUNT, PAYMENT_COLUMNS, PREVIOUS_AMOUNT, SCOPE,
     SCOPE_AMOUNT, SCOPE_COMMERCE, TRIPLE_KEYS,
 )
@@ -68,6 +68,19 @@ def scoped_payments(marked_daily: DataFrame, other: DataFrame,
     return marked.unionByName(rest)
 
 
+# Tasks over which the rows of one customer and commerce are dealt.
+SALTS = 16
+SALT = "_salt"
+
+
+def dealt_by_pair(rows: DataFrame, partitions: int) -> DataFrame:
+    """The rows dealt over ``partitions`` by customer, commerce and a salt of the
+    operation, so that a hot pair, or one day of it, lies in ``SALTS`` tasks. Groups
+    of a salt need no further shuffle; the groups of all salts are merged after."""
+    salt = F.pmod(F.xxhash64(DATE, OPERATION1, AMOUNT), F.lit(SALTS)).cast("int")
+    return rows.withColumn(SALT, salt).repartition(partitions, CUSTOMER, COMMERCE, SALT)
+
+
 def payment_blocks(net: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
     """All payments with their pattern key, as counted blocks, from one
     aggregate over the rows (one scan, one shuffle, map-side combine).
@@ -79,16 +92,24 @@ def payment_blocks(net: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) ->
     day-sums per amount, at most one per calendar day.
     """
     is_marked = F.col(DEBIT_TYPE) == config.marked_debit_type
-    groups = (net.where(F.col(DEBIT_TYPE).isNotNull())
-                 .groupBy(CUSTOMER, COMMERCE, DATE, is_marked.alias(MARKED),
-                          F.when(~is_marked, F.col(AMOUNT)).alias("_block_amount"))
-                 .agg(F.sum(AMOUNT).alias("_day_sum"), F.count(F.lit(1)).alias("_rows")))
+    payments = net.where(F.col(DEBIT_TYPE).isNotNull())
+    keys = [CUSTOMER, COMMERCE, DATE, is_marked.alias(MARKED), F.when(~is_marked, F.col(AMOUNT)).alias("_block_amount")]
+    measures = [F.sum(AMOUNT).alias("_day_sum"), F.count(F.lit(1)).alias("_rows")]
+    if config.partitions:
+        groups = (dealt_by_pair(payments, config.partitions).groupBy(*keys, SALT).agg(*measures)
+                  .repartition(config.partitions, CUSTOMER, COMMERCE, DATE, MARKED, "_block_amount")
+                  .groupBy(CUSTOMER, COMMERCE, DATE, MARKED, "_block_amount")
+                  .agg(F.sum("_day_sum").cast(_sum_type(net)).alias("_day_sum"), F.sum("_rows").alias("_rows")))
+    else:
+        groups = payments.groupBy(*keys).agg(*measures)
     marked = F.col(MARKED)
     blocks = groups.select(
         CUSTOMER, COMMERCE, DATE, MARKED,
         F.when(marked, F.col("_day_sum")).otherwise(F.col("_block_amount")).alias(AMOUNT),
         F.when(marked, F.lit(1).cast("long")).otherwise(F.col("_rows")).alias(WEIGHT),
     )
+    if config.partitions:
+        blocks = blocks.repartition(config.partitions, CUSTOMER, COMMERCE, MARKED, AMOUNT)
     same_amount = Window.partitionBy(CUSTOMER, COMMERCE, MARKED, AMOUNT)
     in_amount_scope = marked & (F.count(F.lit(1)).over(same_amount) >= config.min_payments)
     return blocks.select(
@@ -99,6 +120,29 @@ def payment_blocks(net: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) ->
     )
 
 
+def _sum_type(rows: DataFrame):
+    """Type of a sum of the rows' amounts."""
+    return rows.select(F.sum(AMOUNT).alias(AMOUNT)).schema[AMOUNT].dataType
+
+
+def _merged_salts(groups: DataFrame, sum_type) -> DataFrame:
+    """The day groups of all salts in one: second moments within a salt, and those of
+    the salts' means (``SALTS`` at most) around the mean of the day."""
+    part = F.when(F.col("_f_n") > 0, F.struct("_f_n", "_f_sum", (F.col("_f_var") * F.col("_f_n")).alias("_m2")))
+    merged = groups.groupBy(CUSTOMER, COMMERCE, DATE, MARKED).agg(
+        F.sum(DAY_AMOUNT).cast(sum_type).alias(DAY_AMOUNT), F.sum("_rows").alias("_rows"), F.sum("_f_n").alias("_f_n"),
+        F.sum("_f_sum").alias("_f_sum"), F.max("_f_max").alias("_f_max"), F.min("_f_min").alias("_f_min"),
+        F.collect_list(part).alias("_parts"))
+    mean = F.try_divide("_f_sum", F.col("_f_n").cast("double"))
+
+    def share(p):
+        apart = p["_f_sum"] / p["_f_n"] - mean
+        return p["_m2"] + p["_f_n"] * apart * apart
+
+    m2 = F.aggregate("_parts", F.lit(0.0), lambda a, p: a + share(p))
+    return merged.withColumn("_f_var", F.when(F.size("_parts") == 1, F.col("_parts")[0]["_m2"]).otherwise(m2) / F.nullif(F.col("_f_n"), F.lit(0))).drop("_parts")
+
+
 def day_groups(net: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG, untyped: bool = False) -> DataFrame:
     """One row per customer, commerce, day and mark, with the pattern key. With
     ``untyped`` also the groups of rows without a debit type, which are no payments
@@ -113,11 +157,15 @@ def day_groups(net: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG, untype
     """
     is_marked = F.col(DEBIT_TYPE) == config.marked_debit_type
     f = F.col(AMOUNT).cast("float").cast("double")
-    groups = ((net if untyped else net.where(F.col(DEBIT_TYPE).isNotNull()))
-              .groupBy(CUSTOMER, COMMERCE, DATE, is_marked.alias(MARKED))
-              .agg(F.sum(AMOUNT).alias(DAY_AMOUNT), F.count(F.lit(1)).alias("_rows"), F.count(AMOUNT).alias("_f_n"),
-                   F.sum(f).alias("_f_sum"), F.var_pop(f).alias("_f_var"), F.max(f).alias("_f_max"), F.min(f).alias("_f_min"))
-              .repartition(CUSTOMER, COMMERCE))
+    rows = net if untyped else net.where(F.col(DEBIT_TYPE).isNotNull())
+    keys = [CUSTOMER, COMMERCE, DATE, is_marked.alias(MARKED)]
+    measures = [F.sum(AMOUNT).alias(DAY_AMOUNT), F.count(F.lit(1)).alias("_rows"), F.count(AMOUNT).alias("_f_n"),
+                F.sum(f).alias("_f_sum"), F.var_pop(f).alias("_f_var"), F.max(f).alias("_f_max"), F.min(f).alias("_f_min")]
+    if config.partitions:
+        salted = dealt_by_pair(rows, config.partitions).groupBy(*keys, SALT).agg(*measures)
+        groups = _merged_salts(salted.repartition(config.partitions, CUSTOMER, COMMERCE), _sum_type(net))
+    else:
+        groups = rows.groupBy(*keys).agg(*measures).repartition(CUSTOMER, COMMERCE)
     marked = F.col(MARKED)
     day_sum = F.col(DAY_AMOUNT).cast("float").cast("double")
     known = F.when(F.col(DAY_AMOUNT).isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long")
@@ -163,7 +211,8 @@ def expanded(blocks: DataFrame, count: str) -> DataFrame:
     return blocks.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col(count))).alias("_i"))
 
 
-def numbered(blocks: DataFrame, keys: list[str], order: list[str], count: str, name: str) -> DataFrame:
+def numbered(blocks: DataFrame, keys: list[str], order: list[str], count: str, name: str,
+             partitions: int | None = None) -> DataFrame:
     """Adds to every block, for its group ``keys`` ordered by ``order``:
     ``{name}n`` payments of the group, ``{name}before`` payments before the
     block, and ``{name}date`` and ``{name}amount`` of the payment before it.
@@ -173,7 +222,8 @@ def numbered(blocks: DataFrame, keys: list[str], order: list[str], count: str, n
     of their range; so both passes see the same ranges. Only the groups that lie
     in several ranges, two for each range at most, are looked up.
     """
-    ranged = written(blocks.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    dealt = blocks.repartitionByRange(partitions, *keys, *order) if partitions else blocks.repartitionByRange(*keys, *order)
+    ranged = written(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
     before = (Window.unboundedPreceding, -1)
     last = F.struct(*order, F.col(DATE).alias("_date"), F.col(AMOUNT).alias("_amount"))
     group = Window.partitionBy(*keys)
@@ -189,7 +239,7 @@ def numbered(blocks: DataFrame, keys: list[str], order: list[str], count: str, n
     walk = in_range.orderBy(*order)
     first = F.col("_k") == 1
     return (
-        ranged.select("*", F.row_number().over(walk).alias("_k"), F.sum(count).over(in_range).alias("_own"),
+        (ranged.repartition(partitions, "_range", *keys) if partitions else ranged).select("*", F.row_number().over(walk).alias("_k"), F.sum(count).over(in_range).alias("_own"),
                       F.coalesce(F.sum(count).over(walk.rowsBetween(*before)), F.lit(0)).alias("_in"),
                       F.lag(DATE).over(walk).alias("_date"), F.lag(AMOUNT).over(walk).alias("_amount"))
         .join(spanning, null_safe_on([*keys, "_range"], "_d_"), "left")
@@ -200,7 +250,7 @@ def numbered(blocks: DataFrame, keys: list[str], order: list[str], count: str, n
     )
 
 
-def payment_sequence(rows: DataFrame, keys: list[str], order: list[str] = (DATE,)) -> DataFrame:
+def payment_sequence(rows: DataFrame, keys: list[str], order: list[str] = (DATE,), partitions: int | None = None) -> DataFrame:
     """Sequence variables of every payment within the group ``keys``, ordered by
     ``order``: any columns of the rows, for example the pair (customer, commerce)
     by date.
@@ -234,10 +284,10 @@ def payment_sequence(rows: DataFrame, keys: list[str], order: list[str] = (DATE,
     else:
         blocks = rows.groupBy(*needed).agg(F.count(F.lit(1)).alias("_c"))
     chunks = in_chunks(blocks, "_c")
-    placed = numbered(chunks, keys, all_of(order, keys), "_c", "g_")
+    placed = numbered(chunks, keys, all_of(order, keys), "_c", "g_", partitions)
     same = set(keys) == set(PAIR_KEYS) and all_of(order, keys) == all_of([DATE], PAIR_KEYS)
     if not same:
-        placed = numbered(placed, PAIR_KEYS, all_of([DATE], PAIR_KEYS), "_c", "p_")
+        placed = numbered(placed, PAIR_KEYS, all_of([DATE], PAIR_KEYS), "_c", "p_", partitions)
     copied = expanded(placed, "_c")
     position = (F.col("g_before") + F.col("_i")).cast("int")
     from_end = F.col("g_n" if same else "p_n") - F.col("g_before" if same else "p_before") - F.col("_i") + 1
@@ -253,11 +303,12 @@ def payment_sequence(rows: DataFrame, keys: list[str], order: list[str] = (DATE,
     )
 
 
-def payments_of(blocks: DataFrame) -> DataFrame:
+def payments_of(blocks: DataFrame, partitions: int | None = None) -> DataFrame:
     """The payments that counted blocks stand for, row by row. The chunks are
     dealt over tasks first, so that the copies of one payment are."""
     chunks = in_chunks(blocks, WEIGHT)
-    return expanded(chunks.repartition(CUSTOMER, COMMERCE, DATE, AMOUNT, "_chunk"), WEIGHT).drop(WEIGHT, "_chunk", "_i")
+    by = [CUSTOMER, COMMERCE, DATE, AMOUNT, "_chunk"]
+    return expanded(chunks.repartition(partitions, *by) if partitions else chunks.repartition(*by), WEIGHT).drop(WEIGHT, "_chunk", "_i")
 
 
 def amount_recurrences(marked_daily: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -281,5 +332,5 @@ def amount_recurrences(marked_daily: DataFrame, config: RecurrenceConfig = DEFAU
 def commerce_recurrences(payments: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
     """Commerce-scope payments with their sequence over (customer, commerce),
     kept when the pair has more than two payments."""
-    seq = payment_sequence(commerce_scope(payments), PAIR_KEYS)
+    seq = payment_sequence(commerce_scope(payments), PAIR_KEYS, partitions=config.partitions)
     return seq.where(F.col(NU_PAYMENTS) >= config.min_payments)

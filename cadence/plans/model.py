@@ -97,7 +97,7 @@ class RecurrenceModel:
 
     def active_payments(self) -> DataFrame:
         """Payments of active customers with their pattern key (row level)."""
-        return sequence.payments_of(self.active_blocks())
+        return sequence.payments_of(self.active_blocks(), self.config.partitions)
 
     @property
     def recurrences(self) -> DataFrame:
@@ -176,9 +176,15 @@ def fit(transactions: DataFrame, as_of=None, config: RecurrenceConfig = DEFAULT_
         stats = probes.patterns(patterns.pattern_statistics(every, config=config, extras=True).join(recent, CUSTOMER, "left_semi"), config)
     else:
         recent = prepare.recent_customers(tx, reference, config)
-        stats = patterns.pattern_statistics(days, config=config, extras=True).join(recent, CUSTOMER, "left_semi")
+        every = patterns.pattern_statistics(days, config=config, extras=True)
+        if config.partitions:
+            every, recent = every.repartition(config.partitions, CUSTOMER), recent.repartition(config.partitions, CUSTOMER)
+        stats = every.join(recent, CUSTOMER, "left_semi")
     stats = stats.drop(sequence.RAW_ROWS, patterns.MARKED_DAYS)
     stats = patterns.with_recent_variation(stats, patterns.recent_unmarked(net, config), config)
+    if config.partitions:
+        # Months, levels and calendars all group by customer.
+        stats = stats.repartition(config.partitions, CUSTOMER)
     rows = _checkpointed(classify.categorize(stats, reference, config), folder, "patterns")
     monthly = _checkpointed(level.nonrecurrent_monthly(rows), folder, "monthly")
     level_table = level.nonrecurrent_level(level.monthly_percentile(monthly), config)

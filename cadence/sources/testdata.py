@@ -22,6 +22,7 @@ source table), so both engines start from identical rows.
 
 from __future__ import annotations
 
+import math
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -144,20 +145,41 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Rows of transactions in a task: its sorts and windows take about 1 KB a row.
+TASK_ROWS = 150_000
+# Transactions that come of a row of a table, about: 9 slots of 3 merchants of which 13.5 are
+# used, and their reversals and copies; a further message for one line item in four.
+ROWS_EACH = {"customer": 17, "lineitem": 1.3, "events": 1.3}
+
+
+def partitions(spark: SparkSession, sf_dir: str, name: str) -> int | None:
+    """Partitions for the transactions of a table by its rows (a count that reads the
+    file footers), all cores at least; None for a table of one task."""
+    wanted = math.ceil(_table(spark, sf_dir, name).count() * ROWS_EACH[name] / TASK_ROWS)
+    return max(wanted, spark.sparkContext.defaultParallelism) if wanted > 1 else None
+
+
+def _spread(spark: SparkSession, sf_dir: str, name: str, *by: str, like: str | None = None) -> DataFrame:
+    """A table, dealt over the partitions of ``like`` (itself): a small file may be one
+    task's, whatever number of transactions come of it."""
+    table, parts = _table(spark, sf_dir, name), partitions(spark, sf_dir, like or name)
+    return table.repartition(parts, *by) if parts else table
+
+
 def customer_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transaction_projection(spark.sql(F1_SQL_SPARK, customer=_table(spark, sf_dir, "customer")))
+    return transaction_projection(spark.sql(F1_SQL_SPARK, customer=_spread(spark, sf_dir, "customer")))
 
 
 def customer_transactions_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f1 = spark.sql(F1_SQL_SPARK, customer=_table(spark, sf_dir, "customer"))
+    f1 = spark.sql(F1_SQL_SPARK, customer=_spread(spark, sf_dir, "customer"))
     return transaction_projection(spark.sql(F4_SQL, f1=f1))
 
 
 def lineitem_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transaction_projection(spark.sql(
         F2_SQL,
-        lineitem=_table(spark, sf_dir, "lineitem"),
-        orders=_table(spark, sf_dir, "orders"),
+        lineitem=_spread(spark, sf_dir, "lineitem", "l_orderkey"),
+        orders=_spread(spark, sf_dir, "orders", "o_orderkey", like="lineitem"),
     ))
 
 
