@@ -228,8 +228,11 @@ def numbered(blocks: DataFrame, keys: list[str], order: list[str], count: str, n
     last = F.struct(*order, F.col(DATE).alias("_date"), F.col(AMOUNT).alias("_amount"))
     group = Window.partitionBy(*keys)
     by_range = group.orderBy("_range")
+    if partitions:
+        ranged = ranged.repartition(partitions, "_range", *keys)
+    groups = ranged.groupBy(*keys, "_range").agg(F.sum(count).alias("_rows"), F.max(last).alias("_last"))
     spanning = (
-        ranged.groupBy(*keys, "_range").agg(F.sum(count).alias("_rows"), F.max(last).alias("_last"))
+        (groups.repartition(partitions, *keys) if partitions else groups)
         .select(*[F.col(k).alias("_d_" + k) for k in keys], F.col("_range").alias("_d__range"),
                 F.count(F.lit(1)).over(group).alias("_ranges"), F.sum("_rows").over(group).alias("_all"),
                 F.coalesce(F.sum("_rows").over(by_range.rowsBetween(*before)), F.lit(0)).alias("_earlier"),
@@ -239,7 +242,7 @@ def numbered(blocks: DataFrame, keys: list[str], order: list[str], count: str, n
     walk = in_range.orderBy(*order)
     first = F.col("_k") == 1
     return (
-        (ranged.repartition(partitions, "_range", *keys) if partitions else ranged).select("*", F.row_number().over(walk).alias("_k"), F.sum(count).over(in_range).alias("_own"),
+        ranged.select("*", F.row_number().over(walk).alias("_k"), F.sum(count).over(in_range).alias("_own"),
                       F.coalesce(F.sum(count).over(walk.rowsBetween(*before)), F.lit(0)).alias("_in"),
                       F.lag(DATE).over(walk).alias("_date"), F.lag(AMOUNT).over(walk).alias("_amount"))
         .join(spanning, null_safe_on([*keys, "_range"], "_d_"), "left")
