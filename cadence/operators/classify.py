@@ -27,9 +27,10 @@ from pyspark.sql import functions as F
 
 from cadence.config import DEFAULT_CONFIG, RecurrenceConfig
 from cadence.functions.dates import horizon
+from cadence.operators.prepare import joined_by_key
 from cadence.operators.sequence import null_safe_on
 from cadence.sources.schema import (
-    COMMERCE, CUSTOMER, CV_AMOUNT, CV_FILTER, DELTA_AVG, DELTA_STD, HORIZON, IMP_OPER,
+    AMOUNT, COMMERCE, CUSTOMER, CV_AMOUNT, CV_FILTER, DATE, DELTA_AVG, DELTA_STD, HORIZON, IMP_OPER,
     MAX_FEC_TRANS, MAX_FECHA, MEAN_AMOUNT, MEAN_DIFF_DAYS, NU_PAYMENTS, PATTERN_AMOUNT,
     PATTERN_KEYS, RANGE_DIFF_DAYS, SCOPE, SCOPE_COMMERCE, SD_DIFF_DAYS, SRE_DIFF_DAYS, STATUS,
 )
@@ -110,11 +111,16 @@ def unified_recurrences(patterns: DataFrame) -> DataFrame:
     )
 
 
-def pattern_transactions(payments: DataFrame, patterns: DataFrame, statuses: list[str]) -> DataFrame:
-    """Payments of the patterns with one of ``statuses``, with the status.
+def pattern_transactions(payments: DataFrame, patterns: DataFrame, statuses: list[str],
+                         partitions: int | None = None) -> DataFrame:
+    """Payments (or blocks of them) of the patterns with one of ``statuses``, with the status.
 
     An equi-join on the pattern key: AQE splits a skewed pattern into several
-    tasks; the pattern side is one row per pattern."""
+    tasks; the pattern side is one row per pattern. With ``partitions`` the pattern key
+    is dealt as in ``joined_by_key``."""
+    if partitions:
+        chosen = patterns.where(F.col(STATUS).isin(*statuses)).select(*PATTERN_KEYS, STATUS)
+        return joined_by_key(payments, chosen, PATTERN_KEYS, [DATE, AMOUNT], partitions)
     chosen = patterns.where(F.col(STATUS).isin(*statuses)).select(
         *[F.col(k).alias("_p_" + k) for k in PATTERN_KEYS], F.col(STATUS))
     return payments.join(chosen, null_safe_on(PATTERN_KEYS, "_p_"), "inner").drop(

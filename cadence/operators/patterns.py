@@ -230,7 +230,7 @@ def with_recent_variation(stats: DataFrame, unmarked: DataFrame, config: Recurre
         # The pair as one struct, null-safe as well, by which both sides can be dealt.
         stats = stats.withColumn("_pair", F.struct(CUSTOMER, COMMERCE)).repartition(config.partitions, "_pair")
         u = (u.select(F.struct(F.col("_v_customer").alias(CUSTOMER), F.col("_v_commerce").alias(COMMERCE)).alias("_v_pair"), LAST_UNMARKED)
-             .repartition(config.partitions, "_v_pair"))
+             .repartition(config.partitions, "_v_pair").hint("merge"))
         on = (F.col(SCOPE) == SCOPE_COMMERCE) & (F.col("_pair") == F.col("_v_pair"))
     both = F.concat(F.col(LAST_MARKED), F.coalesce(F.col(LAST_UNMARKED), F.filter(F.col(LAST_MARKED), lambda x: F.lit(False))))
     latest = F.slice(F.sort_array(both, asc=False), 1, config.recent_payments)

@@ -15,11 +15,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from cadence.config import DEFAULT_CONFIG, RecurrenceConfig
 from cadence.functions.dates import as_date, months_before
 from cadence.sources.schema import (
-    AMOUNT, COMMERCE, CUSTOMER, DATE, DEBIT_TYPE, MESSAGE_TYPE, REVERSAL_KEYS,
+    AMOUNT, COMMERCE, CUSTOMER, DATE, DEBIT_TYPE, MESSAGE_TYPE, OPERATION1, REVERSAL_KEYS,
 )
 
 
@@ -52,7 +53,33 @@ def recent_customers_counted(tx: DataFrame, as_of: Column, config: RecurrenceCon
 def active_customers(tx: DataFrame, as_of: Column,
                      config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
     """All rows of the recent customers."""
-    return tx.join(recent_customers(tx, as_of, config), CUSTOMER, "left_semi")
+    recent = recent_customers(tx, as_of, config)
+    if config.partitions:
+        return joined_by_key(tx, recent, [CUSTOMER], [OPERATION1, DATE, AMOUNT], config.partitions)
+    return tx.join(recent, CUSTOMER, "left_semi")
+
+
+# Tasks over which the rows of one key are dealt for a join with a table of keys.
+COPIES = 4
+
+
+def joined_by_key(rows: DataFrame, keyed: DataFrame, keys: list[str], spread: list[str], partitions: int) -> DataFrame:
+    """The rows whose ``keys`` are in ``keyed`` (null-safe), with its other columns; it
+    has a key once. Both sides are dealt over ``partitions`` by the keys and a hash of the
+    columns ``spread``, so that a hot key lies in ``COPIES`` tasks.
+
+    A merge join, and no semi join: Spark's estimate knows nothing of the rows that a
+    generator adds, so it may take any side for small enough to broadcast, and it moves a
+    semi join below the dealing, to the rows as they are read.
+    """
+    share = F.pmod(F.xxhash64(*spread), F.lit(COPIES)).cast("int").alias("_share")
+    # One type for both sides, nullable fields included, else they would be dealt once more.
+    kind = StructType([StructField(k, rows.schema[k].dataType) for k in keys] + [StructField("_share", IntegerType())])
+    left = rows.select("*", F.struct(*keys, share).cast(kind).alias("_key")).repartition(partitions, "_key")
+    others = [c for c in keyed.columns if c not in keys]
+    copies = keyed.select("*", F.explode(F.array(*[F.lit(i) for i in range(COPIES)])).alias("_share"))
+    right = copies.select(F.struct(*keys, "_share").cast(kind).alias("_of"), *others).repartition(partitions, "_of")
+    return left.join(right.hint("merge"), F.col("_key") == F.col("_of")).select(*rows.columns, *others)
 
 
 def net_of_reversals(tx: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG,
@@ -81,14 +108,17 @@ def net_of_reversals(tx: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG,
 def _net_by_operation(tx: DataFrame, source: DataFrame, config: RecurrenceConfig) -> DataFrame:
     """``net_of_reversals`` over ``config.partitions``: the eight keys travel as one
     struct, whose equality is null-safe field by field, so that both sides can be dealt
-    by the very key of the join."""
+    by the very key of the join. A merge join: the reversals grow with the rows, however
+    small Spark takes them for. Not an anti join, which Spark would move below the
+    dealing, once for each branch of a union; the reversed keys are distinct."""
     operation = F.struct(*REVERSAL_KEYS).alias("_operation")
     reversed_operations = (source.where(F.col(MESSAGE_TYPE) >= config.reversal_message_type)
                            .select(operation).distinct().withColumnRenamed("_operation", "_reversed"))
     others = [c for c in tx.columns if c not in REVERSAL_KEYS]
     kept = (tx.select(operation, *others).repartition(config.partitions, "_operation")
-              .join(reversed_operations.repartition(config.partitions, "_reversed"),
-                    F.col("_operation") == F.col("_reversed"), "left_anti"))
+              .join(reversed_operations.repartition(config.partitions, "_reversed").hint("merge"),
+                    F.col("_operation") == F.col("_reversed"), "left")
+              .where(F.col("_reversed").isNull()))
     return kept.select(*[F.col("_operation")[c].alias(c) if c in REVERSAL_KEYS else F.col(c) for c in tx.columns])
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from cadence.config import DEFAULT_CONFIG, RecurrenceConfig
 from cadence.operators import calendar, classify, level, patterns, prepare, sequence
-from cadence.sources.schema import CUSTOMER, DATE, NU_PAYMENTS, SCOPE, SCOPE_AMOUNT, SCOPE_COMMERCE
+from cadence.sources.schema import AMOUNT, COMMERCE, CUSTOMER, DATE, NU_PAYMENTS, SCOPE, SCOPE_AMOUNT, SCOPE_COMMERCE
 from cadence.sources.transactions import conform
 
 
@@ -92,8 +92,11 @@ class RecurrenceModel:
     def active_blocks(self) -> DataFrame:
         """Payments of active customers with their pattern key, as counted
         blocks: one pass over the raw rows; the activity filter meets blocks."""
-        return sequence.payment_blocks(self.all_net, self.config).join(
-            prepare.recent_customers(self.transactions, self.as_of, self.config), CUSTOMER, "left_semi")
+        blocks = sequence.payment_blocks(self.all_net, self.config)
+        recent = prepare.recent_customers(self.transactions, self.as_of, self.config)
+        if self.config.partitions:
+            return prepare.joined_by_key(blocks, recent, [CUSTOMER], [COMMERCE, DATE, AMOUNT], self.config.partitions)
+        return blocks.join(recent, CUSTOMER, "left_semi")
 
     def active_payments(self) -> DataFrame:
         """Payments of active customers with their pattern key (row level)."""
@@ -178,8 +181,11 @@ def fit(transactions: DataFrame, as_of=None, config: RecurrenceConfig = DEFAULT_
         recent = prepare.recent_customers(tx, reference, config)
         every = patterns.pattern_statistics(days, config=config, extras=True)
         if config.partitions:
-            every, recent = every.repartition(config.partitions, CUSTOMER), recent.repartition(config.partitions, CUSTOMER)
-        stats = every.join(recent, CUSTOMER, "left_semi")
+            # No broadcast, and no semi join that Spark would move to the rows (``prepare.joined_by_key``).
+            recent = recent.repartition(config.partitions, CUSTOMER).hint("merge")
+            stats = every.repartition(config.partitions, CUSTOMER).join(recent, CUSTOMER).select(*every.columns)
+        else:
+            stats = every.join(recent, CUSTOMER, "left_semi")
     stats = stats.drop(sequence.RAW_ROWS, patterns.MARKED_DAYS)
     stats = patterns.with_recent_variation(stats, patterns.recent_unmarked(net, config), config)
     if config.partitions:

@@ -110,7 +110,7 @@ def _candidates(m: RecurrenceModel) -> DataFrame:
 
 
 def q_active_customers(c: Context):
-    return prepare.active_customers(c.tx, c.model.as_of)
+    return prepare.active_customers(c.tx, c.model.as_of, c.model.config)
 
 
 def q_transaction_projection(c: Context):
@@ -162,11 +162,22 @@ def q_recent_amount_variation(c: Context):
 
 def q_similar_amount_recurrences(c: Context):
     flags = _commerce_candidates(c.model).select(*PAIR_KEYS, CV_FILTER)
+    if parts := c.model.config.partitions:
+        # The flags meet the counted blocks, which expand into payments afterwards.
+        blocks = sequence.commerce_scope(c.model.active_blocks())
+        return sequence.payments_of(prepare.joined_by_key(blocks, flags, PAIR_KEYS, [DATE, AMOUNT], parts), parts)
     return sequence.commerce_scope(c.model.active_payments()).join(flags, PAIR_KEYS, "inner")
 
 
+def _pattern_transactions(m: RecurrenceModel, chosen: DataFrame, statuses: list[str]) -> DataFrame:
+    if parts := m.config.partitions:
+        # The patterns meet the counted blocks, which expand into payments afterwards.
+        return sequence.payments_of(classify.pattern_transactions(m.active_blocks(), chosen, statuses, parts), parts)
+    return classify.pattern_transactions(m.active_payments(), chosen, statuses)
+
+
 def q_pattern_transactions(c: Context):
-    return classify.pattern_transactions(c.model.active_payments(), c.model.patterns, CANDIDATES)
+    return _pattern_transactions(c.model, c.model.patterns, CANDIDATES)
 
 
 def q_recurrence_horizon(c: Context):
@@ -183,7 +194,7 @@ def q_lapsed_recurrences(c: Context):
 
 def q_lapsed_to_nonrecurrent(c: Context):
     moved = c.model.patterns.where((F.col(STATUS) == "LAPSED") & F.col(NON_RECURRENT))
-    return classify.pattern_transactions(c.model.active_payments(), moved, ["LAPSED"])
+    return _pattern_transactions(c.model, moved, ["LAPSED"])
 
 
 def q_regularity_class(c: Context):
@@ -249,7 +260,7 @@ def q_stage_counts(c: Context):
     job each) and of the rows that take no part: one query, the pattern-level
     counts summed from the pattern table."""
     m = c.model
-    active = prepare.active_customers(c.tx, m.as_of)
+    active = prepare.active_customers(c.tx, m.as_of, m.config)
     pays = m.active_blocks()
     marked, commerce = F.col(MARKED), F.col(SCOPE) == SCOPE_COMMERCE
     n = F.col(NU_PAYMENTS)

@@ -167,11 +167,11 @@ def _spread(spark: SparkSession, sf_dir: str, name: str, *by: str, like: str | N
 
 
 def customer_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transaction_projection(spark.sql(F1_SQL_SPARK, customer=_spread(spark, sf_dir, "customer")))
+    return transaction_projection(spark.sql(F1_SQL_SPARK, customer=_spread(spark, sf_dir, "customer", "c_custkey")))
 
 
 def customer_transactions_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f1 = spark.sql(F1_SQL_SPARK, customer=_spread(spark, sf_dir, "customer"))
+    f1 = spark.sql(F1_SQL_SPARK, customer=_spread(spark, sf_dir, "customer", "c_custkey"))
     return transaction_projection(spark.sql(F4_SQL, f1=f1))
 
 
