@@ -53,10 +53,15 @@ def recent_customers_counted(tx: DataFrame, as_of: Column, config: RecurrenceCon
 def active_customers(tx: DataFrame, as_of: Column,
                      config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
     """All rows of the recent customers."""
-    recent = recent_customers(tx, as_of, config)
+    return _of_customers(tx, recent_customers(tx, as_of, config), config)
+
+
+def _of_customers(rows: DataFrame, recent: DataFrame, config: RecurrenceConfig) -> DataFrame:
+    """The rows of the customers. They are spread by all that ``fit`` reads of a row, so
+    that what is dealt below has the columns of ``fit`` and Spark can share it."""
     if config.partitions:
-        return joined_by_key(tx, recent, [CUSTOMER], [OPERATION1, DATE, AMOUNT], config.partitions)
-    return tx.join(recent, CUSTOMER, "left_semi")
+        return joined_by_key(rows, recent, [CUSTOMER], [COMMERCE, DEBIT_TYPE, OPERATION1, DATE, AMOUNT], config.partitions)
+    return rows.join(recent, CUSTOMER, "left_semi")
 
 
 # Tasks over which the rows of one key are dealt for a join with a table of keys.
@@ -135,6 +140,14 @@ def not_marked(net: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) -> Dat
                .select(CUSTOMER, COMMERCE, AMOUNT, DATE))
 
 
-def prepared(tx: DataFrame, as_of: Column, config: RecurrenceConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Active customers without reversed operations."""
+def prepared(tx: DataFrame, as_of: Column, config: RecurrenceConfig = DEFAULT_CONFIG,
+             reversals_first: bool = False) -> DataFrame:
+    """Active customers without reversed operations.
+
+    ``reversals_first`` is for a query that reads ``fit``'s stages beside these rows: the
+    customer is one of the reversal keys, so the rows are the same, and the dealing of all
+    rows by operation is shared with ``fit``. Read alone, the rows of the active customers
+    are fewer to look for reversals in."""
+    if reversals_first:
+        return _of_customers(net_of_reversals(tx, config), recent_customers(tx, as_of, config), config)
     return net_of_reversals(active_customers(tx, as_of, config), config, reversals_from=tx)

@@ -96,21 +96,22 @@ def payment_blocks(net: DataFrame, config: RecurrenceConfig = DEFAULT_CONFIG) ->
     keys = [CUSTOMER, COMMERCE, DATE, is_marked.alias(MARKED), F.when(~is_marked, F.col(AMOUNT)).alias("_block_amount")]
     measures = [F.sum(AMOUNT).alias("_day_sum"), F.count(F.lit(1)).alias("_rows")]
     if config.partitions:
+        # Dealt for the window as well: it looks at marked groups, which have no block amount,
+        # and an unmarked group's amount is its block amount.
         groups = (dealt_by_pair(payments, config.partitions).groupBy(*keys, SALT).agg(*measures)
-                  .repartition(config.partitions, CUSTOMER, COMMERCE, DATE, MARKED, "_block_amount")
+                  .repartition(config.partitions, CUSTOMER, COMMERCE, MARKED, "_block_amount")
                   .groupBy(CUSTOMER, COMMERCE, DATE, MARKED, "_block_amount")
                   .agg(F.sum("_day_sum").cast(_sum_type(net)).alias("_day_sum"), F.sum("_rows").alias("_rows")))
     else:
         groups = payments.groupBy(*keys).agg(*measures)
     marked = F.col(MARKED)
     blocks = groups.select(
-        CUSTOMER, COMMERCE, DATE, MARKED,
+        CUSTOMER, COMMERCE, DATE, MARKED, "_block_amount",
         F.when(marked, F.col("_day_sum")).otherwise(F.col("_block_amount")).alias(AMOUNT),
         F.when(marked, F.lit(1).cast("long")).otherwise(F.col("_rows")).alias(WEIGHT),
     )
-    if config.partitions:
-        blocks = blocks.repartition(config.partitions, CUSTOMER, COMMERCE, MARKED, AMOUNT)
-    same_amount = Window.partitionBy(CUSTOMER, COMMERCE, MARKED, AMOUNT)
+    dealt = ["_block_amount"] if config.partitions else []
+    same_amount = Window.partitionBy(CUSTOMER, COMMERCE, MARKED, *dealt, AMOUNT)
     in_amount_scope = marked & (F.count(F.lit(1)).over(same_amount) >= config.min_payments)
     return blocks.select(
         CUSTOMER, COMMERCE, AMOUNT, DATE,

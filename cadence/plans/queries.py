@@ -261,6 +261,7 @@ def q_stage_counts(c: Context):
     counts summed from the pattern table."""
     m = c.model
     active = prepare.active_customers(c.tx, m.as_of, m.config)
+    net = prepare.prepared(c.tx, m.as_of, m.config, reversals_first=bool(m.config.partitions))
     pays = m.active_blocks()
     marked, commerce = F.col(MARKED), F.col(SCOPE) == SCOPE_COMMERCE
     n = F.col(NU_PAYMENTS)
@@ -278,7 +279,7 @@ def q_stage_counts(c: Context):
             .unionByName(stacked(c.raw, [("without_date", F.count_if(no_date)),
                                          ("without_customer", F.count_if(~no_date & F.col(CUSTOMER).isNull()))]))
             .unionByName(stacked(active, [("filtered_transactions", F.count(F.lit(1)))]))
-            .unionByName(stacked(m.net, [("after_reversals", F.count(F.lit(1))),
+            .unionByName(stacked(net, [("after_reversals", F.count(F.lit(1))),
                                          ("without_debit_type", F.count_if(F.col(DEBIT_TYPE).isNull()))]))
             .unionByName(stacked(pays, [
                 ("recurrents", weighed(marked)),
